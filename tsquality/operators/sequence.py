@@ -45,17 +45,22 @@ def checked_broadcast(small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]
 
 
 def ordered_scan(df: DataFrame, key: str, pos: str, order: list[str], outputs: list[tuple[str, str, str]],
-                 cfg: QualityConfig = DEFAULT, segment_us: int | None = None) -> DataFrame:
+                 cfg: QualityConfig = DEFAULT, segment_us: int | None = None, hot="detect") -> DataFrame:
     """Add per-key neighbour columns in the order ``order`` (whose first column is ``pos``).
 
     ``pos`` is a BIGINT that never decreases along ``order`` (event-time micros,
     or arrival-bucket micros); segments are ranges of ``pos``. Rows of a key must
     be totally ordered by ``order`` (end it with a unique column) for ``prev``
     and ``next`` to be deterministic.
+
+    ``hot`` is the hot-segment table from :func:`detect_hot` (``None`` = none);
+    by default it is detected here. A subset of rows may reuse its parent's.
     """
-    width = segment_us or cfg.segment_seconds * 1_000_000
+    width = segment_width(cfg, segment_us)
     d = df.withColumn(SEG, idiv(F.col(pos), F.lit(width)))
-    d = _split_hot(d, key, pos, width, cfg)
+    if isinstance(hot, str):
+        hot = detect_hot(d, key, cfg)
+    d = _apply_split(d, key, pos, width, hot)
     parts = [key, SEG, SUB]
     ordering = [F.col(c) for c in order]
     w = Window.partitionBy(*parts).orderBy(*ordering)
@@ -96,18 +101,33 @@ def ordered_scan(df: DataFrame, key: str, pos: str, order: list[str], outputs: l
     return out.drop(*drop)
 
 
-def _split_hot(d: DataFrame, key: str, pos: str, width: int, cfg: QualityConfig) -> DataFrame:
-    """Add ``_sub``: 0, or for segments above ``max_segment_rows`` an equal split of the range."""
+def segment_width(cfg: QualityConfig, segment_us: int | None) -> int:
+    return segment_us or cfg.segment_seconds * 1_000_000
+
+
+def detect_hot(df: DataFrame, key: str, cfg: QualityConfig = DEFAULT, pos: str | None = None,
+               segment_us: int | None = None):
+    """Segments holding more than ``max_segment_rows`` rows, with their split count,
+    or ``None`` when there are none. At most rows / max_segment_rows entries; broadcast
+    after a run-time size check."""
     if not cfg.max_segment_rows:
-        return d.withColumn(SUB, F.lit(0).cast("bigint"))
+        return None
+    d = df if SEG in df.columns else df.withColumn(SEG, idiv(F.col(pos), F.lit(segment_width(cfg, segment_us))))
     hot = (d.groupBy(key, SEG).count()
            .where(F.col("count") > cfg.max_segment_rows)
            .select(key, SEG, F.ceil(F.col("count") / F.lit(cfg.max_segment_rows)).cast("bigint").alias("_nsub")))
-    hot, _ = checked_broadcast(hot, cfg.broadcast_max_rows)
-    if hot.isEmpty():
+    hot = hot.cache()
+    n = hot.limit(cfg.broadcast_max_rows + 1).count()
+    if n == 0:
+        return None
+    return F.broadcast(hot) if n <= cfg.broadcast_max_rows else hot
+
+
+def _apply_split(d: DataFrame, key: str, pos: str, width: int, hot) -> DataFrame:
+    """Add ``_sub``: 0, or for hot segments an equal split of the segment's range."""
+    if hot is None:
         return d.withColumn(SUB, F.lit(0).cast("bigint"))
     offset = F.col(pos) - F.col(SEG) * F.lit(width)
     return (d.join(hot, on=[key, SEG], how="left")
             .withColumn(SUB, F.coalesce(idiv(offset * F.col("_nsub"), F.lit(width)), F.lit(0)).cast("bigint"))
             .drop("_nsub"))
-

@@ -26,6 +26,7 @@ from tsquality.operators import tables as T
 from tsquality.operators.validate import quarantine_metrics, validate
 from tsquality.plans import reports as Q
 from tsquality.plans.routing import route
+from tsquality.session import scratch_path
 from tsquality.sources.events import load_readings
 from tsquality.sources.synth import inject_faults
 
@@ -54,7 +55,8 @@ def routes(spark: SparkSession, sf_dir: str):
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _routes:
-            _routes[key] = route(faulted(spark, sf_dir), CFG, BUCKET_SECONDS)
+            out = scratch_path(spark, "routed")
+            _routes[key] = route(faulted(spark, sf_dir), CFG, BUCKET_SECONDS, out_path=out)
         return _routes[key]
 
 
@@ -151,7 +153,7 @@ def q_metrics_stream(spark, sf_dir):
 # -- tables ------------------------------------------------------------------
 
 def q_validated_table(spark, sf_dir):
-    return tables(spark, sf_dir)["validated"]
+    return tables(spark, sf_dir)["validated"].select(*T.COLUMNS["validated_readings"], "arrival_ts")
 
 
 def q_gap_alerts_table(spark, sf_dir):
@@ -159,7 +161,7 @@ def q_gap_alerts_table(spark, sf_dir):
 
 
 def q_late_events_table(spark, sf_dir):
-    return tables(spark, sf_dir)["late_events"]
+    return tables(spark, sf_dir)["late_events"].select(*T.COLUMNS["late_events"], "arrival_ts")
 
 
 # -- rollups -----------------------------------------------------------------

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tsquality.config import DEFAULT, QualityConfig
 from tsquality.operators import lateness as L
 from tsquality.operators.gaps import cascade, gap_rows
-from tsquality.operators.sequence import checked_broadcast, ordered_scan
+from tsquality.operators.sequence import checked_broadcast, detect_hot, ordered_scan
 from tsquality.operators.validate import validate
 from tsquality.session import materialize
 
@@ -60,7 +60,10 @@ METRIC_COLS = ["time", "metric_type", "meter_id", "value", "tags"]
 SEQ_COLS = ["_bucket", "seq"]
 
 
-def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60) -> Routes:
+def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60,
+          out_path: str | None = None) -> Routes:
+    """Build the routed run. With ``out_path`` the result tables are written there
+    (parquet, partitioned by ``event_date``) and the returned frames read them back."""
     has_parse = "parse_error" in raw.columns
     rows = raw if "validation" in raw.columns else validate(raw, cfg)
     if has_parse:
@@ -72,13 +75,14 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     final_wm = L.final_watermark_us(batches, cfg)
 
     valid = rows.where(F.col("error").isNull())
-    classified = L.classify(L.attach_watermark(valid, batches, cfg), cfg)
+    classified = materialize(L.classify(L.attach_watermark(valid, batches, cfg), cfg), cfg.materialize)
     too_late = classified.where(F.col("timing") == F.lit(L.TOO_LATE))
     accepted = classified.where(F.col("timing") != F.lit(L.TOO_LATE))
 
     seg = max(1, cfg.segment_seconds // bucket_seconds)
+    hot = detect_hot(accepted, "meter_id", cfg, pos="_bucket", segment_us=seg)
     acc = ordered_scan(accepted, "meter_id", "_bucket", ORDER, [("_prev_max", "prev_max", "_us")], cfg,
-                       segment_us=seg)
+                       segment_us=seg, hot=hot)
     expired = F.col("_prev_max").isNotNull() & (F.col("_prev_max") + F.lit(cfg.ttl_us) <= F.col("pred_wm_us"))
     acc = (acc.withColumn("_expired", F.coalesce(expired, F.lit(False)))
            .withColumn("_live_prev", F.when(~F.col("_expired"), F.col("_prev_max")))
@@ -90,7 +94,7 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
 
     arming = acc.where(F.col("_prev_max").isNull() | (F.col("_us") > F.col("_prev_max")))
     arming = ordered_scan(arming.select("meter_id", "_bucket", "_us", "seq"), "meter_id", "_bucket", ORDER,
-                          [("_next_bucket", "next", "_bucket")], cfg, segment_us=seg)
+                          [("_next_bucket", "next", "_bucket")], cfg, segment_us=seg, hot=hot)
     pred, _ = checked_broadcast(batches.select(F.col("_bucket").alias("_next_bucket"),
                                                F.col("pred_wm_us").alias("_next_pred_wm")),
                                 cfg.broadcast_max_rows)
@@ -102,20 +106,36 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     timers = cascade(arming, "_us", limit, cfg).withColumn("detected_by", F.lit("timer"))
 
     validated = acc.select(F.col("timestamp").alias("time"), "meter_id", "consumption_kwh", "status",
-                           "arrival_ts", *SEQ_COLS)
+                           "arrival_ts", "_us", *SEQ_COLS)
     late_events = too_late.select(F.col("timestamp").alias("time"), "meter_id",
                                   F.col("timestamp").alias("event_timestamp"), "consumption_kwh",
                                   F.coalesce("delay_seconds", F.lit(0)).alias("delay_seconds"),
-                                  "arrival_ts", *SEQ_COLS)
-    alerts = (timers.select(*ALERT_COLS, F.col("missing_to").alias("arrival_ts"), "_bucket", "seq", "_k")
-              .unionByName(resume.select(*ALERT_COLS, "arrival_ts", "_bucket", "seq",
+                                  "arrival_ts", "_us", *SEQ_COLS)
+    alerts = (timers.select(*ALERT_COLS, F.col("missing_to").alias("arrival_ts"), "_us", "_bucket", "seq", "_k")
+              .unionByName(resume.select(*ALERT_COLS, "arrival_ts", "_us", "_bucket", "seq",
                                          F.lit(0).cast("bigint").alias("_k"))))
-
-    metrics = _metrics(rows, too_late, acc, resume, timers, has_parse)
-    state = _meter_state(acc, too_late, resume, timers, final_wm, cfg)
+    if out_path:
+        validated = _save(validated, out_path, "validated_readings")
+        late_events = _save(late_events, out_path, "late_events")
+        alerts = _save(alerts, out_path, "gap_alerts")
+
+    metrics = _metrics(rows, late_events, validated, alerts, has_parse)
+    state = _meter_state(acc, late_events, alerts, final_wm, cfg)
+    if out_path:
+        metrics = _save(metrics, out_path, "metrics")
+        state = _save(state, out_path, "meter_state", by_date=False)
     return Routes(rows, batches, classified, validated, late_events, alerts, metrics, state, final_wm)
 
 
+def _save(df: DataFrame, base: str, name: str, by_date: bool = True) -> DataFrame:
+    import os
+    path = os.path.join(base, name)
+    w = df.withColumn("event_date", F.to_date("time")) if by_date else df
+    w = w.write.mode("overwrite")
+    (w.partitionBy("event_date") if by_date else w).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _metric(df: DataFrame, kind: str, value, tags, time="arrival_ts", meter="meter_id") -> DataFrame:
     return df.select(F.col(time).alias("time"), F.lit(kind).alias("metric_type"),
                      (F.col(meter) if isinstance(meter, str) else meter).alias("meter_id"),
@@ -126,15 +146,18 @@ def _no_tags():
     return F.create_map().cast("map<string,string>")
 
 
-def _metrics(rows, too_late, acc, resume, timers, has_parse) -> DataFrame:
-    """One metric row per occurrence (time = arrival time; the stream uses processing time)."""
+def _metrics(rows, late_events, validated, alerts, has_parse) -> DataFrame:
+    """One metric row per occurrence, derived from the routed rows (time = arrival
+    time; for timer alerts the due time; the stream stamps processing time)."""
     invalid = rows.where(F.col("error").isNotNull() & (F.col("error") != F.lit("processing_error")))
+    resume = alerts.where(F.col("detected_by") == F.lit("event"))
+    timers = alerts.where(F.col("detected_by") == F.lit("timer"))
     parts = [
         _metric(invalid, "invalid_event", F.lit(1.0), F.create_map(F.lit("error"), F.col("error"))),
-        _metric(too_late, "too_late_event", F.lit(1.0), _no_tags()),
+        _metric(late_events, "too_late_event", F.lit(1.0), _no_tags()),
         _metric(resume, "gap_detected", F.col("gap_minutes"), _no_tags()),
-        _metric(acc, "event_processed", F.lit(1.0), F.create_map(F.lit("status"), F.col("status"))),
-        _metric(timers, "gap_detected_timer", F.col("gap_minutes"), _no_tags(), time="missing_to"),
+        _metric(validated, "event_processed", F.lit(1.0), F.create_map(F.lit("status"), F.col("status"))),
+        _metric(timers, "gap_detected_timer", F.col("gap_minutes"), _no_tags()),
     ]
     if has_parse:
         bad = rows.where(F.col("error") == F.lit("processing_error"))
@@ -146,7 +169,7 @@ def _metrics(rows, too_late, acc, resume, timers, has_parse) -> DataFrame:
     return out
 
 
-def _meter_state(acc, too_late, resume, timers, final_wm, cfg: QualityConfig) -> DataFrame:
+def _meter_state(acc, late_events, alerts, final_wm, cfg: QualityConfig) -> DataFrame:
     """T6 final state: meters whose state is alive after the closing batch.
 
     Counters cover the state's current life, which starts at the meter's last
@@ -164,9 +187,8 @@ def _meter_state(acc, too_late, resume, timers, final_wm, cfg: QualityConfig) ->
         cond = (F.col("_o") >= F.col("_r0")) if inclusive else (F.col("_o") > F.col("_r0"))
         return j.where(cond).groupBy("meter_id").agg(F.count(F.lit(1)).alias(name))
 
-    gaps = count_after(resume.select("meter_id", "_bucket", "_us", "seq")
-                       .unionByName(timers.select("meter_id", "_bucket", "_us", "seq")), "_gaps", True)
-    lates = count_after(too_late, "_lates", False)
+    gaps = count_after(alerts, "_gaps", True)
+    lates = count_after(late_events, "_lates", False)
     return (per.join(gaps, "meter_id", "left").join(lates, "meter_id", "left")
             .select("meter_id",
                     F.timestamp_micros("_last").alias("last_seen"),

@@ -18,6 +18,7 @@ def build_session(master: str | None = None, app: str = "tsquality",
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -68,14 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, how: str = "checkpoint"):
     """Reuse an intermediate result in several branches of one plan.
 
-    ``checkpoint`` writes it to the shared checkpoint folder (reliable: survives
-    lost executors and cuts lineage); ``cache`` keeps it in executor memory and
-    disk (recomputed from lineage when an executor is lost); ``none`` recomputes.
-    ``localCheckpoint`` is never used.
+    ``checkpoint`` writes it as a parquet table to the shared checkpoint folder
+    and reads it back (reliable: survives lost executors, cuts lineage, one
+    job); ``cache`` keeps it in executor memory and disk (recomputed from
+    lineage when an executor is lost); ``none`` recomputes. ``localCheckpoint``
+    is never used.
     """
     if how == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = scratch_path(spark, "mat")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if how == "cache":
         return df.cache()
     return df
