@@ -137,7 +137,27 @@ WHERE p._last + {TTL} > (SELECT final_wm FROM fin)"""
 
 RANGE = f"time BETWEEN {T_FROM} AND {T_TO}"
 
+def _u(salt: str, key: str) -> str:
+    from tsquality.functions.hashing import uniform01_sql
+    return uniform01_sql(42, salt, key)
+
+
 SQL = {
+    "csv_alias_parse": f"""SELECT seq, meter_id,
+        CASE WHEN {_u('ts_format', 'seq')} < 1/3 THEN date_trunc('second', timestamp) ELSE timestamp END AS timestamp,
+        consumption_kwh FROM ({READINGS_SQL}) r""",
+    "format_convert": f"""SELECT seq, CASE WHEN {_u('no_id', 'seq')} < 0.1 THEN 'UNKNOWN' ELSE meter_id END AS meter_id,
+        strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, consumption_kwh FROM ({READINGS_SQL}) r""",
+    "json_parse": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)})
+        SELECT seq, meter_id, timestamp, consumption_kwh, {VALIDATION} AS validation FROM raw""",
+    "synth_readings": f"""WITH per AS (SELECT user_id AS m, date_trunc('day', min(ts)) AS d0, date_trunc('day', max(ts)) AS d1
+                          FROM events GROUP BY user_id),
+        g AS (SELECT m, d0, unnest(generate_series(0, ((epoch_us(d1) - epoch_us(d0)) // 60000000 + 1440) // 30 - 1)) AS k
+              FROM per)
+        SELECT printf('METER_%04d', m) AS meter_id, make_timestamp(epoch_us(d0) + k * 1800000000) AS timestamp,
+          round(greatest(0.0, (0.5 + {_u('base', 'm')} * 4.5) + (-0.3 + {_u('noise', "CAST(m AS VARCHAR) || '/' || CAST(k AS VARCHAR)")} * 0.6)), 3)
+            AS consumption_kwh,
+          m * 4294967296 + k AS seq FROM g""",
     "validate": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)})
         SELECT seq, meter_id, timestamp, consumption_kwh, {VALIDATION} AS validation FROM raw""",
     "quarantine_metrics": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)}),

@@ -1,0 +1,49 @@
+"""Validator and payload parsing golden rows (FIXTURES 3, Validator)."""
+
+import json
+
+from tsquality.sources.messages import parse_readings
+
+CASES = [
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 1.5}, "OK"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 0}, "OK"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 100000}, "OK"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": "2.5"}, "OK"),
+    ({"meter_id": 5, "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 1}, "OK"),
+    ({"meter_id": "", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 1}, "Invalid meter_id"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": -0.001},
+     "Consumption cannot be negative"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": 100000.01},
+     "Consumption value too large"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": "abc"},
+     "Invalid consumption_kwh value"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": "NaN"},
+     "Invalid consumption_kwh value"),
+    ({"meter_id": "M1", "timestamp": "bad", "consumption_kwh": 1}, "Invalid timestamp type"),
+    ({"meter_id": "M1", "consumption_kwh": 1}, "Missing required field: timestamp"),
+    ({"timestamp": "2024-01-01T10:00:00Z"}, "Missing required field: meter_id"),
+    ({"meter_id": "M1", "timestamp": "12:30", "consumption_kwh": 1}, "Invalid timestamp type"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": "1d"},
+     "Invalid consumption_kwh value"),
+    ({"meter_id": "M1", "timestamp": "2024-01-01T10:00:00Z", "consumption_kwh": "inf"},
+     "Consumption value too large"),
+]
+
+
+def test_validator_messages(spark):
+    msgs = [(i, json.dumps(p)) for i, (p, _) in enumerate(CASES)] + [(len(CASES), "not JSON")]
+    df = spark.createDataFrame(msgs, "seq bigint, value string")
+    got = {r["seq"]: r for r in parse_readings(df).collect()}
+    for i, (_, want) in enumerate(CASES):
+        assert got[i]["validation"] == want, (i, CASES[i], got[i]["validation"])
+    assert got[4]["meter_id"] == "5"
+    assert got[len(CASES)]["error"] == "processing_error"
+    assert got[len(CASES)]["meter_id"] is None
+
+
+def test_timestamps_are_utc(spark):
+    df = spark.createDataFrame([(0, json.dumps({"meter_id": "B", "timestamp": "2024-01-01T10:00:00+01:00",
+                                                "consumption_kwh": 0}))], "seq bigint, value string")
+    r = parse_readings(df).collect()[0]
+    assert str(r["timestamp"]) == "2024-01-01 09:00:00"
+    assert r["consumption_kwh"] == 0.0

@@ -28,7 +28,10 @@ from tsquality.plans import reports as Q
 from tsquality.plans.routing import route
 from tsquality.session import scratch_path
 from tsquality.sources.events import load_readings
-from tsquality.sources.synth import inject_faults
+from tsquality.functions.hashing import uniform01
+from tsquality.sources import csv as CSV
+from tsquality.sources.messages import parse_readings, to_messages
+from tsquality.sources.synth import inject_faults, sample_like
 
 CFG = QualityConfig(interval_minutes=480)
 FAULTS = dict(seed=42, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=10800,
@@ -76,6 +79,57 @@ def tables(spark, sf_dir):
 
 # -- ingest / validate -------------------------------------------------------
 
+def aliased_text_rows(readings: DataFrame, seed: int = 42) -> DataFrame:
+    """Readings rendered as the aliased text rows of assorted CSV exports: the id
+    and time go to one of their alias columns (the others stay empty) and the
+    time is written in one of three forms."""
+    u_id = uniform01(seed, "alias_id", F.col("seq"))
+    u_ts = uniform01(seed, "alias_ts", F.col("seq"))
+    u_fmt = uniform01(seed, "ts_format", F.col("seq"))
+    ts = F.col("timestamp")
+    text = (F.when(u_fmt < 1 / 3, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+            .when(u_fmt < 2 / 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+            .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
+
+    def slot(u, i, v):
+        return F.when((u >= i / 3) & (u < (i + 1) / 3), v).otherwise(F.lit(""))
+    cols = [F.col("seq").cast("string").alias("seq")]
+    cols += [slot(u_id, i, F.col("meter_id")).alias(n) for i, n in enumerate(CSV.METER_ALIASES)]
+    cols += [slot(u_ts, i, text).alias(n) for i, n in enumerate(CSV.TIME_ALIASES)]
+    cols += [F.col("consumption_kwh").cast("string").alias("kwh")]
+    return readings.select(*cols)
+
+
+def q_csv_alias_parse(spark, sf_dir):
+    """S1 + S2: aliased CSV written and read back as text, then parsed."""
+    path = scratch_path(spark, "csv")
+    aliased_text_rows(readings(spark, sf_dir)).write.option("header", True).csv(path)
+    parsed = CSV.parse_csv_rows(CSV.read_csv(spark, path), keep=("seq",))
+    return parsed.select(F.col("seq").cast("bigint").alias("seq"), "meter_id", "timestamp", "consumption_kwh")
+
+
+def q_format_convert(spark, sf_dir):
+    """S3: third-party rows (id, space-separated time, value; some without id) to standard rows."""
+    r = readings(spark, sf_dir)
+    u = uniform01(42, "no_id", F.col("seq"))
+    third = r.select("seq", F.when(u < 0.1, F.lit("")).otherwise(F.col("meter_id")).alias("id"),
+                     F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"),
+                     F.col("consumption_kwh").cast("string").alias("value"))
+    return CSV.convert_to_standard(third, keep=("seq",))
+
+
+def q_json_parse(spark, sf_dir):
+    """S5 payloads of the faulted readings, parsed back (P1) and validated."""
+    msgs = to_messages(faulted(spark, sf_dir), keep=("seq",))
+    p = parse_readings(msgs, CFG)
+    return p.select("seq", "meter_id", "timestamp", "consumption_kwh", "validation")
+
+
+def q_synth_readings(spark, sf_dir):
+    """G1 shaped by the events: a regular 30-minute series per meter over its days."""
+    return sample_like(readings(spark, sf_dir), interval_minutes=30, seed=42)
+
+
 def q_validate(spark, sf_dir):
     v = validate(faulted(spark, sf_dir), CFG)
     return v.select("seq", "meter_id", "timestamp", "consumption_kwh", "validation")
@@ -258,6 +312,10 @@ def q_active_meters(spark, sf_dir):
 
 
 QUERIES = {
+    "csv_alias_parse": q_csv_alias_parse,
+    "format_convert": q_format_convert,
+    "json_parse": q_json_parse,
+    "synth_readings": q_synth_readings,
     "validate": q_validate,
     "quarantine_metrics": q_quarantine_metrics,
     "inject_faults": q_inject_faults,

@@ -47,9 +47,9 @@ def reading_payload(meter_id: Column, ts: Column, kwh: Column) -> Column:
                               kwh.alias("consumption_kwh")))
 
 
-def to_messages(readings: DataFrame, topic: str = TOPICS["raw"]) -> DataFrame:
+def to_messages(readings: DataFrame, topic: str = TOPICS["raw"], keep: tuple[str, ...] = ()) -> DataFrame:
     """key = meter id (keeps a meter on one partition), value = JSON payload."""
-    return readings.select(F.col("meter_id").alias("key"),
+    return readings.select(*keep, F.col("meter_id").alias("key"),
                            reading_payload(F.col("meter_id"), F.col("timestamp"), F.col("consumption_kwh")).alias("value"),
                            F.lit(topic).alias("topic"))
 
