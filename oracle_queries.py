@@ -155,7 +155,7 @@ SQL = {
         g AS (SELECT m, d0, unnest(generate_series(0, ((epoch_us(d1) - epoch_us(d0)) // 60000000 + 1440) // 30 - 1)) AS k
               FROM per)
         SELECT printf('METER_%04d', m) AS meter_id, make_timestamp(epoch_us(d0) + k * 1800000000) AS timestamp,
-          round(greatest(0.0, (0.5 + {_u('base', 'm')} * 4.5) + (-0.3 + {_u('noise', "CAST(m AS VARCHAR) || '/' || CAST(k AS VARCHAR)")} * 0.6)), 3)
+          round(greatest(0.0, (0.5 + {_u('base', 'm')} * 4.5) + (-0.3 + {_u('noise', "m * 4294967296 + k")} * 0.6)), 3)
             AS consumption_kwh,
           m * 4294967296 + k AS seq FROM g""",
     "validate": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)})

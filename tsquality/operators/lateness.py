@@ -38,18 +38,26 @@ def arrival_batches(rows: DataFrame, cfg: QualityConfig = DEFAULT, valid: str =
     non-NULL (invalid rows) form batches too but do not move the watermark.
     """
     ev_ms = F.when(F.col(valid).isNull(), idiv(F.unix_micros("timestamp"), F.lit(1000)))
-    per = rows.groupBy(BUCKET).agg(F.max(ev_ms).alias("_max_ms"))
+    per = rows.groupBy(BUCKET).agg(F.max(ev_ms).alias("_max_ms"),
+                                   F.count(F.lit(1)).alias("_n_rows"),
+                                   F.count_if(F.col(valid).isNull()).alias("_n_valid"))
     # One row per bucket: a window without partitioning is bounded by the bucket count.
     w = Window.orderBy(BUCKET)
     wm = F.max("_max_ms").over(w.rowsBetween(Window.unboundedPreceding, -1)) * F.lit(1000) - F.lit(cfg.bound_us)
-    return (per.select(BUCKET, "_max_ms", wm.alias("wm_us"))
-            .select(BUCKET, "_max_ms", "wm_us", F.lag("wm_us").over(w).alias("pred_wm_us")))
+    return (per.select(BUCKET, "_max_ms", "_n_rows", "_n_valid", wm.alias("wm_us"))
+            .select(BUCKET, "_max_ms", "_n_rows", "_n_valid", "wm_us", F.lag("wm_us").over(w).alias("pred_wm_us")))
 
 
 def final_watermark_us(batches: DataFrame, cfg: QualityConfig = DEFAULT):
     """Watermark of the closing no-data batch: largest valid event time (ms) minus the bound."""
-    v = batches.agg(F.max("_max_ms")).first()[0]
-    return None if v is None else v * 1000 - cfg.bound_us
+    return batch_summary(batches, cfg)["final_wm_us"]
+
+
+def batch_summary(batches: DataFrame, cfg: QualityConfig = DEFAULT) -> dict:
+    """One small job over the per-bucket table: closing watermark, bucket and row counts."""
+    r = batches.agg(F.max("_max_ms"), F.count(F.lit(1)), F.sum("_n_valid")).first()
+    return {"final_wm_us": None if r[0] is None else r[0] * 1000 - cfg.bound_us,
+            "buckets": r[1], "valid_rows": r[2] or 0}
 
 
 def attach_watermark(rows: DataFrame, batches: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:

@@ -26,9 +26,9 @@ from tsquality.operators import tables as T
 from tsquality.operators.validate import quarantine_metrics, validate
 from tsquality.plans import reports as Q
 from tsquality.plans.routing import route
-from tsquality.session import scratch_path
+from tsquality.session import materialize, scratch_path
 from tsquality.sources.events import load_readings
-from tsquality.functions.hashing import uniform01
+from tsquality.functions.hashing import with_uniforms
 from tsquality.sources import csv as CSV
 from tsquality.sources.messages import parse_readings, to_messages
 from tsquality.sources.synth import inject_faults, sample_like
@@ -41,7 +41,7 @@ NOW = dt.datetime(2024, 1, 31)
 T_FROM = dt.datetime(2024, 1, 1)
 T_TO = NOW
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _routes: dict = {}
 
 
@@ -49,8 +49,16 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_readings(spark, sf_dir)
 
 
+_faulted: dict = {}
+
+
 def faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inject_faults(readings(spark, sf_dir), **FAULTS)
+    """The replayed input (G2): written once per session like a filled topic, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _faulted:
+            _faulted[key] = materialize(inject_faults(readings(spark, sf_dir), **FAULTS), "checkpoint")
+        return _faulted[key]
 
 
 def routes(spark: SparkSession, sf_dir: str):
@@ -83,9 +91,9 @@ def aliased_text_rows(readings: DataFrame, seed: int = 42) -> DataFrame:
     """Readings rendered as the aliased text rows of assorted CSV exports: the id
     and time go to one of their alias columns (the others stay empty) and the
     time is written in one of three forms."""
-    u_id = uniform01(seed, "alias_id", F.col("seq"))
-    u_ts = uniform01(seed, "alias_ts", F.col("seq"))
-    u_fmt = uniform01(seed, "ts_format", F.col("seq"))
+    readings = with_uniforms(readings, seed, {"_u_id": ("alias_id", "seq"), "_u_ts": ("alias_ts", "seq"),
+                                              "_u_fmt": ("ts_format", "seq")})
+    u_id, u_ts, u_fmt = F.col("_u_id"), F.col("_u_ts"), F.col("_u_fmt")
     ts = F.col("timestamp")
     text = (F.when(u_fmt < 1 / 3, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
             .when(u_fmt < 2 / 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
@@ -111,7 +119,8 @@ def q_csv_alias_parse(spark, sf_dir):
 def q_format_convert(spark, sf_dir):
     """S3: third-party rows (id, space-separated time, value; some without id) to standard rows."""
     r = readings(spark, sf_dir)
-    u = uniform01(42, "no_id", F.col("seq"))
+    r = with_uniforms(r, 42, {"_u": ("no_id", "seq")})
+    u = F.col("_u")
     third = r.select("seq", F.when(u < 0.1, F.lit("")).otherwise(F.col("meter_id")).alias("id"),
                      F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"),
                      F.col("consumption_kwh").cast("string").alias("value"))
@@ -166,6 +175,7 @@ def q_validated_readings(spark, sf_dir):
     return routes(spark, sf_dir).validated.select(*T.COLUMNS["validated_readings"])
 
 
+
 # -- gaps --------------------------------------------------------------------
 
 def q_gap_events(spark, sf_dir):

@@ -63,7 +63,13 @@ SEQ_COLS = ["_bucket", "seq"]
 def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60,
           out_path: str | None = None) -> Routes:
     """Build the routed run. With ``out_path`` the result tables are written there
-    (parquet, partitioned by ``event_date``) and the returned frames read them back."""
+    (parquet, partitioned by ``event_date``) and the returned frames read them back.
+
+    Reuse without extra copies: the validated table is written with a few
+    internal columns (``_prev_max``, ``_expired``, ...) and read back for the
+    later steps (alerts, metrics, state); nothing the size of the input is
+    written twice. Without ``out_path``, ``cfg.materialize`` decides.
+    """
     has_parse = "parse_error" in raw.columns
     rows = raw if "validation" in raw.columns else validate(raw, cfg)
     if has_parse:
@@ -71,33 +77,50 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
                                .otherwise(F.lit("processing_error")))
     rows = L.with_bucket(rows, bucket_seconds).withColumn("_us", F.unix_micros("timestamp"))
 
+    # Per arrival bucket: watermark of the batch and of the batch before (small, cached).
     batches = L.arrival_batches(rows, cfg).cache()
-    final_wm = L.final_watermark_us(batches, cfg)
+    summary = L.batch_summary(batches, cfg)
+    final_wm = summary["final_wm_us"]
+    # The per-bucket table is broadcast only when its size (known now) is small.
+    wm_small = batches.select(L.BUCKET, "wm_us", "pred_wm_us")
+    if summary["buckets"] <= cfg.broadcast_max_rows:
+        wm_small = F.broadcast(wm_small)
 
     valid = rows.where(F.col("error").isNull())
-    classified = materialize(L.classify(L.attach_watermark(valid, batches, cfg), cfg), cfg.materialize)
+    classified = L.classify(valid.join(wm_small, on=L.BUCKET, how="left"), cfg)
     too_late = classified.where(F.col("timing") == F.lit(L.TOO_LATE))
     accepted = classified.where(F.col("timing") != F.lit(L.TOO_LATE))
 
     seg = max(1, cfg.segment_seconds // bucket_seconds)
-    hot = detect_hot(accepted, "meter_id", cfg, pos="_bucket", segment_us=seg)
+    # No segment can exceed the limit when all valid rows together do not.
+    hot = (detect_hot(accepted, "meter_id", cfg, pos="_bucket", segment_us=seg)
+           if summary["valid_rows"] > cfg.max_segment_rows else None)
     acc = ordered_scan(accepted, "meter_id", "_bucket", ORDER, [("_prev_max", "prev_max", "_us")], cfg,
                        segment_us=seg, hot=hot)
     expired = F.col("_prev_max").isNotNull() & (F.col("_prev_max") + F.lit(cfg.ttl_us) <= F.col("pred_wm_us"))
-    acc = (acc.withColumn("_expired", F.coalesce(expired, F.lit(False)))
-           .withColumn("_live_prev", F.when(~F.col("_expired"), F.col("_prev_max")))
-           .withColumn("status", F.when(F.col("timing") == F.lit(L.LATE), F.lit("LATE")).otherwise(F.lit("OK"))))
-    acc = materialize(acc, cfg.materialize)
+    acc = acc.select(F.col("timestamp").alias("time"), "meter_id", "consumption_kwh",
+                     F.when(F.col("timing") == F.lit(L.LATE), F.lit("LATE")).otherwise(F.lit("OK")).alias("status"),
+                     "arrival_ts", "_us", *SEQ_COLS, "_prev_max",
+                     F.coalesce(expired, F.lit(False)).alias("_expired"))
+    late_events = too_late.select(F.col("timestamp").alias("time"), "meter_id",
+                                  F.col("timestamp").alias("event_timestamp"), "consumption_kwh",
+                                  F.coalesce("delay_seconds", F.lit(0)).alias("delay_seconds"),
+                                  "arrival_ts", "_us", *SEQ_COLS)
+    if out_path:
+        acc = _save(acc, out_path, "validated_readings")
+        late_events = _save(late_events, out_path, "late_events")
+    else:
+        acc = materialize(acc, cfg.materialize)
+    validated = acc
 
-    resume = (gap_rows(acc, "_us", "_live_prev", cfg)
+    live_prev = F.when(~F.col("_expired"), F.col("_prev_max"))
+    resume = (gap_rows(acc.withColumn("_live_prev", live_prev), "_us", "_live_prev", cfg)
               .withColumn("detected_by", F.lit("event")))
 
     arming = acc.where(F.col("_prev_max").isNull() | (F.col("_us") > F.col("_prev_max")))
     arming = ordered_scan(arming.select("meter_id", "_bucket", "_us", "seq"), "meter_id", "_bucket", ORDER,
                           [("_next_bucket", "next", "_bucket")], cfg, segment_us=seg, hot=hot)
-    pred, _ = checked_broadcast(batches.select(F.col("_bucket").alias("_next_bucket"),
-                                               F.col("pred_wm_us").alias("_next_pred_wm")),
-                                cfg.broadcast_max_rows)
+    pred = wm_small.select(F.col(L.BUCKET).alias("_next_bucket"), F.col("pred_wm_us").alias("_next_pred_wm"))
     arming = arming.join(pred, on="_next_bucket", how="left")
     no_end = F.lit(final_wm) if final_wm is not None else F.lit(None).cast("bigint")
     limit = (F.when(F.col("_next_bucket").isNull(), no_end)
@@ -105,18 +128,10 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
              .otherwise(F.col("_next_pred_wm")))
     timers = cascade(arming, "_us", limit, cfg).withColumn("detected_by", F.lit("timer"))
 
-    validated = acc.select(F.col("timestamp").alias("time"), "meter_id", "consumption_kwh", "status",
-                           "arrival_ts", "_us", *SEQ_COLS)
-    late_events = too_late.select(F.col("timestamp").alias("time"), "meter_id",
-                                  F.col("timestamp").alias("event_timestamp"), "consumption_kwh",
-                                  F.coalesce("delay_seconds", F.lit(0)).alias("delay_seconds"),
-                                  "arrival_ts", "_us", *SEQ_COLS)
     alerts = (timers.select(*ALERT_COLS, F.col("missing_to").alias("arrival_ts"), "_us", "_bucket", "seq", "_k")
               .unionByName(resume.select(*ALERT_COLS, "arrival_ts", "_us", "_bucket", "seq",
                                          F.lit(0).cast("bigint").alias("_k"))))
     if out_path:
-        validated = _save(validated, out_path, "validated_readings")
-        late_events = _save(late_events, out_path, "late_events")
         alerts = _save(alerts, out_path, "gap_alerts")
 
     metrics = _metrics(rows, late_events, validated, alerts, has_parse)
@@ -128,12 +143,27 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
 
 
 def _save(df: DataFrame, base: str, name: str, by_date: bool = True) -> DataFrame:
+    """Write one result table and read it back (with its known schema: no footer scan).
+
+    Range partitioning on (event_date, meter_id) gives each task a contiguous
+    key range (a busy day is split over several tasks by the sampled bounds), so
+    a task writes into one or two day folders instead of every day, and files
+    are clustered by meter within a day (min/max pruning for per-meter reports).
+    """
     import os
+
+    from pyspark.sql import types as T
     path = os.path.join(base, name)
-    w = df.withColumn("event_date", F.to_date("time")) if by_date else df
-    w = w.write.mode("overwrite")
-    (w.partitionBy("event_date") if by_date else w).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if by_date:
+        w = (df.withColumn("event_date", F.to_date("time"))
+             .repartitionByRange("event_date", "meter_id")
+             .sortWithinPartitions("event_date", "meter_id", "time"))
+        w.write.mode("overwrite").partitionBy("event_date").parquet(path)
+        schema = T.StructType(df.schema.fields + [T.StructField("event_date", T.DateType())])
+    else:
+        df.write.mode("overwrite").parquet(path)
+        schema = df.schema
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def _metric(df: DataFrame, kind: str, value, tags, time="arrival_ts", meter="meter_id") -> DataFrame:
@@ -180,7 +210,7 @@ def _meter_state(acc, late_events, alerts, final_wm, cfg: QualityConfig) -> Data
     per = (acc.groupBy("meter_id")
            .agg(F.max("_us").alias("_last"), F.max(F.when(restart, order)).alias("_r0")))
     alive = F.lit(True) if final_wm is None else (F.col("_last") + F.lit(cfg.ttl_us) > F.lit(final_wm))
-    per = per.where(alive)
+    per, _ = checked_broadcast(per.where(alive).select("meter_id", "_last", "_r0"), cfg.broadcast_max_rows)
 
     def count_after(df, name, inclusive):
         j = df.select("meter_id", order.alias("_o")).join(per.select("meter_id", "_r0"), "meter_id")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsquality.functions.arith import idiv
-from tsquality.functions.hashing import uniform01
+from tsquality.functions.hashing import with_uniforms
 
 
 def generate_readings(spark: SparkSession, start: dt.datetime, num_meters: int = 10, days: int = 7,
@@ -33,9 +33,10 @@ def generate_readings(spark: SparkSession, start: dt.datetime, num_meters: int =
 
 def regular_series(grid: DataFrame, start, interval_minutes: int, seed: int) -> DataFrame:
     """Readings for a (m BIGINT, k BIGINT) grid: meter m, step k from ``start``."""
-    key = F.concat_ws("/", F.col("m"), F.col("k"))
-    base = 0.5 + uniform01(seed, "base", F.col("m")) * 4.5
-    noise = -0.3 + uniform01(seed, "noise", key) * 0.6
+    grid = with_uniforms(grid, seed, {"_u_base": ("base", "m"),
+                                      "_u_noise": ("noise", F.col("m") * F.lit(1 << 32) + F.col("k"))})
+    base = 0.5 + F.col("_u_base") * 4.5
+    noise = -0.3 + F.col("_u_noise") * 0.6
     return grid.select(
         F.format_string("METER_%04d", F.col("m")).alias("meter_id"),
         (start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("k") * interval_minutes)).alias("timestamp"),
@@ -76,19 +77,18 @@ def inject_faults(readings: DataFrame, seed: int = 42, gap_probability: float =
     negative or too-large numbers so that the validator has work on data that
     holds no invalid rows.
     """
-    u_drop = uniform01(seed, "drop", F.col("seq"))
-    u_delay = uniform01(seed, "delay", F.col("seq"))
-    u_amount = uniform01(seed, "amount", F.col("seq"))
-    u_bad = uniform01(seed, "corrupt", F.col("seq"))
-    delay_us = F.when(u_delay < delay_probability,
-                      (u_amount * F.lit(max_delay_seconds * 1_000_000)).cast("bigint")).otherwise(F.lit(0))
+    d = with_uniforms(readings, seed, {"_u_drop": ("drop", "seq"), "_u_delay": ("delay", "seq"),
+                                       "_u_amount": ("amount", "seq"), "_u_bad": ("corrupt", "seq")})
+    delay_us = F.when(F.col("_u_delay") < delay_probability,
+                      (F.col("_u_amount") * F.lit(max_delay_seconds * 1_000_000)).cast("bigint")).otherwise(F.lit(0))
     kwh = F.col("consumption_kwh")
-    kwh = (F.when(u_bad < corrupt_probability / 2, -kwh - F.lit(0.001))
-           .when(u_bad < corrupt_probability, kwh * F.lit(1e6) + F.lit(100000.5))
+    kwh = (F.when(F.col("_u_bad") < corrupt_probability / 2, -kwh - F.lit(0.001))
+           .when(F.col("_u_bad") < corrupt_probability, kwh * F.lit(1e6) + F.lit(100000.5))
            .otherwise(kwh))
-    return (readings.where(u_drop >= gap_probability)
+    return (d.where(F.col("_u_drop") >= gap_probability)
             .withColumn("consumption_kwh", kwh)
-            .withColumn("arrival_ts", F.timestamp_micros(F.unix_micros("timestamp") + delay_us)))
+            .withColumn("arrival_ts", F.timestamp_micros(F.unix_micros("timestamp") + delay_us))
+            .drop("_u_drop", "_u_delay", "_u_amount", "_u_bad"))
 
 
 def inject_faults_sql(src: str, seed: int = 42, gap_probability: float = 0.05,
