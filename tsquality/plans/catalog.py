@@ -75,14 +75,25 @@ def _accepted_clean(spark, sf_dir):
     return validate(readings(spark, sf_dir), CFG).where(F.col("error").isNull())
 
 
+_tables: dict = {}
+
+
 def tables(spark, sf_dir):
-    r = routes(spark, sf_dir)
-    return dict(
-        validated=T.resolve_routed(r.validated, "validated_readings"),
-        gap_alerts=T.resolve_routed(r.gap_alerts, "gap_alerts"),
-        late_events=T.resolve_routed(r.late_events, "late_events"),
-        metrics=r.metrics,
-    )
+    """The four tables as the reports read them: key rules applied once and
+    compacted (S12) into the shared folder, partitioned by day."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _tables:
+            r = routes(spark, sf_dir)
+            base = scratch_path(spark, "tables")
+            _tables[key] = dict(
+                validated=T.write_compacted(T.resolve_routed(r.validated, "validated_readings"),
+                                            base + "/validated_readings"),
+                gap_alerts=T.write_compacted(T.resolve_routed(r.gap_alerts, "gap_alerts"), base + "/gap_alerts"),
+                late_events=T.write_compacted(T.resolve_routed(r.late_events, "late_events"), base + "/late_events"),
+                metrics=r.metrics,
+            )
+        return _tables[key]
 
 
 # -- ingest / validate -------------------------------------------------------
