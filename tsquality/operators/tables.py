@@ -37,6 +37,21 @@ COLUMNS = {
 }
 
 
+_TYPES = {
+    "validated_readings": "time TIMESTAMP, meter_id STRING, consumption_kwh DOUBLE, status STRING",
+    "gap_alerts": "time TIMESTAMP, meter_id STRING, missing_from TIMESTAMP, missing_to TIMESTAMP, "
+                  "gap_minutes INT, detected_by STRING",
+    "late_events": "time TIMESTAMP, meter_id STRING, event_timestamp TIMESTAMP, consumption_kwh DOUBLE, "
+                   "delay_seconds INT",
+    "metrics": "time TIMESTAMP, metric_type STRING, meter_id STRING, value DOUBLE, tags MAP<STRING, STRING>",
+}
+
+
+def log_schema(table: str) -> str:
+    """Schema of a table log, partition columns included (an empty log reads as empty)."""
+    return _TYPES[table] + ", _wseq STRUCT<k: INT, s: BIGINT>, _batch_id BIGINT, event_date DATE"
+
+
 def write_order(df: DataFrame, table: str) -> DataFrame:
     """``_wseq``: order of the writes inside a batch."""
     if table == "gap_alerts" and "detected_by" in df.columns:
@@ -54,8 +69,11 @@ def write_batch(df: DataFrame, path: str, table: str, batch_id: int) -> None:
      .parquet(os.path.join(path, f"_batch_id={int(batch_id)}")))
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def read_log(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    r = spark.read.option("basePath", path)
+    if table:
+        r = r.schema(log_schema(table))
+    return r.parquet(path)
 
 
 def resolve(log: DataFrame, table: str, batch_col: str = "_batch_id") -> DataFrame:
@@ -75,7 +93,7 @@ def resolve(log: DataFrame, table: str, batch_col: str = "_batch_id") -> DataFra
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """The table as the reference's database would hold it."""
-    return resolve(read_log(spark, path), table)
+    return resolve(read_log(spark, path, table), table)
 
 
 def compact(spark: SparkSession, path: str, table: str, out_path: str) -> DataFrame:
