@@ -59,3 +59,23 @@ def test_payload_round_trip(spark):
     assert sorted((x.meter_id, str(x.timestamp), x.status) for x in parsed) == \
         [("M1", "2024-01-01 10:00:00.250000", "OK"), ("M2", "2024-01-01 11:00:00", "OK")]
     assert reading_payload is not None
+
+
+def test_consume_result_topics(spark, tmp):
+    """S6 -> S7: result messages written to topic stand-in files, consumed into tables."""
+    r = readings(spark, [("M1", "2024-01-01 10:00:00", 1.5), ("M1", "2024-01-01 10:00:00", 2.5)])
+    routed = r.select(F.lit("validated").alias("route"), "meter_id", "timestamp", "consumption_kwh",
+                      F.lit("OK").alias("status"), "seq")
+    for c, t in [("missing_from", "timestamp"), ("missing_to", "timestamp"), ("gap_minutes", "int"),
+                 ("delay_seconds", "int"), ("metric_type", "string"), ("value", "double"),
+                 ("tags", "map<string,string>")]:
+        routed = routed.withColumn(c, F.lit(None).cast(t))
+    src = os.path.join(tmp, "topics")
+    msgs = result_messages(routed).withColumn("offset", F.monotonically_increasing_id())
+    msgs.coalesce(1).write.json(src)
+    stream = spark.readStream.schema("topic STRING, key STRING, value STRING, offset BIGINT").json(src)
+    q = job.consume_results(stream, os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"))
+    q.awaitTermination()
+    t = job.read_tables(spark, os.path.join(tmp, "out"))
+    # Upsert on (time, meter_id): the later offset wins.
+    assert [(x.meter_id, x.consumption_kwh) for x in t["validated_readings"].collect()] == [("M1", 2.5)]

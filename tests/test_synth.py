@@ -1,0 +1,33 @@
+"""Generator and fault injection."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tsquality.sources.synth import generate_readings, inject_faults, replay_order
+
+
+def test_sample_sizes(spark):
+    g = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=10, days=7, interval_minutes=30)
+    assert g.count() == 3360
+    assert sorted(r.meter_id for r in g.select("meter_id").distinct().collect())[0] == "METER_0001"
+    s = g.agg(F.min("consumption_kwh").alias("lo"), F.max("consumption_kwh").alias("hi"),
+              F.count_distinct("timestamp").alias("n")).first()
+    assert 0.0 <= s.lo and s.hi <= 5.3 and s.n == 336
+    big = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=20, days=30)
+    assert big.count() == 28800
+    first = replay_order(g).first()
+    assert first.timestamp == dt.datetime(2024, 1, 1)
+
+
+def test_fault_rates(spark):
+    g = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=20, days=30)
+    f = inject_faults(g, seed=1, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=300)
+    kept = f.count() / 28800
+    assert 0.93 < kept < 0.97
+    delayed = f.where(F.col("arrival_ts") > F.col("timestamp")).count() / f.count()
+    assert 0.08 < delayed < 0.12
+    mx = f.agg(F.max(F.unix_timestamp("arrival_ts") - F.unix_timestamp("timestamp"))).first()[0]
+    assert mx <= 300
+    again = inject_faults(g, seed=1, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=300)
+    assert again.count() == f.count()

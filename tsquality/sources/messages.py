@@ -78,12 +78,13 @@ def result_messages(routed: DataFrame) -> DataFrame:
     return routed.select(topic.alias("topic"), F.col("meter_id").alias("key"), payload.alias("value"))
 
 
-def parse_results(messages: DataFrame, route: str) -> DataFrame:
+def parse_results(messages: DataFrame, route: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """A result topic's JSON back to typed columns (ISO text to TIMESTAMP)."""
     schema = RESULT_SCHEMAS[route]
     text = ", ".join(f"{f.name} {'STRING' if f.dataType.typeName() == 'timestamp' else f.dataType.simpleString()}"
                      for f in schema.fields)
-    d = messages.select(F.from_json(F.col("value"), text).alias("_r")).select("_r.*")
+    keep = tuple(c for c in keep if c in messages.columns)
+    d = messages.select(*keep, F.from_json(F.col("value"), text).alias("_r")).select(*keep, "_r.*")
     for f in schema.fields:
         if f.dataType.typeName() == "timestamp":
             d = d.withColumn(f.name, parse_iso_timestamp(F.col(f.name)))
