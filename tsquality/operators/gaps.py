@@ -24,6 +24,11 @@ from tsquality.functions.arith import idiv
 from tsquality.operators.sequence import ordered_scan
 
 GAP_COLUMNS = ["time", "meter_id", "missing_from", "missing_to", "gap_minutes"]
+NEW_COLUMNS = ["time", "missing_from", "missing_to", "gap_minutes"]
+
+
+def _keep(df: DataFrame, replaced) -> list:
+    return [F.col(f"`{c}`") for c in df.columns if c not in replaced]
 
 
 def gap_condition(cur_us: Column, last_us: Column, cfg: QualityConfig = DEFAULT) -> Column:
@@ -46,10 +51,8 @@ def gap_rows(df: DataFrame, cur_us: str, last_us: str, cfg: QualityConfig = DEFA
     cur, last = F.col(cur_us), F.col(last_us)
     missing_from = F.timestamp_micros(last + F.lit(cfg.interval_us))
     return (df.where(last.isNotNull() & gap_condition(cur, last, cfg))
-            .withColumn("missing_from", missing_from)
-            .withColumn("missing_to", F.timestamp_micros(cur))
-            .withColumn("gap_minutes", gap_minutes(cur, last, cfg))
-            .withColumn("time", F.col("missing_from")))
+            .select(*_keep(df, NEW_COLUMNS), missing_from.alias("missing_from"), F.timestamp_micros(cur).alias("missing_to"),
+                    gap_minutes(cur, last, cfg).alias("gap_minutes"), missing_from.alias("time")))
 
 
 def gap_events(readings: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
@@ -92,12 +95,11 @@ def cascade(armed: DataFrame, t_us: str, limit_us: Column, cfg: QualityConfig =
     cap = F.least(limit_us, t + F.lit(cfg.ttl_us))
     # least() skips NULLs: a NULL limit means "never fires", not "up to the TTL".
     kmax = F.when(limit_us.isNotNull(), idiv(cap - t - F.lit(g), F.lit(i)))
-    d = armed.withColumn("_k", F.explode(F.when(kmax >= 1, F.sequence(F.lit(1).cast("bigint"), kmax))))
+    d = armed.select("*", F.explode(F.when(kmax >= 1, F.sequence(F.lit(1).cast("bigint"), kmax))).alias("_k"))
     missing_from = F.timestamp_micros(t + F.col("_k") * F.lit(i))
-    return (d.withColumn("missing_from", missing_from)
-            .withColumn("missing_to", F.timestamp_micros(t + F.col("_k") * F.lit(i) + F.lit(g)))
-            .withColumn("gap_minutes", F.lit(cfg.grace_seconds // 60).cast("int"))
-            .withColumn("time", F.col("missing_from")))
+    return d.select(*_keep(d, NEW_COLUMNS), missing_from.alias("missing_from"),
+                    F.timestamp_micros(t + F.col("_k") * F.lit(i) + F.lit(g)).alias("missing_to"),
+                    F.lit(cfg.grace_seconds // 60).cast("int").alias("gap_minutes"), missing_from.alias("time"))
 
 
 def silence_alerts(readings: DataFrame, cfg: QualityConfig = DEFAULT, final_wm_us: int | None = None) -> DataFrame:

@@ -26,9 +26,14 @@ ON_TIME, LATE, TOO_LATE = "ON_TIME", "LATE", "TOO_LATE"
 BUCKET = "_bucket"
 
 
+def bucket_of(bucket_seconds: int, arrival: str = "arrival_ts") -> Column:
+    """The arrival micro-batch number."""
+    return idiv(F.unix_micros(arrival), F.lit(bucket_seconds * 1_000_000))
+
+
 def with_bucket(df: DataFrame, bucket_seconds: int, arrival: str = "arrival_ts") -> DataFrame:
     """Add ``_bucket``: the arrival micro-batch number."""
-    return df.withColumn(BUCKET, idiv(F.unix_micros(arrival), F.lit(bucket_seconds * 1_000_000)))
+    return df.withColumn(BUCKET, bucket_of(bucket_seconds, arrival))
 
 
 def arrival_batches(rows: DataFrame, cfg: QualityConfig = DEFAULT, valid: str = "error") -> DataFrame:
@@ -83,5 +88,5 @@ def calculate_delay(ts_us: Column, wm_us: Column) -> Column:
 def classify(rows: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
     """Add ``timing`` and ``delay_seconds`` from ``timestamp`` and ``wm_us``."""
     ts_us = F.unix_micros("timestamp")
-    return (rows.withColumn("timing", classify_event(ts_us, F.col("wm_us"), cfg))
-            .withColumn("delay_seconds", calculate_delay(ts_us, F.col("wm_us"))))
+    return rows.select("*", classify_event(ts_us, F.col("wm_us"), cfg).alias("timing"),
+                       calculate_delay(ts_us, F.col("wm_us")).alias("delay_seconds"))

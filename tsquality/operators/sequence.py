@@ -57,48 +57,42 @@ def ordered_scan(df: DataFrame, key: str, pos: str, order: list[str], outputs: l
     by default it is detected here. A subset of rows may reuse its parent's.
     """
     width = segment_width(cfg, segment_us)
-    d = df.withColumn(SEG, idiv(F.col(pos), F.lit(width)))
+    base_cols = df.columns
+    d = df.select("*", idiv(F.col(pos), F.lit(width)).alias(SEG))
     if isinstance(hot, str):
         hot = detect_hot(d, key, cfg)
     d = _apply_split(d, key, pos, width, hot)
     parts = [key, SEG, SUB]
-    ordering = [F.col(c) for c in order]
-    w = Window.partitionBy(*parts).orderBy(*ordering)
+    w = Window.partitionBy(*parts).orderBy(*[F.col(c) for c in order])
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     order_struct = F.struct(*[F.col(c) for c in order])
+    ws = Window.partitionBy(key).orderBy(SEG, SUB)
 
-    d = (d.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-          .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
+    in_cols = [F.lag(F.lit(1)).over(w).isNull().alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last")]
     seg_aggs, carries, finals = [], [], []
-    ws = Window.partitionBy(key).orderBy(SEG, SUB)
     for name, kind, value in outputs:
         tmp_in, tmp_seg, tmp_carry = f"_in_{name}", f"_sg_{name}", f"_cr_{name}"
         if kind == "prev_max":
-            d = d.withColumn(tmp_in, F.max(value).over(before))
+            in_cols.append(F.max(value).over(before).alias(tmp_in))
             seg_aggs.append(F.max(value).alias(tmp_seg))
             carries.append(F.max(tmp_seg).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias(tmp_carry))
-            finals.append((name, F.greatest(F.col(tmp_in), F.col(tmp_carry))))
+            finals.append(F.greatest(F.col(tmp_in), F.col(tmp_carry)).alias(name))
         elif kind == "prev":
-            d = d.withColumn(tmp_in, F.lag(value).over(w))
+            in_cols.append(F.lag(value).over(w).alias(tmp_in))
             seg_aggs.append((F.max(value) if value == pos else F.max_by(F.col(value), order_struct)).alias(tmp_seg))
             carries.append(F.lag(tmp_seg).over(ws).alias(tmp_carry))
-            finals.append((name, F.when(F.col("_first"),
-                                        F.col(tmp_carry)).otherwise(F.col(tmp_in))))
+            finals.append(F.when(F.col("_first"), F.col(tmp_carry)).otherwise(F.col(tmp_in)).alias(name))
         elif kind == "next":
-            d = d.withColumn(tmp_in, F.lead(value).over(w))
+            in_cols.append(F.lead(value).over(w).alias(tmp_in))
             seg_aggs.append((F.min(value) if value == pos else F.min_by(F.col(value), order_struct)).alias(tmp_seg))
             carries.append(F.lead(tmp_seg).over(ws).alias(tmp_carry))
-            finals.append((name, F.when(F.col("_last"),
-                                        F.col(tmp_carry)).otherwise(F.col(tmp_in))))
+            finals.append(F.when(F.col("_last"), F.col(tmp_carry)).otherwise(F.col(tmp_in)).alias(name))
         else:
             raise ValueError(kind)
 
+    d = d.select("*", *in_cols)
     seg_table = d.groupBy(*parts).agg(*seg_aggs).select(*parts, *carries)
-    out = d.join(seg_table, on=parts, how="left")
-    for name, expr in finals:
-        out = out.withColumn(name, expr)
-    drop = [c for c in out.columns if c.startswith(("_in_", "_sg_", "_cr_"))] + [SEG, SUB, "_first", "_last"]
-    return out.drop(*drop)
+    return d.join(seg_table, on=parts, how="left").select(*[F.col(c) for c in base_cols], *finals)
 
 
 def segment_width(cfg: QualityConfig, segment_us: int | None) -> int:
@@ -126,8 +120,7 @@ def detect_hot(df: DataFrame, key: str, cfg: QualityConfig = DEFAULT, pos: str |
 def _apply_split(d: DataFrame, key: str, pos: str, width: int, hot) -> DataFrame:
     """Add ``_sub``: 0, or for hot segments an equal split of the segment's range."""
     if hot is None:
-        return d.withColumn(SUB, F.lit(0).cast("bigint"))
+        return d.select("*", F.lit(0).cast("bigint").alias(SUB))
     offset = F.col(pos) - F.col(SEG) * F.lit(width)
-    return (d.join(hot, on=[key, SEG], how="left")
-            .withColumn(SUB, F.coalesce(idiv(offset * F.col("_nsub"), F.lit(width)), F.lit(0)).cast("bigint"))
-            .drop("_nsub"))
+    sub = F.coalesce(idiv(offset * F.col("_nsub"), F.lit(width)), F.lit(0)).cast("bigint")
+    return d.join(hot, on=[key, SEG], how="left").select(*[F.col(c) for c in d.columns], sub.alias(SUB))

@@ -49,8 +49,8 @@ def validation_result(cfg: QualityConfig = DEFAULT, meter_id: str = "meter_id",
 def validate(df: DataFrame, cfg: QualityConfig = DEFAULT, **cols) -> DataFrame:
     """Add ``validation`` (the message) and ``error`` (NULL when valid)."""
     res = validation_result(cfg, **cols)
-    return (df.withColumn("validation", res)
-            .withColumn("error", F.when(F.col("validation") != F.lit(OK), F.col("validation"))))
+    d = df.select("*", res.alias("validation"))
+    return d.select("*", F.when(F.col("validation") != F.lit(OK), F.col("validation")).alias("error"))
 
 
 def complete_rows(df: DataFrame, cols=("meter_id", "timestamp", "consumption_kwh")) -> DataFrame:

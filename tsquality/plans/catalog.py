@@ -91,7 +91,7 @@ def tables(spark, sf_dir):
                                             base + "/validated_readings"),
                 gap_alerts=T.write_compacted(T.resolve_routed(r.gap_alerts, "gap_alerts"), base + "/gap_alerts"),
                 late_events=T.write_compacted(T.resolve_routed(r.late_events, "late_events"), base + "/late_events"),
-                metrics=r.metrics,
+                metrics=T.write_compacted(r.metrics, base + "/metrics"),
             )
         return _tables[key]
 

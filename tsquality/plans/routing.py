@@ -75,7 +75,7 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     if has_parse:
         rows = rows.withColumn("error", F.when(F.col("parse_error").isNull(), F.col("error"))
                                .otherwise(F.lit("processing_error")))
-    rows = L.with_bucket(rows, bucket_seconds).withColumn("_us", F.unix_micros("timestamp"))
+    rows = rows.select("*", L.bucket_of(bucket_seconds).alias(L.BUCKET), F.unix_micros("timestamp").alias("_us"))
 
     # Per arrival bucket: watermark of the batch and of the batch before (small, cached).
     batches = L.arrival_batches(rows, cfg).cache()
@@ -114,8 +114,8 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     validated = acc
 
     live_prev = F.when(~F.col("_expired"), F.col("_prev_max"))
-    resume = (gap_rows(acc.withColumn("_live_prev", live_prev), "_us", "_live_prev", cfg)
-              .withColumn("detected_by", F.lit("event")))
+    resume = gap_rows(acc.select("*", live_prev.alias("_live_prev")), "_us", "_live_prev", cfg) \
+        .select("*", F.lit("event").alias("detected_by"))
 
     arming = acc.where(F.col("_prev_max").isNull() | (F.col("_us") > F.col("_prev_max")))
     arming = ordered_scan(arming.select("meter_id", "_bucket", "_us", "seq"), "meter_id", "_bucket", ORDER,
@@ -126,7 +126,7 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     limit = (F.when(F.col("_next_bucket").isNull(), no_end)
              .when(F.col("_next_bucket") == F.col("_bucket"), F.lit(None).cast("bigint"))
              .otherwise(F.col("_next_pred_wm")))
-    timers = cascade(arming, "_us", limit, cfg).withColumn("detected_by", F.lit("timer"))
+    timers = cascade(arming, "_us", limit, cfg).select("*", F.lit("timer").alias("detected_by"))
 
     alerts = (timers.select(*ALERT_COLS, F.col("missing_to").alias("arrival_ts"), "_us", "_bucket", "seq", "_k")
               .unionByName(resume.select(*ALERT_COLS, "arrival_ts", "_us", "_bucket", "seq",
@@ -143,27 +143,13 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
 
 
 def _save(df: DataFrame, base: str, name: str, by_date: bool = True) -> DataFrame:
-    """Write one result table and read it back (with its known schema: no footer scan).
-
-    Range partitioning on (event_date, meter_id) gives each task a contiguous
-    key range (a busy day is split over several tasks by the sampled bounds), so
-    a task writes into one or two day folders instead of every day, and files
-    are clustered by meter within a day (min/max pruning for per-meter reports).
-    """
+    """Write one routed output (staging, plain parquet) and read it back with its
+    known schema (no footer scan). The report tables are the compacted,
+    day-partitioned copies made from these (``tables.write_compacted``)."""
     import os
-
-    from pyspark.sql import types as T
     path = os.path.join(base, name)
-    if by_date:
-        w = (df.withColumn("event_date", F.to_date("time"))
-             .repartitionByRange("event_date", "meter_id")
-             .sortWithinPartitions("event_date", "meter_id", "time"))
-        w.write.mode("overwrite").partitionBy("event_date").parquet(path)
-        schema = T.StructType(df.schema.fields + [T.StructField("event_date", T.DateType())])
-    else:
-        df.write.mode("overwrite").parquet(path)
-        schema = df.schema
-    return df.sparkSession.read.schema(schema).parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _metric(df: DataFrame, kind: str, value, tags, time="arrival_ts", meter="meter_id") -> DataFrame:
