@@ -102,13 +102,14 @@ def compact(spark: SparkSession, path: str, table: str, out_path: str) -> DataFr
 
 
 def write_compacted(df: DataFrame, out_path: str) -> DataFrame:
-    """Write resolved rows partitioned by day, range-partitioned on (event_date, meter_id)
-    and sorted by (meter_id, time desc) inside files (the reference's access path);
-    read back with the known schema."""
+    """Write resolved rows partitioned by day and sorted by (meter_id, time desc)
+    inside files (the reference's access path); read back with the known schema."""
     from pyspark.sql import types as Ty
     if "event_date" not in df.columns:
         df = df.withColumn("event_date", F.to_date("time"))
-    (df.repartitionByRange("event_date", "meter_id")
+    # REBALANCE: AQE hash-partitions by day, splits a day that is too big over
+    # several tasks and merges small ones, so each task writes few, sizeable files.
+    (df.hint("rebalance", "event_date")
      .sortWithinPartitions("event_date", "meter_id", F.desc("time"))
      .write.mode("overwrite").partitionBy("event_date").parquet(out_path))
     fields = [f for f in df.schema.fields if f.name != "event_date"] + [Ty.StructField("event_date", Ty.DateType())]
