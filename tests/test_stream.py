@@ -100,3 +100,39 @@ def test_stream_equals_batch(spark, tmp):
     want_state = sorted((r.meter_id, int(r.last_seen.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6),
                          r.gap_count, r.late_count) for r in twin.meter_state.collect())
     assert got_state == want_state
+
+
+def test_ttl_expiry_stream_equals_batch(spark, tmp):
+    """A meter silent for more than the 7-day TTL: its cascade stops at the TTL, its
+    state is cleared, and its next reading starts a new life (no resume alert)."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [("A", base, 1.0, base)]
+    for h in range(0, 12 * 24, 12):                       # B every 12 hours for 12 days
+        t = base + dt.timedelta(hours=h + 1)
+        rows.append(("B", t, 1.0, t))
+    t = base + dt.timedelta(days=10)
+    rows.append(("A", t, 1.0, t))                          # A resumes after 10 days
+    rows.append(("A", base + dt.timedelta(days=9, hours=20), 1.0, t + dt.timedelta(hours=1)))  # too late
+    df = spark.createDataFrame([(m, ts, v, i, a) for i, (m, ts, v, a) in enumerate(rows)],
+                               "meter_id string, timestamp timestamp, consumption_kwh double, seq bigint, "
+                               "arrival_ts timestamp")
+    cfg = QualityConfig(interval_minutes=360, materialize="cache")
+    bucket = 12 * 3600
+    write_buckets(spark, df, os.path.join(tmp, "src"), bucket)
+    streamed = run_stream(spark, os.path.join(tmp, "src"), tmp, cfg)
+    twin = route(df, cfg, bucket)
+    gcols = ["meter_id", "missing_from", "missing_to", "gap_minutes", "detected_by"]
+    got = _norm(streamed["gap_alerts"], gcols)
+    assert got == _norm(T.resolve_routed(twin.gap_alerts, "gap_alerts"), gcols)
+    a_alerts = [g for g in got if g[0] == "A"]
+    # First life: steps of 6 h from day 0 up to the TTL, (7 d - 15 min) / 6 h -> 27 steps.
+    # No resume alert at day 10 (state expired); the new life cascades up to the final
+    # watermark (B's last reading, day 11 13:00): 6 more steps.
+    first = [g for g in a_alerts if g[1] < base + dt.timedelta(days=10)]
+    assert len(first) == 27 and len(a_alerts) == 33 and all(g[4] == "timer" for g in a_alerts)
+    lcols = ["meter_id", "time", "delay_seconds"]
+    assert _norm(streamed["late_events"], lcols) == _norm(twin.late_events, lcols)
+    state = job.read_state(spark, os.path.join(tmp, "ckpt")).select(F.col("key._key").alias("meter_id"), "value.*")
+    got_state = sorted((r.meter_id, r.gap_count, r.late_count) for r in state.collect())
+    want_state = sorted((r.meter_id, r.gap_count, r.late_count) for r in twin.meter_state.collect())
+    assert got_state == want_state

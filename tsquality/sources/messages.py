@@ -94,11 +94,18 @@ def parse_results(messages: DataFrame, route: str, keep: tuple[str, ...] = ()) -
 # -- Kafka edges (connector jar required at run time) -------------------------
 
 def kafka_source(spark: SparkSession, servers: str, topic: str = TOPICS["raw"], stream: bool = True,
-                 group: str = "tsquality") -> DataFrame:
-    """Subscribe from the earliest offsets; ``value``/``key`` as text."""
+                 group: str = "tsquality", max_offsets_per_trigger: int | None = 10_000_000) -> DataFrame:
+    """Subscribe from the earliest offsets; ``value``/``key`` as text.
+
+    ``maxOffsetsPerTrigger`` bounds a micro-batch, and with it the rows one meter
+    can bring to the stateful processor in one call.
+    """
     reader = spark.readStream if stream else spark.read
-    return (reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", "earliest").option("kafka.group.id", group).load()
+    reader = (reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+              .option("startingOffsets", "earliest").option("kafka.group.id", group))
+    if stream and max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return (reader.load()
             .select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition", "offset",
                     F.col("timestamp").alias("arrival_ts")))
 
