@@ -182,6 +182,14 @@ SQL = {
           make_timestamp(least(_s + {I}, epoch_us(missing_to))) AS slot_to,
           CAST((least(_s + {I}, epoch_us(missing_to)) - _s) // 60000000 AS INTEGER) AS slot_minutes
         FROM s WHERE (least(_s + {I}, epoch_us(missing_to)) - _s) // 60000000 > 0""",
+    "missing_intervals_as_written": f"""WITH {CLEAN}, {GAPS_CLEAN.strip()},
+        s AS (SELECT meter_id, missing_from AS gap_from, missing_to,
+                unnest(generate_series(epoch_us(missing_from), epoch_us(missing_to) - 1, {2 * I})) AS _s
+              FROM gaps WHERE missing_from < missing_to)
+        SELECT meter_id, gap_from, make_timestamp(_s) AS slot_from,
+          make_timestamp(least(_s + {I}, epoch_us(missing_to))) AS slot_to,
+          CAST((least(_s + {I}, epoch_us(missing_to)) - _s) // 60000000 AS INTEGER) AS slot_minutes
+        FROM s WHERE (least(_s + {I}, epoch_us(missing_to)) - _s) // 60000000 > 0""",
     "silence_alerts": _clean(f""", fw AS (SELECT max(epoch_us(timestamp)) - {BOUND} AS w FROM clean),
         n AS (SELECT meter_id, epoch_us(timestamp) AS _us,
                 lead(epoch_us(timestamp)) OVER (PARTITION BY meter_id ORDER BY epoch_us(timestamp), seq) AS _next
@@ -230,6 +238,7 @@ SQL = {
     "consumption_series": _routed(f"SELECT time, consumption_kwh FROM t_validated WHERE {RANGE}"),
     "gap_series": _routed(f"SELECT missing_from AS gap_start, gap_minutes AS value FROM t_gap_alerts WHERE {RANGE}"),
     "late_series": _routed(f"SELECT event_timestamp AS event_time, delay_seconds AS value FROM t_late_events WHERE {RANGE}"),
+    "meter_drill_down": _routed(f"SELECT time, consumption_kwh FROM t_validated WHERE {RANGE} AND meter_id = 'METER_0007'"),
     "meter_stats": _routed(f"""SELECT meter_id, count(*) AS total_readings, count(*) FILTER (WHERE status = 'LATE') AS late_readings,
         max(time) AS last_reading FROM t_validated WHERE {RANGE} GROUP BY meter_id"""),
     "processing_series": _routed(f"""SELECT DISTINCT time, value FROM metrics

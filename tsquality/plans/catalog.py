@@ -202,6 +202,11 @@ def q_missing_intervals(spark, sf_dir):
     return G.missing_intervals(G.gap_events(_accepted_clean(spark, sf_dir), CFG), CFG)
 
 
+def q_missing_intervals_as_written(spark, sf_dir):
+    """W3 with stride 2: every second slot, as the reference's helper computes it."""
+    return G.missing_intervals(G.gap_events(_accepted_clean(spark, sf_dir), CFG), CFG, stride=2)
+
+
 def q_silence_alerts(spark, sf_dir):
     return G.silence_alerts(_accepted_clean(spark, sf_dir), CFG)
 
@@ -304,6 +309,14 @@ def q_late_series(spark, sf_dir):
     return Q.late_series(_t(spark, sf_dir, "late_events"), T_FROM, T_TO)
 
 
+DRILL_METER = "METER_0007"
+
+
+def q_meter_drill_down(spark, sf_dir):
+    """One meter's consumption series (the drill-down dashboard with a meter chosen)."""
+    return Q.consumption_series(_t(spark, sf_dir, "validated"), T_FROM, T_TO, DRILL_METER)
+
+
 def q_meter_stats(spark, sf_dir):
     return Q.meter_stats(_t(spark, sf_dir, "validated"), T_FROM, T_TO)
 
@@ -347,6 +360,7 @@ QUERIES = {
     "gap_events": q_gap_events,
     "expected_next": q_expected_next,
     "missing_intervals": q_missing_intervals,
+    "missing_intervals_as_written": q_missing_intervals_as_written,
     "silence_alerts": q_silence_alerts,
     "resume_alerts": q_resume_alerts,
     "timer_alerts": q_timer_alerts,
@@ -369,6 +383,7 @@ QUERIES = {
     "consumption_series": q_consumption_series,
     "gap_series": q_gap_series,
     "late_series": q_late_series,
+    "meter_drill_down": q_meter_drill_down,
     "meter_stats": q_meter_stats,
     "processing_series": q_processing_series,
     "error_rate": q_error_rate,
