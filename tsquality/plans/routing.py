@@ -62,8 +62,8 @@ SEQ_COLS = ["_bucket", "seq"]
 
 def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60,
           out_path: str | None = None) -> Routes:
-    """Build the routed run. With ``out_path`` the result tables are written there
-    (parquet, partitioned by ``event_date``) and the returned frames read them back.
+    """Build the routed run. With ``out_path`` the routed outputs are written there
+    (staging parquet) and the returned frames read them back.
 
     Reuse without extra copies: the validated table is written with a few
     internal columns (``_prev_max``, ``_expired``, ...) and read back for the
