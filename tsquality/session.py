@@ -40,6 +40,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every operator relies on; safe to call on a foreign session."""
     # All times are UTC; naive strings are read as UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Small per-bucket / per-meter tables are cached; let AQE size their shuffles too.
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     checkpoint_dir(spark)
     return spark
 
