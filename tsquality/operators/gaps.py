@@ -55,13 +55,15 @@ def gap_rows(df: DataFrame, cur_us: str, last_us: str, cfg: QualityConfig = DEFA
                     gap_minutes(cur, last, cfg).alias("gap_minutes"), missing_from.alias("time")))
 
 
-def gap_events(readings: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
+def gap_events(readings: DataFrame, cfg: QualityConfig = DEFAULT, hot="detect") -> DataFrame:
     """W1 in event-time order: each reading against the meter's previous reading.
 
-    ``readings``: accepted readings with meter_id, timestamp, seq.
+    ``readings``: accepted readings with meter_id, timestamp, seq. ``hot``: see
+    :func:`~tsquality.operators.sequence.ordered_scan` (``None`` when the caller
+    knows no segment can exceed the limit).
     """
     d = readings.select("meter_id", "timestamp", "seq", F.unix_micros("timestamp").alias("_us"))
-    d = ordered_scan(d, "meter_id", "_us", ["_us", "seq"], [("_prev_us", "prev", "_us")], cfg)
+    d = ordered_scan(d, "meter_id", "_us", ["_us", "seq"], [("_prev_us", "prev", "_us")], cfg, hot=hot)
     return gap_rows(d, "_us", "_prev_us", cfg).select(*GAP_COLUMNS)
 
 
@@ -102,7 +104,8 @@ def cascade(armed: DataFrame, t_us: str, limit_us: Column, cfg: QualityConfig =
                     F.lit(cfg.grace_seconds // 60).cast("int").alias("gap_minutes"), missing_from.alias("time"))
 
 
-def silence_alerts(readings: DataFrame, cfg: QualityConfig = DEFAULT, final_wm_us: int | None = None) -> DataFrame:
+def silence_alerts(readings: DataFrame, cfg: QualityConfig = DEFAULT, final_wm_us: int | None = None,
+                   hot="detect") -> DataFrame:
     """W4 in event-time order: cascade after each reading until the next one.
 
     The end of progress is the largest event time over all meters minus the
@@ -114,6 +117,6 @@ def silence_alerts(readings: DataFrame, cfg: QualityConfig = DEFAULT, final_wm_u
         if m is None:
             return cascade(d.limit(0), "_us", F.lit(0), cfg).select(*GAP_COLUMNS)
         final_wm_us = m - cfg.bound_us
-    d = ordered_scan(d, "meter_id", "_us", ["_us", "seq"], [("_next_us", "next", "_us")], cfg)
+    d = ordered_scan(d, "meter_id", "_us", ["_us", "seq"], [("_next_us", "next", "_us")], cfg, hot=hot)
     limit = F.least(F.coalesce(F.col("_next_us") - F.lit(1), F.lit(final_wm_us)), F.lit(final_wm_us))
     return cascade(d, "_us", limit, cfg).select(*GAP_COLUMNS)
