@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,30 +43,59 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # Small per-bucket / per-meter tables are cached; let AQE size their shuffles too.
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+    # Texts can be long: bound what one Arrow batch to a Python worker holds.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    ship(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions sent to Python workers are pickled by module name, and a worker
+    does not see the driver's ``sys.path``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tsquality_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tsq-ship-"), "tsquality_pkg.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    f = os.path.join(d, n)
+                    z.write(f, os.path.relpath(f, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._tsquality_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a folder of our own is made.
+    Only with a local master, where every task runs on this machine, a folder
+    of our own is made when the setting is absent; elsewhere its absence is an
+    error, as executors would each write to their own disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tsq-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="tsq-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub folder of the shared checkpoint folder (never machine-local on a cluster)."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tsquality", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh sub folder of the shared checkpoint folder, removed when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tsquality/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
 
 
 def materialize(df, how: str = "checkpoint"):
