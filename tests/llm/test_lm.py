@@ -1,0 +1,74 @@
+"""Backoff automaton (2)."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tsquality.llm import lm
+from tsquality.llm.common import crc_mod as crc_mod_column
+
+from edge import crc_mod, documents, split, stored
+
+
+def brute(rows, order, strength):
+    docs = [(i, split(t) + [b""], crc_mod(i, 10) == 0) for i, t in rows]
+    counts = [Counter() for _ in range(order)]
+    for _, t, held in docs:
+        if not held:
+            for n in range(order):
+                counts[n].update(tuple(t[k:k + n + 1]) for k in range(len(t) - n))
+    total, v = sum(counts[0].values()), len(counts[0])
+    floor = total + 0.1 * (v + 1)
+
+    def p(gram):
+        if len(gram) == 1:
+            return (counts[0][gram] + 0.1) / floor
+        c = counts[len(gram) - 2][gram[:-1]]
+        m = strength[len(gram) - 2]
+        return (counts[len(gram) - 1][gram] + m * p(gram[1:])) / (c + m) if c else p(gram[1:])
+    for i, t, held in docs:
+        score = sum(math.log10(p(tuple(t[max(0, k - order + 1):k + 1]))) for k in range(len(t)))
+        base = sum(math.log10((counts[0][(w,)] + 0.1) / floor) for w in t)
+        yield i, held, len(t), sum(counts[0][(w,)] > 0 for w in t), total, round(base, 6), round(score, 6)
+
+
+@pytest.mark.parametrize("order,shard_chars", [(2, 5_000_000), (2, 20_000), (3, 30_000)])
+def test_scores(spark, tmp, order, shard_chars):
+    docs = stored(documents(spark), tmp, "documents")
+    got = lm.scored(docs, crc_mod_column("doc_id", 10) == 0, order=order, shard_chars=shard_chars)
+    got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+           for r in got.collect()]
+    want = list(brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], order, (400.0, 20.0)))
+    key = lambda r: (r[0] is None, *r)
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-4 and abs(a[6] - b[6]) < 1e-4
+
+
+def test_probabilities_sum_to_one():
+    texts = ["a b a c", "b a b", "c c a", "unseen"]
+    grams = lm.Grams(texts, np.array([True, True, True, False]), 3)
+    seen = grams.local[0] > 0
+    machine = lm.Automaton(grams, grams.local, int(grams.local[0].sum()), int(seen.sum()), [4.0, 2.0])
+    assert seen.sum() == grams.n_words - 1  # one word stands for the class of unknown words
+    for prefix in ([], [0], [0, 1], [1, 0], [2]):
+        before = machine.score(prefix)
+        assert abs(sum(10 ** (machine.score(prefix + [w]) - before) for w in range(grams.n_words)) - 1) < 1e-9
+
+
+def test_no_training_rows_and_empty_table(spark, tmp):
+    docs = stored(documents(spark), tmp, "documents")
+    got = lm.scored(docs, F.lit(True)).collect()
+    assert len(got) == docs.count() and all(r.n_known == 0 and r.score == 0 and r.base_score == 0 for r in got)
+    assert lm.scored(stored(documents(spark, empty=True), tmp, "none"), F.lit(False)).collect() == []
+
+
+def test_key_packing():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 500):
+        keys = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert lm.from_planes(lm.planes(keys)).tolist() == keys.tolist()
+        counts = rng.integers(0, 600, n)
+        assert lm._wide(lm._narrow(counts), n).tolist() == counts.tolist()

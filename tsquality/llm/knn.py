@@ -61,7 +61,7 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _rows(b: pa.RecordBatch, name: str, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(b.column(name).to_pylist()), np.float64).reshape(-1, dim)
+    return np.frombuffer(b"".join(b.column(name).to_pylist()), np.float64).reshape(b.num_rows, dim)
 
 
 def _assigned(pivots: dict[int, np.ndarray]):
@@ -143,7 +143,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     for d in dims:
         some = whole.where(F.col("dim") == d).select("v", F.xxhash64("row").alias("h"), "row").orderBy("h", "row")
         some = [np.frombuffer(r["v"], np.float64) for r in some.limit(n_pivots).collect()]
-        pivots[d] = np.unique(np.array(some).reshape(-1, d), axis=0)
+        pivots[d] = np.unique(np.array(some).reshape(len(some), d), axis=0) if d else np.zeros((1, 0))
     cells = whole.select("id", "dim", "v").mapInArrow(_assigned(pivots), "id BIGINT, dim INT, v BINARY, cell INT, dist DOUBLE, norm DOUBLE")
     cells = written(cells.withColumn("row", F.monotonically_increasing_id()), "cells", compression="uncompressed")
     queries = cells.where(is_query)

@@ -154,14 +154,15 @@ def _predicted(model: Model, text_at: int):
     return run
 
 
-def predict(model: Model, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score after its columns (which must not have these names).
+def predict(model: Model, docs: DataFrame, text_col: str = "text",
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with lang_pred and score after its columns; ``names`` are theirs, and must be new to ``docs``.
 
     ``und`` with score 0 where the text is null or has no letter; equal scores go to the language
     that comes first by code point. The score is the share of the best language in the sum of all
     languages' likelihoods. Every row is judged on its own, so repeated rows and ids do not matter.
     """
-    names, given = docs.columns, docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
-    schema = StructType([*given.schema.fields]).add(f"c{len(names)}", StringType()).add(f"c{len(names) + 1}", DoubleType())
-    out = given.mapInArrow(_predicted(model, names.index(text_col)), schema)
-    return out.toDF(*names, "lang_pred", "score")
+    n, given = len(docs.columns), docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    schema = StructType([*given.schema.fields]).add(f"c{n}", StringType()).add(f"c{n + 1}", DoubleType())
+    out = given.mapInArrow(_predicted(model, docs.columns.index(text_col)), schema)
+    return out.toDF(*docs.columns, *names)
