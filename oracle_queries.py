@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from tsquality.plans import catalog as C
 from tsquality.sources.events import READINGS_SQL
-from tsquality.sources.synth import inject_faults_sql
+from tsquality.sources.messages import PARSE_ERROR
+from tsquality.sources.synth import faulty_messages_sql, inject_faults_sql
 
 I = C.CFG.interval_us
 G = C.CFG.grace_us
@@ -32,11 +33,20 @@ VALIDATION = f"""CASE WHEN meter_id IS NULL THEN 'Missing required field: meter_
   WHEN consumption_kwh > {MAXKWH} THEN 'Consumption value too large'
   ELSE 'OK' END"""
 
+# Of parsed payloads: a field that is there but cannot be read is not a missing one.
+VALIDATION_PARSED = VALIDATION.replace("WHEN timestamp IS NULL", "WHEN timestamp IS NULL AND kind <> 'bad_time'") \
+    .replace("WHEN consumption_kwh IS NULL", "WHEN consumption_kwh IS NULL AND kind <> 'bad_kwh'") \
+    .replace("WHEN isnan(consumption_kwh) THEN 'Invalid consumption_kwh value'",
+             "WHEN timestamp IS NULL THEN 'Invalid timestamp type' "
+             "WHEN consumption_kwh IS NULL OR isnan(consumption_kwh) THEN 'Invalid consumption_kwh value'")
+
+PARSED = f"""({faulty_messages_sql(inject_faults_sql(READINGS_SQL, **C.FAULTS), **C.PAYLOAD_FAULTS)})"""
+
 CLEAN = f"""clean AS (SELECT * FROM ({READINGS_SQL}) r WHERE ({VALIDATION.replace(chr(10), ' ')}) = 'OK')"""
 
 ROUTED = f"""
-raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)}),
-v AS (SELECT *, {VALIDATION} AS validation,
+raw AS {PARSED},
+v AS (SELECT *, {VALIDATION_PARSED} AS validation,
         epoch_us(arrival_ts) // {BUCKET_US} AS _bucket, epoch_us(timestamp) AS _us FROM raw),
 per AS (SELECT _bucket, max(CASE WHEN validation = 'OK' THEN _us // 1000 END) AS _max_ms FROM v GROUP BY _bucket),
 bt AS (SELECT _bucket, _max_ms,
@@ -83,7 +93,9 @@ late_events AS (SELECT timestamp AS time, meter_id, timestamp AS event_timestamp
                   COALESCE(delay_seconds, 0) AS delay_seconds, arrival_ts, _bucket, seq FROM too_late),
 metrics AS (
   SELECT arrival_ts AS time, 'invalid_event' AS metric_type, meter_id, 1.0::DOUBLE AS value,
-         '{{"error":"' || validation || '"}}' AS tags, _bucket, seq FROM v WHERE validation <> 'OK'
+         '{{"error":"' || validation || '"}}' AS tags, _bucket, seq FROM v WHERE validation <> 'OK' AND kind <> 'malformed'
+  UNION ALL SELECT arrival_ts, 'processing_error', 'unknown', 1.0, '{{"error":"{PARSE_ERROR}"}}', _bucket, seq
+            FROM v WHERE kind = 'malformed'
   UNION ALL SELECT arrival_ts, 'too_late_event', meter_id, 1.0, '{{}}', _bucket, seq FROM too_late
   UNION ALL SELECT arrival_ts, 'gap_detected', meter_id, gap_minutes::DOUBLE, '{{}}', _bucket, seq FROM resume
   UNION ALL SELECT arrival_ts, 'event_processed', meter_id, 1.0, '{{"status":"' || status || '"}}', _bucket, seq FROM acc
@@ -148,8 +160,10 @@ SQL = {
         consumption_kwh FROM ({READINGS_SQL}) r""",
     "format_convert": f"""SELECT seq, CASE WHEN {_u('no_id', 'seq')} < 0.1 THEN 'UNKNOWN' ELSE meter_id END AS meter_id,
         strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, consumption_kwh FROM ({READINGS_SQL}) r""",
-    "json_parse": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)})
-        SELECT seq, meter_id, timestamp, consumption_kwh, {VALIDATION} AS validation FROM raw""",
+    "json_parse": f"""SELECT seq, meter_id, timestamp, consumption_kwh, validation,
+          CASE WHEN kind = 'malformed' THEN 'processing_error' WHEN validation <> 'OK' THEN validation END AS error,
+          CASE WHEN kind = 'malformed' THEN '{PARSE_ERROR}' END AS parse_error
+        FROM (SELECT *, {VALIDATION_PARSED} AS validation FROM {PARSED} p) v""",
     "synth_readings": f"""WITH per AS (SELECT user_id AS m, date_trunc('day', min(ts)) AS d0, date_trunc('day', max(ts)) AS d1
                           FROM events GROUP BY user_id),
         g AS (SELECT m, d0, unnest(generate_series(0, ((epoch_us(d1) - epoch_us(d0)) // 60000000 + 1440) // 30 - 1)) AS k
@@ -158,12 +172,11 @@ SQL = {
           round(greatest(0.0, (0.5 + {_u('base', 'm')} * 4.5) + (-0.3 + {_u('noise', "m * 4294967296 + k")} * 0.6)), 3)
             AS consumption_kwh,
           m * 4294967296 + k AS seq FROM g""",
-    "validate": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)})
-        SELECT seq, meter_id, timestamp, consumption_kwh, {VALIDATION} AS validation FROM raw""",
-    "quarantine_metrics": f"""WITH raw AS ({inject_faults_sql(READINGS_SQL, **C.FAULTS)}),
-        v AS (SELECT *, {VALIDATION} AS validation FROM raw)
-        SELECT seq, 'invalid_event' AS metric_type, meter_id, 1.0::DOUBLE AS value,
-          '{{"error":"' || validation || '"}}' AS tags FROM v WHERE validation <> 'OK'""",
+    "validate": f"""SELECT seq, meter_id, timestamp, consumption_kwh, {VALIDATION} AS validation FROM {PARSED} p""",
+    "quarantine_metrics": f"""SELECT seq, 'invalid_event' AS metric_type, meter_id, 1.0::DOUBLE AS value,
+          '{{"error":"' || validation || '"}}' AS tags
+        FROM (SELECT *, {VALIDATION_PARSED} AS validation FROM {PARSED} p) v
+        WHERE validation <> 'OK' AND kind <> 'malformed'""",
     "inject_faults": f"""SELECT seq, meter_id, timestamp, consumption_kwh, arrival_ts
         FROM ({inject_faults_sql(READINGS_SQL, **C.FAULTS)}) f""",
     "batch_watermark": _routed(f"""SELECT make_timestamp(_bucket * {BUCKET_US}) AS arrival_bucket,

@@ -1,50 +1,32 @@
-"""Deterministic uniform numbers (F13) that DuckDB reproduces exactly.
-
-``uniform01(seed, salt, key)`` runs a non-negative BIGINT key through three
-affine steps, each modulo a different prime just below 2^31 (a combined
-generator: changing the modulus between steps breaks the lattice of a single
-linear map). Every product stays below 2^62, so neither engine overflows and
-both compute the same value; no step refers to its input twice, so predicate
-pushdown can inline it without blowing up the expression. Salt and seed become
-constants when the plan is built.
+"""Replayable uniform numbers (F13) that DuckDB reproduces exactly.
+
+``uniform01(seed, salt, key)`` is the first 13 hex digits of
+``md5(seed:salt:key)`` over 16^13. Draws of one key under different salts are
+independent, and so are draws of different keys; 52 bits fit a double exactly.
 """
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed parameters of the mix (ours): moduli and multipliers.
-PRIMES = (2_147_483_647, 2_147_483_629, 2_147_483_587)
-MULTIPLIERS = (48_271, 1_103_515_245 % 2_147_483_629, 69_621)
-
-
-def _offsets(seed: int, salt: str) -> tuple[int, int, int]:
-    h = zlib.crc32(f"{seed}:{salt}".encode())
-    return tuple((h * (i + 7919) + 12345 * (i + 1)) % p for i, p in enumerate(PRIMES))
+HEX_DIGITS = 13
+SPAN = float(16 ** HEX_DIGITS)
 
 
 def uniform01(seed: int, salt: str, key) -> Column:
-    """A number in [0, 1) from a non-negative BIGINT ``key``."""
+    """A number in [0, 1) from a key column (or its name)."""
     k = F.col(key) if isinstance(key, str) else key
-    k = F.pmod(k.cast("bigint"), F.lit(PRIMES[0]).cast("bigint"))
-    for p, a, b in zip(PRIMES, MULTIPLIERS, _offsets(seed, salt)):
-        k = F.pmod(k * F.lit(a).cast("bigint") + F.lit(b).cast("bigint"), F.lit(p).cast("bigint"))
-    return k.cast("double") / F.lit(float(PRIMES[-1]))
+    digest = F.md5(F.concat(F.lit(f"{seed}:{salt}:"), k.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double") / F.lit(SPAN)
 
 
 def with_uniforms(df, seed: int, specs: dict):
     """Add one uniform column per ``name: (salt, key column)``."""
-    for name, (salt, key) in specs.items():
-        df = df.withColumn(name, uniform01(seed, salt, key))
-    return df
+    return df.withColumns({name: uniform01(seed, salt, key) for name, (salt, key) in specs.items()})
 
 
 def uniform01_sql(seed: int, salt: str, key_sql: str) -> str:
     """The DuckDB form of :func:`uniform01`."""
-    k = f"(CAST({key_sql} AS BIGINT) % {PRIMES[0]})"
-    for p, a, b in zip(PRIMES, MULTIPLIERS, _offsets(seed, salt)):
-        k = f"(({k}) * {a} + {b}) % {p}"
-    return f"(CAST({k} AS DOUBLE) / {float(PRIMES[-1])})"
+    digest = f"md5('{seed}:{salt}:' || CAST({key_sql} AS VARCHAR))"
+    return f"(CAST(CAST('0x' || substr({digest}, 1, {HEX_DIGITS}) AS BIGINT) AS DOUBLE) / {SPAN})"

@@ -53,16 +53,11 @@ def validate(df: DataFrame, cfg: QualityConfig = DEFAULT, **cols) -> DataFrame:
     return d.select("*", F.when(F.col("validation") != F.lit(OK), F.col("validation")).alias("error"))
 
 
-def complete_rows(df: DataFrame, cols=("meter_id", "timestamp", "consumption_kwh")) -> DataFrame:
-    """Keep rows where every field is present and non-empty."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull() & (F.col(c).cast("string") != F.lit(""))
-    return df.where(cond)
-
-
 def quarantine_metrics(validated: DataFrame) -> DataFrame:
-    """One ``invalid_event`` metric (value 1.0, tags {error}) per invalid row."""
+    """One ``invalid_event`` metric (value 1.0, tags {error}) per invalid row; payloads that
+    were not even JSON are ``processing_error`` metrics elsewhere."""
+    if "parse_error" in validated.columns:
+        validated = validated.where(F.col("parse_error").isNull())
     return (validated.where(F.col("error").isNotNull())
             .select(F.lit("invalid_event").alias("metric_type"), "meter_id",
                     F.lit(1.0).alias("value"),

@@ -1,7 +1,7 @@
 """Synthetic series and fault injection as Spark jobs.
 
-Randomness is a hash of (seed, salt, row key) (``functions.hashing``) so that
-re-runs, the stream and the SQL oracle agree.
+Randomness is a hash of (seed, salt, key) (``functions.hashing``), for faults the
+key being (meter, time), so that re-runs, the stream and the SQL oracle agree.
 
 Fixed values of the reference's generator and replay (defaults):
   meters 10, days 7, interval 30 minutes, ids 'METER_%04d' from 1,
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tsquality.functions.arith import idiv
 from tsquality.functions.hashing import with_uniforms
+from tsquality.functions.time import iso_format
+from tsquality.schemas import TOPICS
 
 
 def generate_readings(spark: SparkSession, start: dt.datetime, num_meters: int = 10, days: int = 7,
@@ -72,47 +74,110 @@ def sample_like(readings: DataFrame, interval_minutes: int = 30, seed: int = 42)
     return regular_series(grid, F.col("d0"), interval_minutes, seed)
 
 
+#: A repeated reading's ``seq``: that of the first, and this.
+REPEAT_SEQ = 1 << 40
+
+#: What can be wrong with a payload (fixed values, each as likely as the others).
+PAYLOAD_FAULTS = ("empty_id", "no_meter", "no_time", "bad_time", "no_kwh", "bad_kwh", "malformed")
+
+
+def reading_key():
+    """The key of a reading's draws: its meter and time, so that file splits and orders do not matter."""
+    return F.concat_ws(":", F.col("meter_id"), F.unix_micros("timestamp").cast("string"))
+
+
+READING_KEY_SQL = "(meter_id || ':' || CAST(epoch_us(timestamp) AS VARCHAR))"
+
+
 def inject_faults(readings: DataFrame, seed: int = 42, gap_probability: float = 0.05,
                   delay_probability: float = 0.1, max_delay_seconds: int = 300,
-                  corrupt_probability: float = 0.0) -> DataFrame:
-    """Drop readings (gaps) and delay arrivals (lateness); keyed by ``seq``.
+                  corrupt_probability: float = 0.0, repeat_probability: float = 0.0) -> DataFrame:
+    """Drop readings (gaps) and delay arrivals (lateness); draws are keyed by (meter, time).
 
     Adds ``arrival_ts``: the time a reading reaches the pipeline, its event time
     plus an optional delay. Unlike a sleeping replay, the delay is a column, so
     arrival order really changes and runs are replayable.
 
-    ``corrupt_probability`` (test adapter only, 0 by default) turns values into
-    negative or too-large numbers so that the validator has work on data that
-    holds no invalid rows.
+    Two faults more, 0 by default: ``corrupt_probability`` turns values into
+    negative or too-large numbers; ``repeat_probability`` sends a reading again
+    one second later with another value, so that table keys meet twice.
     """
-    d = with_uniforms(readings, seed, {"_u_drop": ("drop", "seq"), "_u_delay": ("delay", "seq"),
-                                       "_u_amount": ("amount", "seq"), "_u_bad": ("corrupt", "seq")})
+    key = reading_key()
+    d = with_uniforms(readings, seed, {"_u_drop": ("drop", key), "_u_delay": ("delay", key), "_u_amount": ("amount", key),
+                                       "_u_bad": ("corrupt", key), "_u_again": ("repeat", key)})
     delay_us = F.when(F.col("_u_delay") < delay_probability,
                       (F.col("_u_amount") * F.lit(max_delay_seconds * 1_000_000)).cast("bigint")).otherwise(F.lit(0))
     kwh = F.col("consumption_kwh")
     kwh = (F.when(F.col("_u_bad") < corrupt_probability / 2, -kwh - F.lit(0.001))
            .when(F.col("_u_bad") < corrupt_probability, kwh * F.lit(1e6) + F.lit(100000.5))
            .otherwise(kwh))
-    return (d.where(F.col("_u_drop") >= gap_probability)
-            .withColumn("consumption_kwh", kwh)
-            .withColumn("arrival_ts", F.timestamp_micros(F.unix_micros("timestamp") + delay_us))
-            .drop("_u_drop", "_u_delay", "_u_amount", "_u_bad"))
+    copies = F.when(F.col("_u_again") < repeat_probability, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = (d.where(F.col("_u_drop") >= gap_probability)
+         .withColumn("consumption_kwh", kwh)
+         .withColumn("arrival_ts", F.timestamp_micros(F.unix_micros("timestamp") + delay_us)))
+    if repeat_probability > 0:
+        d = d.withColumn("_copy", F.explode(copies))
+        d = (d.withColumn("consumption_kwh", F.col("consumption_kwh") + F.col("_copy") * F.lit(0.5))
+             .withColumn("seq", F.col("seq") + F.col("_copy") * F.lit(REPEAT_SEQ))
+             .withColumn("arrival_ts", F.timestamp_micros(F.unix_micros("arrival_ts") + F.col("_copy") * F.lit(1_000_000)))
+             .drop("_copy"))
+    return d.drop("_u_drop", "_u_delay", "_u_amount", "_u_bad", "_u_again")
 
 
 def inject_faults_sql(src: str, seed: int = 42, gap_probability: float = 0.05,
                       delay_probability: float = 0.1, max_delay_seconds: int = 300,
-                      corrupt_probability: float = 0.0) -> str:
+                      corrupt_probability: float = 0.0, repeat_probability: float = 0.0) -> str:
     """DuckDB twin of :func:`inject_faults` over a relation with the reading columns."""
-    from tsquality.functions.hashing import uniform01_sql as u
+    from tsquality.functions.hashing import uniform01_sql
     half = corrupt_probability / 2
+
+    def u(salt):
+        return uniform01_sql(seed, salt, READING_KEY_SQL)
+    return f"""
+    SELECT meter_id, timestamp, _kwh + _copy * 0.5 AS consumption_kwh, seq + _copy * {REPEAT_SEQ} AS seq,
+      make_timestamp(_arrival_us + _copy * 1000000) AS arrival_ts
+    FROM (SELECT *,
+        CASE WHEN {u('corrupt')} < {half} THEN -consumption_kwh - 0.001
+             WHEN {u('corrupt')} < {corrupt_probability} THEN consumption_kwh * 1e6 + 100000.5
+             ELSE consumption_kwh END AS _kwh,
+        epoch_us(timestamp) + CASE WHEN {u('delay')} < {delay_probability}
+             THEN CAST(trunc({u('amount')} * {max_delay_seconds * 1_000_000}) AS BIGINT) ELSE 0 END AS _arrival_us,
+        {u('repeat')} AS _u_again
+      FROM ({src}) src WHERE {u('drop')} >= {gap_probability}) f,
+      (SELECT unnest([0, 1]) AS _copy) c
+    WHERE _copy = 0 OR _u_again < {repeat_probability}"""
+
+
+def faulty_messages(readings: DataFrame, seed: int = 42, probability: float = 0.0) -> DataFrame:
+    """Raw-topic messages of ``readings`` (key, value, topic, seq, arrival_ts), of which about
+    ``probability`` have one of :data:`PAYLOAD_FAULTS`."""
+    d = with_uniforms(readings, seed, {"_u": ("payload", reading_key()), "_kind": ("payload_kind", reading_key())})
+    kinds = F.array(*map(F.lit, PAYLOAD_FAULTS))
+    kind = F.when(F.col("_u") < probability,
+                  F.element_at(kinds, (F.floor(F.col("_kind") * len(PAYLOAD_FAULTS)) + 1).cast("int")))
+    d = d.withColumn("_kind", F.coalesce(kind, F.lit("")))
+    kind = F.col("_kind")
+    meter = F.when(kind == "empty_id", "").when(kind != "no_meter", F.col("meter_id"))
+    time = F.when(kind == "bad_time", "yesterday").when(kind != "no_time", iso_format(F.col("timestamp")))
+    fields = [meter.alias("meter_id"), time.alias("timestamp")]
+    value = F.to_json(F.struct(*fields, F.when(kind != "no_kwh", F.col("consumption_kwh")).alias("consumption_kwh")))
+    value = F.when(kind == "bad_kwh", F.to_json(F.struct(*fields, F.lit("n/a").alias("consumption_kwh")))) \
+        .when(kind == "malformed", F.substring(value, F.lit(1), F.length(value) - 1)) \
+        .otherwise(value)
+    return d.select(F.col("meter_id").alias("key"), value.alias("value"), F.lit(TOPICS["raw"]).alias("topic"), "seq",
+                    "arrival_ts")
+
+
+def faulty_messages_sql(src: str, seed: int = 42, probability: float = 0.0) -> str:
+    """What the payloads of :func:`faulty_messages` hold once parsed, with the fault as ``kind``."""
+    from tsquality.functions.hashing import uniform01_sql
+    kinds = ", ".join(f"'{k}'" for k in PAYLOAD_FAULTS)
+    u, which = (uniform01_sql(seed, salt, READING_KEY_SQL) for salt in ("payload", "payload_kind"))
     return f"""
-    SELECT meter_id, timestamp,
-      CASE WHEN {u(seed, 'corrupt', 'seq')} < {half} THEN -consumption_kwh - 0.001
-           WHEN {u(seed, 'corrupt', 'seq')} < {corrupt_probability} THEN consumption_kwh * 1e6 + 100000.5
-           ELSE consumption_kwh END AS consumption_kwh,
-      seq,
-      make_timestamp(epoch_us(timestamp) + CASE WHEN {u(seed, 'delay', 'seq')} < {delay_probability}
-           THEN CAST(trunc({u(seed, 'amount', 'seq')} * {max_delay_seconds * 1_000_000}) AS BIGINT)
-           ELSE 0 END) AS arrival_ts
-    FROM ({src}) src
-    WHERE {u(seed, 'drop', 'seq')} >= {gap_probability}"""
+    SELECT CASE WHEN kind = 'empty_id' THEN '' WHEN kind NOT IN ('no_meter', 'malformed') THEN meter_id END AS meter_id,
+      CASE WHEN kind NOT IN ('no_time', 'bad_time', 'malformed') THEN timestamp END AS timestamp,
+      CASE WHEN kind NOT IN ('no_kwh', 'bad_kwh', 'malformed') THEN consumption_kwh END AS consumption_kwh,
+      seq, arrival_ts, kind
+    FROM (SELECT *, CASE WHEN {u} < {probability}
+            THEN [{kinds}][CAST(floor({which} * {len(PAYLOAD_FAULTS)}) AS INTEGER) + 1] ELSE '' END AS kind
+          FROM ({src}) f) k"""
