@@ -157,7 +157,8 @@ def _u(salt: str, key: str) -> str:
 SQL = {
     "csv_alias_parse": f"""SELECT seq, meter_id,
         CASE WHEN {_u('ts_format', 'seq')} < 1/3 THEN date_trunc('second', timestamp) ELSE timestamp END AS timestamp,
-        consumption_kwh FROM ({READINGS_SQL}) r""",
+        consumption_kwh FROM ({READINGS_SQL}) r
+        WHERE {_u('csv_bad', 'seq')} >= 0.01 AND {_u('csv_bad', 'seq')} < 0.99""",
     "format_convert": f"""SELECT seq, CASE WHEN {_u('no_id', 'seq')} < 0.1 THEN 'UNKNOWN' ELSE meter_id END AS meter_id,
         strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, consumption_kwh FROM ({READINGS_SQL}) r""",
     "json_parse": f"""SELECT seq, meter_id, timestamp, consumption_kwh, validation,

@@ -29,9 +29,6 @@ class QualityConfig:
     # holding more than ``max_segment_rows`` rows are split further.
     segment_seconds: int = 86400
     max_segment_rows: int = 2_000_000
-    # Small tables (per arrival bucket, hot segments) are broadcast only below
-    # this row count, checked at run time; above it a shuffle join is used.
-    broadcast_max_rows: int = 2_000_000
     # How intermediate results used by several branches are kept:
     # "checkpoint" (reliable, shared folder), "cache" or "none".
     materialize: str = "checkpoint"

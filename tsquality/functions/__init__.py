@@ -1,8 +1 @@
 """Column functions (all JVM-side built-ins, no Python UDF)."""
-
-from tsquality.functions.time import (  # noqa: F401
-    bucket, micros, from_micros, minutes_between, seconds_between, parse_iso_timestamp,
-    hours_interval, iso_format,
-)
-from tsquality.functions.numeric import parse_float, is_python_float  # noqa: F401
-from tsquality.functions.hashing import uniform01  # noqa: F401

@@ -21,16 +21,6 @@ def from_micros(us) -> Column:
     return F.timestamp_micros(_c(us))
 
 
-def minutes_between(later, earlier) -> Column:
-    """``int((later - earlier).total_seconds() / 60)``: truncation toward zero, INT."""
-    return idiv(micros(later) - micros(earlier), F.lit(60_000_000)).cast("int")
-
-
-def seconds_between(later, earlier) -> Column:
-    """``int(delta.total_seconds())``: truncation toward zero, INT."""
-    return idiv(micros(later) - micros(earlier), F.lit(1_000_000)).cast("int")
-
-
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -50,13 +40,6 @@ def bucket(width: str, ts) -> Column:
     return from_micros(us - F.pmod(us, F.lit(step)))
 
 
-def hours_interval(n) -> Column:
-    """``(n || ' hours')::INTERVAL``."""
-    return F.make_dt_interval(F.lit(0), _c(n) if not isinstance(n, int) else F.lit(n))
-
-
-# ISO-8601 parse (F6). Python's ``fromisoformat`` needs a full date first; Spark's
-# cast also takes '2024' or '12:30' (today's date), so the date prefix is checked.
 _ISO_DATE_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}"
 _PLAIN_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

@@ -8,9 +8,9 @@ micro-batch is an arrival bucket: rows whose ``arrival_ts`` falls in the same
   bucket -> watermark (of that batch), pred_watermark (of the batch before)
 
 It is an aggregate of the rows (map-side combined) followed by a running max
-over buckets; its size is the number of arrival buckets (time span / bucket
-width), not the number of rows, and it is broadcast behind a run-time row-count
-check (``checked_broadcast``), with a shuffle join beyond it.
+over buckets, taken inside blocks of buckets and carried over a table of blocks.
+Its size is the number of arrival buckets (time span / bucket width), not the
+number of rows; Spark broadcasts it or not by its size in bytes.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from tsquality.config import DEFAULT, QualityConfig
 from tsquality.functions.arith import idiv
-from tsquality.operators.sequence import checked_broadcast
 
 ON_TIME, LATE, TOO_LATE = "ON_TIME", "LATE", "TOO_LATE"
 BUCKET = "_bucket"
+BLOCK = 4096  # buckets of a block
 
 
 def bucket_of(bucket_seconds: int, arrival: str = "arrival_ts") -> Column:
@@ -46,16 +46,22 @@ def arrival_batches(rows: DataFrame, cfg: QualityConfig = DEFAULT, valid: str =
     per = rows.groupBy(BUCKET).agg(F.max(ev_ms).alias("_max_ms"),
                                    F.count(F.lit(1)).alias("_n_rows"),
                                    F.count_if(F.col(valid).isNull()).alias("_n_valid"))
-    # One row per bucket: a window without partitioning is bounded by the bucket count.
-    w = Window.orderBy(BUCKET)
-    wm = F.max("_max_ms").over(w.rowsBetween(Window.unboundedPreceding, -1)) * F.lit(1000) - F.lit(cfg.bound_us)
-    return (per.select(BUCKET, "_max_ms", "_n_rows", "_n_valid", wm.alias("wm_us"))
-            .select(BUCKET, "_max_ms", "_n_rows", "_n_valid", "wm_us", F.lag("wm_us").over(w).alias("pred_wm_us")))
-
-
-def final_watermark_us(batches: DataFrame, cfg: QualityConfig = DEFAULT):
-    """Watermark of the closing no-data batch: largest valid event time (ms) minus the bound."""
-    return batch_summary(batches, cfg)["final_wm_us"]
+    per = per.withColumn("_block", idiv(F.col(BUCKET), F.lit(BLOCK)))
+    w = Window.partitionBy("_block").orderBy(BUCKET)
+    x = per.select("*", F.max("_max_ms").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                   F.lag(BUCKET).over(w).isNull().alias("_first"), F.lead(BUCKET).over(w).isNull().alias("_last"))
+    x = x.select("*", F.lag("_before").over(w).alias("_prev_before"))
+    # A row a block: what earlier blocks give to all of a block's buckets, and to its first one's predecessor.
+    wb = Window.orderBy("_block")
+    blocks = x.groupBy("_block").agg(F.max("_max_ms").alias("_all"), F.max(F.when(F.col("_last"), F.col("_before"))).alias("_rest"))
+    blocks = blocks.select("_block", "_rest", F.max("_all").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    blocks = blocks.select("_block", "_carry", F.greatest(F.lag("_carry").over(wb), F.lag("_rest").over(wb)).alias("_pred"))
+
+    def us(ms: Column) -> Column:
+        return ms * F.lit(1000) - F.lit(cfg.bound_us)
+    pred = F.when(F.col("_first"), F.col("_pred")).otherwise(F.greatest("_prev_before", "_carry"))
+    return x.join(blocks, "_block").select(BUCKET, "_max_ms", "_n_rows", "_n_valid",
+                                           us(F.greatest("_before", "_carry")).alias("wm_us"), us(pred).alias("pred_wm_us"))
 
 
 def batch_summary(batches: DataFrame, cfg: QualityConfig = DEFAULT) -> dict:
@@ -65,12 +71,6 @@ def batch_summary(batches: DataFrame, cfg: QualityConfig = DEFAULT) -> dict:
             "buckets": r[1], "valid_rows": r[2] or 0}
 
 
-def attach_watermark(rows: DataFrame, batches: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
-    """Join each row with its batch's watermark (size-checked broadcast)."""
-    small, _ = checked_broadcast(batches.select(BUCKET, "wm_us", "pred_wm_us"), cfg.broadcast_max_rows)
-    return rows.join(small, on=BUCKET, how="left")
-
-
 def classify_event(ts_us: Column, wm_us: Column, cfg: QualityConfig = DEFAULT) -> Column:
     """NULL watermark or delay <= 0 -> ON_TIME; delay <= allowed lateness -> LATE; else TOO_LATE."""
     delay = wm_us - ts_us

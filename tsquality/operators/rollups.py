@@ -59,16 +59,13 @@ def refresh(source: DataFrame, rollup: str, path: str, now: dt.datetime) -> Data
     older buckets keep what they had when their window closed.
     """
     start, end = refresh_window(now)
-    src = source.where((F.col("time") >= F.lit(start).cast("timestamp"))
-                       & (F.col("time") < F.lit(end).cast("timestamp")))
+    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    src = source.where((F.col("time") >= lo) & (F.col("time") < hi))
+    if "event_date" in source.columns:
+        src = src.where(F.col("event_date").between(F.to_date(lo), F.to_date(hi)))
     out = ROLLUPS[rollup](src).withColumn("bucket_hour", F.date_format("hour", "yyyyMMddHH"))
-    spark = source.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy("bucket_hour").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket_hour").parquet(path))
     return out
 
 

@@ -1,12 +1,12 @@
-"""Skew-safe ordered scans per key, and size-checked broadcasts.
+"""Skew-safe ordered scans per key.
 
 Per-meter sequence logic (previous reading, running maximum, next reading) is a
 window over each meter's rows in time order. A plain
 ``Window.partitionBy(meter_id)`` sends every row of a meter to one task; if one
 meter holds a third of the data, so does one task. Here each meter's timeline is
-cut into segments of ``segment_seconds`` (and hot segments into equal sub-ranges),
-the window runs per (meter, segment, sub), and what crosses a segment border is
-carried by a small per-segment table:
+cut into segments of ``segment_seconds`` (and hot segments into ranges of the
+full order, see below), the window runs per (meter, segment, sub), and what
+crosses a segment border is carried by a small per-segment table:
 
 1. ``(key, seg, sub)`` aggregate: max / first / last per segment (map-side combine);
 2. a window over that aggregate per key (rows = segments of one key, bounded by
@@ -15,9 +15,11 @@ carried by a small per-segment table:
    and sorted on those columns by the window, so only the segment table moves.
 
 Segments with more than ``max_segment_rows`` rows are found by a count per
-segment (again map-side combined). There are at most ``rows / max_segment_rows``
-of them; the list is broadcast when its size, checked at run time, is below
-``broadcast_max_rows``, else joined by shuffle.
+segment (again map-side combined). Their rows are dealt by Spark's range
+partitioning over the whole order, whose last column is unique: so even rows of
+one meter in one arrival bucket, or of one instant, are split. A range's number
+is the row's ``sub``; these rows are written once, so that both uses of the
+ranges see the same.
 """
 
 from __future__ import annotations
@@ -27,23 +29,11 @@ from pyspark.sql import functions as F
 
 from tsquality.config import DEFAULT, QualityConfig
 from tsquality.functions.arith import idiv
+from tsquality.session import materialize
 
 SEG, SUB = "_seg", "_sub"
 
 
-def checked_broadcast(small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small`` unchanged.
-
-    ``small`` is materialised once (``cache``) so the size check does not
-    recompute it for the join.
-    """
-    small = small.cache()
-    n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    return small, False
-
-
 def ordered_scan(df: DataFrame, key: str, pos: str, order: list[str], outputs: list[tuple[str, str, str]],
                  cfg: QualityConfig = DEFAULT, segment_us: int | None = None, hot="detect") -> DataFrame:
     """Add per-key neighbour columns in the order ``order`` (whose first column is ``pos``).
@@ -61,7 +51,7 @@ def ordered_scan(df: DataFrame, key: str, pos: str, order: list[str], outputs: l
     d = df.select("*", idiv(F.col(pos), F.lit(width)).alias(SEG))
     if isinstance(hot, str):
         hot = detect_hot(d, key, cfg)
-    d = _apply_split(d, key, pos, width, hot)
+    d = _apply_split(d, key, order, hot)
     parts = [key, SEG, SUB]
     w = Window.partitionBy(*parts).orderBy(*[F.col(c) for c in order])
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -102,25 +92,25 @@ def segment_width(cfg: QualityConfig, segment_us: int | None) -> int:
 def detect_hot(df: DataFrame, key: str, cfg: QualityConfig = DEFAULT, pos: str | None = None,
                segment_us: int | None = None):
     """Segments holding more than ``max_segment_rows`` rows, with their split count,
-    or ``None`` when there are none. At most rows / max_segment_rows entries; broadcast
-    after a run-time size check."""
+    or ``None`` when there are none. At most rows / max_segment_rows entries."""
     if not cfg.max_segment_rows:
         return None
     d = df if SEG in df.columns else df.withColumn(SEG, idiv(F.col(pos), F.lit(segment_width(cfg, segment_us))))
     hot = (d.groupBy(key, SEG).count()
            .where(F.col("count") > cfg.max_segment_rows)
            .select(key, SEG, F.ceil(F.col("count") / F.lit(cfg.max_segment_rows)).cast("bigint").alias("_nsub")))
-    hot = hot.cache()
-    n = hot.limit(cfg.broadcast_max_rows + 1).count()
-    if n == 0:
-        return None
-    return F.broadcast(hot) if n <= cfg.broadcast_max_rows else hot
+    hot = materialize(hot, cfg.materialize)
+    return hot if hot.count() else None
 
 
-def _apply_split(d: DataFrame, key: str, pos: str, width: int, hot) -> DataFrame:
-    """Add ``_sub``: 0, or for hot segments an equal split of the segment's range."""
+def _apply_split(d: DataFrame, key: str, order: list[str], hot) -> DataFrame:
+    """Add ``_sub``: 0, or for rows of hot segments the number of their range of the full order."""
     if hot is None:
         return d.select("*", F.lit(0).cast("bigint").alias(SUB))
-    offset = F.col(pos) - F.col(SEG) * F.lit(width)
-    sub = F.coalesce(idiv(offset * F.col("_nsub"), F.lit(width)), F.lit(0)).cast("bigint")
-    return d.join(hot, on=[key, SEG], how="left").select(*[F.col(c) for c in d.columns], sub.alias(SUB))
+    cols = [F.col(c) for c in d.columns]
+    j = d.join(hot, on=[key, SEG], how="left")
+    cold = j.where(F.col("_nsub").isNull()).select(*cols, F.lit(0).cast("bigint").alias(SUB))
+    parts = int(hot.agg(F.sum("_nsub")).first()[0])
+    ranges = j.where(F.col("_nsub").isNotNull()).select(*cols).repartitionByRange(parts, key, SEG, *order)
+    ranges = ranges.select("*", (F.spark_partition_id() + F.lit(1)).cast("bigint").alias(SUB))
+    return cold.unionByName(materialize(ranges, "checkpoint"))

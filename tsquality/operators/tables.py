@@ -1,10 +1,13 @@
 """Result tables with the reference's key-conflict rules.
 
 There is no table format with MERGE here, so a table is an append log of
-micro-batches, each written to ``<table>/_batch_id=N/`` in overwrite mode (a
-retried batch replaces its own output: effectively-once). Keys are resolved on
-read, by an aggregation (partial on the map side, so a key with many copies is
-collapsed before the shuffle and never lands whole in one task):
+micro-batches, each written to ``<table>/_run_id=R/_batch_id=N/`` in overwrite
+mode: a retried batch replaces its own output (effectively-once), and a run with
+a new checkpoint, which counts its batches from 0 again, touches no other run's.
+Writes are ordered by the time of the write (``_written``), the batch and, in a
+batch, ``_wseq``. Keys are resolved on read, by an aggregation (partial on the
+map side, so a key with many copies is collapsed before the shuffle and never
+lands whole in one task):
 
 * ``validated_readings`` key (time, meter_id): the latest write wins (upsert);
 * ``gap_alerts`` key (time, meter_id, missing_from): the first write wins;
@@ -17,10 +20,13 @@ an event alert: SURVEY D16). Tables are partitioned by ``event_date``.
 
 from __future__ import annotations
 
-import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
+
+from tsquality.session import path_exists
 
 KEYS = {
     "validated_readings": ["time", "meter_id"],
@@ -49,24 +55,27 @@ _TYPES = {
 
 def log_schema(table: str) -> str:
     """Schema of a table log, partition columns included (an empty log reads as empty)."""
-    return _TYPES[table] + ", _wseq STRUCT<k: INT, s: BIGINT>, _batch_id BIGINT, event_date DATE"
+    return (_TYPES[table] + ", arrival_ts TIMESTAMP, _wseq STRUCT<b: BIGINT, k: INT, s: BIGINT>, _written BIGINT, "
+            "_run_id STRING, _batch_id BIGINT, event_date DATE")
 
 
 def write_order(df: DataFrame, table: str) -> DataFrame:
-    """``_wseq``: order of the writes inside a batch."""
+    """``_wseq``: order of the writes inside a batch (of a routed batch run: by arrival bucket first)."""
+    bucket = F.col("_bucket") if "_bucket" in df.columns else F.lit(0)
+    kind = F.lit(0)
     if table == "gap_alerts" and "detected_by" in df.columns:
         kind = F.when(F.col("detected_by") == F.lit("timer"), F.lit(0)).otherwise(F.lit(1))
-        return df.withColumn("_wseq", F.struct(kind.alias("k"), F.col("seq").alias("s")))
-    return df.withColumn("_wseq", F.struct(F.lit(0).alias("k"), F.col("seq").alias("s")))
+    return df.withColumn("_wseq", F.struct(bucket.cast("bigint").alias("b"), kind.alias("k"), F.col("seq").alias("s")))
 
 
-def write_batch(df: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Write one micro-batch of ``table`` (idempotent per ``batch_id``)."""
-    extra = [c for c in ("detected_by",) if c in df.columns]
+def write_batch(df: DataFrame, path: str, table: str, batch_id: int, run_id: str = "0") -> None:
+    """Write one micro-batch of ``table`` (idempotent per ``run_id`` and ``batch_id``)."""
+    extra = [c for c in ("detected_by", "arrival_ts") if c in df.columns]
     out = (write_order(df, table)
-           .select(*COLUMNS[table], *extra, "_wseq", F.to_date("time").alias("event_date")))
+           .select(*COLUMNS[table], *extra, "_wseq", F.lit(time.time_ns() // 1000).alias("_written"),
+                   F.to_date("time").alias("event_date")))
     (out.write.mode("overwrite").partitionBy("event_date")
-     .parquet(os.path.join(path, f"_batch_id={int(batch_id)}")))
+     .parquet(f"{path}/_run_id={run_id}/_batch_id={int(batch_id)}"))
 
 
 def read_log(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
@@ -85,7 +94,8 @@ def resolve(log: DataFrame, table: str, batch_col: str = "_batch_id") -> DataFra
     # event_date is a function of the key's ``time``: grouping by it too changes
     # nothing, but lets a filter on event_date pass the aggregate (partition pruning).
     keys = KEYS[table] + (["event_date"] if "event_date" in log.columns else [])
-    order = F.struct(F.col(batch_col).alias("b"), F.col("_wseq").alias("w"))
+    order = F.struct(*[F.col(c) for c in ("_written",) if c in log.columns], F.col(batch_col).alias("b"),
+                     F.col("_wseq").alias("w"))
     payload = F.struct(*[F.col(c) for c in cols if c not in keys])
     pick = F.max_by(payload, order) if rule == "latest" else F.min_by(payload, order)
     return log.groupBy(*keys).agg(pick.alias("_v")).select(*keys, "_v.*").select(*cols)
@@ -97,21 +107,47 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, table: str, out_path: str) -> DataFrame:
-    """Resolved rows of a table log into a fresh folder."""
-    return write_compacted(read_table(spark, path, table), out_path)
-
-
-def write_compacted(df: DataFrame, out_path: str) -> DataFrame:
-    """Write resolved rows partitioned by day and sorted by (meter_id, time desc)
-    inside files (the reference's access path); read back with the known schema."""
-    from pyspark.sql import types as Ty
+    """The resolved rows of a table log, by day, in ``out_path``.
+
+    Only days that writes after the last compaction touch are resolved anew and
+    replaced; how far that went is kept beside the copy, in ``<out_path>.mark``.
+    """
+    log = read_log(spark, path, table)
+    mark = f"{out_path}.mark"
+    done = spark.read.schema("written BIGINT").parquet(mark).first()[0] if path_exists(spark, mark) else None
+    newest = log.agg(F.max("_written")).first()[0]
+    if newest is not None and (done is None or newest > done):
+        if done is not None:
+            days = log.where(F.col("_written") > done).select(F.col("event_date").alias("_day")).distinct()
+            log = log.join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
+        _write_days(resolve(log, table), out_path, replace_all=done is None)
+        spark.createDataFrame([(newest,)], "written BIGINT").coalesce(1).write.mode("overwrite").parquet(mark)
+    return read_compacted(spark, out_path, table)
+
+
+def read_compacted(spark: SparkSession, out_path: str, table: str) -> DataFrame:
+    """A compacted copy, with its known schema; empty if nothing was compacted yet."""
+    fields = f"{_TYPES[table]}, arrival_ts TIMESTAMP, event_date DATE"
+    if not path_exists(spark, out_path):
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).parquet(out_path)
+
+
+def _write_days(df: DataFrame, out_path: str, replace_all: bool = True) -> None:
+    """Rows by day, sorted by (meter_id, time desc) inside files (the reference's access path)."""
     if "event_date" not in df.columns:
         df = df.withColumn("event_date", F.to_date("time"))
     # REBALANCE: AQE hash-partitions by day, splits a day that is too big over
     # several tasks and merges small ones, so each task writes few, sizeable files.
     (df.hint("rebalance", "event_date")
      .sortWithinPartitions("event_date", "meter_id", F.desc("time"))
-     .write.mode("overwrite").partitionBy("event_date").parquet(out_path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+     .partitionBy("event_date").parquet(out_path))
+
+
+def write_compacted(df: DataFrame, out_path: str) -> DataFrame:
+    """Write resolved rows by day into a fresh folder; read back with the known schema."""
+    _write_days(df, out_path)
     fields = [f for f in df.schema.fields if f.name != "event_date"] + [Ty.StructField("event_date", Ty.DateType())]
     return df.sparkSession.read.schema(Ty.StructType(fields)).parquet(out_path)
 

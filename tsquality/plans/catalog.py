@@ -29,7 +29,7 @@ from tsquality.plans import reports as Q
 from tsquality.plans.routing import route
 from tsquality.session import materialize, scratch_path
 from tsquality.sources.events import load_readings
-from tsquality.functions.hashing import with_uniforms
+from tsquality.functions.hashing import uniform01, with_uniforms
 from tsquality.sources import csv as CSV
 from tsquality.sources.messages import parse_readings
 from tsquality.sources.synth import faulty_messages, inject_faults, sample_like
@@ -162,11 +162,38 @@ def aliased_text_rows(readings: DataFrame, seed: int = 42) -> DataFrame:
     return readings.select(*cols)
 
 
+# The columns of the three kinds of export; an alias that an export lacks is filled from the others.
+CSV_EXPORTS = (("seq", *CSV.METER_ALIASES, *CSV.TIME_ALIASES, "kwh"), ("seq", "id", "time", "consumption"),
+               ("consumption_kwh", "datetime", "meterId", "seq"))
+
+
+def csv_exports(spark, sf_dir, path: str) -> None:
+    """Three folders of CSV files with headers of their own; in some rows the time or the value
+    cannot be read."""
+    rows = aliased_text_rows(readings(spark, sf_dir)).withColumns(
+        {"_n": F.col("seq").cast("bigint"), "_bad": uniform01(42, "csv_bad", "seq")})
+    mid, ts = CSV.first_present(rows, CSV.METER_ALIASES), CSV.first_present(rows, CSV.TIME_ALIASES)
+    time = F.when(F.col("_bad") < 0.01, F.lit('no "time", none')).otherwise(ts)
+    kwh = F.when(F.col("_bad") >= 0.99, F.lit("n/a")).otherwise(F.col("kwh"))
+    for k, header in enumerate(CSV_EXPORTS):
+        part = rows.where(F.col("_n") % len(CSV_EXPORTS) == k)
+        if k == 0:  # the aliased columns as they are; a bad time stands in the first of them
+            bad = F.col("_bad") < 0.01
+            part = part.withColumns({c: F.when(bad, time if c == CSV.TIME_ALIASES[0] else F.lit("")).otherwise(F.col(c))
+                                     for c in CSV.TIME_ALIASES} | {"kwh": kwh})
+        else:
+            values = {"seq": F.col("seq"), "id": mid, "meterId": mid, "time": time, "datetime": time, "consumption": kwh,
+                      "consumption_kwh": kwh}
+            part = part.select(*(values[c].alias(c) for c in header))
+        part.select(*header).write.option("header", True).option("escape", '"').csv(f"{path}/export={k}")
+
+
 def q_csv_alias_parse(spark, sf_dir):
-    """S1 + S2: aliased CSV written and read back as text, then parsed."""
+    """S1 + S2: CSV exports with three headers, some rows unreadable, written and read back as
+    text, then parsed."""
     path = scratch_path(spark, "csv")
-    aliased_text_rows(readings(spark, sf_dir)).write.option("header", True).csv(path)
-    parsed = CSV.parse_csv_rows(CSV.read_csv(spark, path), keep=("seq",))
+    csv_exports(spark, sf_dir, path)
+    parsed = CSV.parse_csv_rows(CSV.read_csv(spark, path, multi_line=False), keep=("seq",))
     return parsed.select(F.col("seq").cast("bigint").alias("seq"), "meter_id", "timestamp", "consumption_kwh")
 
 

@@ -80,8 +80,13 @@ def gaps_per_hour(gap_alerts: DataFrame, t_from, t_to) -> DataFrame:
 def late_pct_hourly(late_events: DataFrame, validated: DataFrame, t_from, t_to) -> DataFrame:
     """Per hour, late events / validated readings x 100, NULL without readings.
 
-    Both sides are hourly aggregates (small), joined on the bucket.
+    Both sides are hourly aggregates (small), joined on the bucket; the readings
+    are those of the hours that the range touches.
     """
+    hours = (F.date_trunc("hour", _ts(t_from)), F.date_trunc("hour", _ts(t_to)) + F.make_dt_interval(F.lit(0), F.lit(1)))
+    validated = validated.where((F.col("time") >= hours[0]) & (F.col("time") < hours[1]))
+    if "event_date" in validated.columns:
+        validated = validated.where(F.col("event_date").between(F.to_date(hours[0]), F.to_date(hours[1])))
     late = (time_filter(late_events, t_from, t_to)
             .groupBy(bucket("1 hour", "time").alias("hour")).agg(F.count(F.lit(1)).alias("_n")))
     val = validated.groupBy(bucket("1 hour", "time").alias("hour")).agg(F.count(F.lit(1)).alias("_d"))
@@ -181,7 +186,3 @@ def active_meters(validated: DataFrame, now, hours_back: int = 24) -> DataFrame:
     return (since(validated, now, hours_back).groupBy("meter_id")
             .agg(F.max("time").alias("last_seen"), F.count(F.lit(1)).alias("reading_count"))
             .orderBy(F.desc("last_seen"), F.asc("meter_id")))
-
-
-def default_range(now: dt.datetime, days: int = 30):
-    return now - dt.timedelta(days=days), now

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tsquality.config import DEFAULT, QualityConfig
 from tsquality.operators import lateness as L
 from tsquality.operators.gaps import cascade, gap_rows
-from tsquality.operators.sequence import checked_broadcast, detect_hot, ordered_scan
+from tsquality.operators.sequence import detect_hot, ordered_scan
 from tsquality.operators.validate import validate
 from tsquality.session import materialize
 
@@ -77,14 +77,11 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
                                .otherwise(F.lit("processing_error")))
     rows = rows.select("*", L.bucket_of(bucket_seconds).alias(L.BUCKET), F.unix_micros("timestamp").alias("_us"))
 
-    # Per arrival bucket: watermark of the batch and of the batch before (small, cached).
-    batches = L.arrival_batches(rows, cfg).cache()
+    # Per arrival bucket: watermark of the batch and of the batch before (a row a bucket).
+    batches = materialize(L.arrival_batches(rows, cfg), cfg.materialize)
     summary = L.batch_summary(batches, cfg)
     final_wm = summary["final_wm_us"]
-    # The per-bucket table is broadcast only when its size (known now) is small.
     wm_small = batches.select(L.BUCKET, "wm_us", "pred_wm_us")
-    if summary["buckets"] <= cfg.broadcast_max_rows:
-        wm_small = F.broadcast(wm_small)
 
     valid = rows.where(F.col("error").isNull())
     classified = L.classify(valid.join(wm_small, on=L.BUCKET, how="left"), cfg)
@@ -146,8 +143,7 @@ def _save(df: DataFrame, base: str, name: str, by_date: bool = True) -> DataFram
     """Write one routed output (staging, plain parquet) and read it back with its
     known schema (no footer scan). The report tables are the compacted,
     day-partitioned copies made from these (``tables.write_compacted``)."""
-    import os
-    path = os.path.join(base, name)
+    path = f"{base}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -196,7 +192,7 @@ def _meter_state(acc, late_events, alerts, final_wm, cfg: QualityConfig) -> Data
     per = (acc.groupBy("meter_id")
            .agg(F.max("_us").alias("_last"), F.max(F.when(restart, order)).alias("_r0")))
     alive = F.lit(True) if final_wm is None else (F.col("_last") + F.lit(cfg.ttl_us) > F.lit(final_wm))
-    per, _ = checked_broadcast(per.where(alive).select("meter_id", "_last", "_r0"), cfg.broadcast_max_rows)
+    per = materialize(per.where(alive).select("meter_id", "_last", "_r0"), cfg.materialize)
 
     def count_after(df, name, inclusive):
         j = df.select("meter_id", order.alias("_o")).join(per.select("meter_id", "_r0"), "meter_id")

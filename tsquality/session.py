@@ -98,6 +98,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store it names."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def materialize(df, how: str = "checkpoint"):
     """Reuse an intermediate result in several branches of one plan.
 

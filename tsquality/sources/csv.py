@@ -10,7 +10,7 @@ The third-party converter looks the id up as meter_id, id, meterId (default
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsquality.functions.numeric import parse_float
@@ -23,13 +23,55 @@ CONVERT_METER_ALIASES = ("meter_id", "id", "meterId")
 CONVERT_KWH_ALIASES = ("consumption_kwh", "consumption", "kwh", "value")
 
 
-def read_csv(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Header row, every column as text (no inference). A missing path fails."""
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by their header: file names are Spark's own listing, the first line of
+    each is read through the store's client."""
+    import csv
+    from concurrent.futures import ThreadPoolExecutor
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def first_line(file: str) -> str:
+        hpath = jvm.org.apache.hadoop.fs.Path(file)
+        stream = hpath.getFileSystem(conf).open(hpath)
+        try:
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hpath)
+            source = codec.createInputStream(stream) if codec else stream
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+    files = spark.read.text(path).inputFiles()
+    # inputFiles() gives URIs; a Path wants them decoded.
+    names = [jvm.java.net.URI(f).getPath() if f.startswith("file:") else f for f in files]
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(first_line, names))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, line in zip(names, lines):
+        header = tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
+        if header:
+            groups.setdefault(header, []).append(name)
+    return groups
+
+
+def read_csv(spark: SparkSession, path: str, stream: bool = False, multi_line: bool = True) -> DataFrame:
+    """Header row, every column as text (no inference). A missing path fails.
+
+    Files may differ in their headers: those with the same one are read together, and columns
+    are matched by name. A doubled quote inside quotes is a quote. ``multi_line`` lets a quoted
+    field hold line breaks, which keeps a file in one task; switch it off for large files
+    without such fields.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
     if stream:
-        # A stream needs a schema up front: read the header once from the folder.
-        header = spark.read.option("header", True).csv(path).schema
-        return spark.readStream.option("header", True).schema(header).csv(path)
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+        # A stream needs a schema up front: one header for the folder, read once.
+        schema = spark.read.options(**options).csv(path).schema
+        return spark.readStream.options(**options, enforceSchema=False).schema(schema).csv(path)
+    out = None
+    for header, files in sorted(_headers(spark, path).items()):
+        schema = ", ".join(f"`{c}` STRING" for c in dict.fromkeys(header))
+        part = spark.read.options(**options).schema(schema).csv(files)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], ", ".join(f"{c} STRING" for c in ("meter_id", "timestamp", "consumption_kwh"))) \
+        if out is None else out
 
 
 def first_present(df: DataFrame, names) -> Column:
@@ -38,11 +80,12 @@ def first_present(df: DataFrame, names) -> Column:
     return F.coalesce(*cols) if cols else F.lit(None).cast("string")
 
 
-def parse_csv_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_csv_rows(df: DataFrame, keep: tuple[str, ...] = (), observation: Observation | None = None) -> DataFrame:
     """Aliased text rows -> meter_id, timestamp (UTC), consumption_kwh.
 
     Rows lacking a field, with an unreadable time (ISO, else
-    ``yyyy-MM-dd HH:mm:ss``) or a non-numeric value are dropped.
+    ``yyyy-MM-dd HH:mm:ss``) or a non-numeric value are dropped; an
+    ``observation`` counts them (``rows``, ``dropped``) as the rows pass.
     """
     mid = first_present(df, METER_ALIASES)
     ts_text = first_present(df, TIME_ALIASES)
@@ -50,8 +93,10 @@ def parse_csv_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     out = df.select(*keep, mid.alias("meter_id"),
                     parse_iso_timestamp(ts_text, fallback_plain=True).alias("timestamp"),
                     parse_float(kwh_text).alias("consumption_kwh"))
-    return out.where(F.col("meter_id").isNotNull() & F.col("timestamp").isNotNull()
-                     & F.col("consumption_kwh").isNotNull())
+    whole = F.col("meter_id").isNotNull() & F.col("timestamp").isNotNull() & F.col("consumption_kwh").isNotNull()
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"), F.count_if(~whole).alias("dropped"))
+    return out.where(whole)
 
 
 def convert_to_standard(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
