@@ -123,11 +123,12 @@ def test_neighbours_are_bm25_best():
         return idf[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(tail) / mean))
     unused = np.ones(40, bool)
     unused[[0, 5, 9]] = False
-    got = shard.neighbours(0, unused, 100)
+    got = shard.neighbours(0, unused, 100, 1000)
     score = {k: sum(weight(t, tails[k]) for t in set(tails[0].tolist())) for k in np.flatnonzero(unused)}
     assert sorted(got) == sorted(k for k in score if score[k] > 0)
     assert all(score[a] >= score[b] - 1e-9 for a, b in zip(got, got[1:]))
-    assert shard.neighbours(0, unused, 3)  # fewer query terms, still whole documents
+    assert shard.neighbours(0, unused, 100, 7) == got[:7]
+    assert shard.neighbours(0, unused, 3, 10)  # fewer query terms, still whole documents
 
 
 def test_windows_hold_related_documents():

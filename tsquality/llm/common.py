@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,17 +56,38 @@ def lower_words(text: str | None) -> list[bytes]:
 _SPACES = r"\s\x1c-\x1f\x85\xa0\u180e\u200b-\u200d\u2060\ufeff"
 _JOINED_SPACES = re.compile(rf" (?<=[{_SPACES}] )(?=[{_SPACES}]|\Z)")
 
+#: How a byte-level tokenizer splits (fixed value), and the letter that stands for each byte: bytes that
+#: print stand for themselves, the others in order for the letters from U+0100 on.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+_BYTE_LEVEL = [chr(0x100 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256)]
+
+
+class _Kept(dict):
+    """A dictionary that makes what it lacks."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        got = self[key] = self.make(key)
+        return got
+
 
 class Encoder:
     """Token ids of whole texts by a file of the ``tokenizers`` library, as packed bytes.
 
     For a byte-level BPE the ids of ``" word"`` do not depend on what stands around it, unless
     a run of white space crosses the cut. So a text is cut before its spaces, each distinct
-    piece goes through the library once, and the results are joined. Texts with such runs or
-    with a special token's string go through the library whole. The kept pieces are bounded.
+    chunk is split as the library's pre-tokenizer splits, each distinct piece goes through the
+    library's merges once, and the results are joined. Texts with such runs, or with a special
+    token's string, go through the library whole. What is kept is bounded: two generations of
+    chunks, of which the older goes when the younger is full.
     """
 
-    KEEP = 400_000
+    KEEP = 700_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -74,44 +98,73 @@ class Encoder:
         pre = conf.get("pre_tokenizer") or {}
         self.simple = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                        and not pre.get("add_prefix_space") and conf.get("normalizer") is None)
+        self.merge = self.tokenizer.model.tokenize
         self.special = [t["content"] for t in conf.get("added_tokens", [])]
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.chunks = _Kept(self._spaced)  # the ids of a space and the chunk
+        self.older: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}  # the ids of a piece without a space
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _piece(self, piece: str) -> bytes:
+        return self._packed([t.id for t in self.merge("".join(map(_BYTE_LEVEL.__getitem__, piece.encode("utf-8"))))])
 
     def _chunk(self, chunk: str) -> bytes:
-        out = []
-        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk):
-            got = self.pieces.get(piece)
-            if got is None:
-                got = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype=self.dtype).tobytes()
-                self.pieces[piece] = got
-            out.append(got)
-        return b"".join(out)
+        if max(chunk) >= "\u0250":  # beyond these letters, versions of Unicode may differ
+            return b"".join(self._packed([t.id for t in self.merge(x)])
+                            for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk))
+        pieces = _PIECES.findall(chunk)
+        if len(pieces) == 1:
+            return self._piece(chunk)
+        return b"".join(self.chunks[x[1:]] if x[0] == " " and len(x) > 1 else self._inner(x) for x in pieces)
+
+    def _spaced(self, chunk: str) -> bytes:
+        got = self.older.get(chunk)
+        if got is not None:
+            return got
+        word = chunk.rstrip(_SYMBOLS)
+        if word.isalpha():  # one piece, and a run of symbols is another
+            if not word.isascii() and max(word) >= "\u0250":
+                return self._chunk(" " + chunk)
+            if len(word) < len(chunk):
+                return self.chunks[word] + self._inner(chunk[len(word):])
+            if word.isascii():
+                return array(self.code, [t.id for t in self.merge("\u0120" + word)]).tobytes()
+            return self._piece(" " + word)
+        return self._chunk(" " + chunk)
+
+    def _inner(self, piece: str) -> bytes:
+        got = self.inner.get(piece)
+        if got is None:
+            if len(self.inner) >= self.KEEP:
+                self.inner.clear()
+            got = self.inner[piece] = self._piece(piece)
+        return got
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.simple or any(s in text for s in self.special) or _JOINED_SPACES.search(text):
             return self._whole(text)
-        if len(self.chunks) > self.KEEP or len(self.pieces) > self.KEEP:
-            self.chunks.clear()
-            self.pieces.clear()
+        if len(self.chunks) >= self.KEEP:
+            self.older, self.chunks = self.chunks, _Kept(self._spaced)
         first, *rest = text.split(" ")
-        known = self.chunks
-        try:
-            ids = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            for c in set(rest):
-                if c not in known:
-                    known[c] = self._chunk(" " + c)
-            ids = b"".join(map(known.__getitem__, rest))
+        ids = b"".join(map(self.chunks.__getitem__, rest))
         return (self._chunk(first) if first else b"") + ids
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker: what it has kept serves the next task too."""
+    return Encoder(path)
+
+
 def id_dtype(vocab: int) -> str:
     return "<u2" if vocab <= 1 << 16 else "<u4"
 
@@ -126,6 +179,17 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def id_counts(arrays: DataFrame, size: int) -> DataFrame:
+    """id, n: the sums over one column of arrays, each ``size`` packed 64-bit counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                total += np.frombuffer(x.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["id", "n"])
+    return arrays.mapInArrow(run, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 # -- Arrow -------------------------------------------------------------------
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

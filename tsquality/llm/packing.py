@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsquality.llm.common import Encoder, batch, binary, gathered, id_dtype, parts_for, vocab_size, written
+from tsquality.llm.common import batch, binary, encoder, gathered, id_counts, id_dtype, parts_for, vocab_size, written
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence", pa.int64()), ("offset", pa.int64()),
@@ -44,7 +44,7 @@ def _crc(ids: np.ndarray) -> int:
 def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
     """mapInArrow function: (doc_id, text) to full windows, tails and the task's term statistics."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer)
+        enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
         order = np.random.default_rng(7).permutation(np.arange(2 * size, dtype=np.int64)).reshape(2, size)
         df = np.zeros(size, np.int64)
@@ -69,16 +69,6 @@ def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
     return run
 
 
-def _summed(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for b in batches:
-            for x in b.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["id", "df"])
-    return run
-
-
 class Shard:
     """The inverted index of a shard: postings of BM25 weights by term."""
 
@@ -96,8 +86,8 @@ class Shard:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(self.terms_of, minlength=len(idf)))])
         self.n = len(tails)
 
-    def neighbours(self, seed: int, unused: np.ndarray, query_terms: int) -> list[int]:
-        """Unused tails that share a query term with ``seed``, best first, ties in shard order."""
+    def neighbours(self, seed: int, unused: np.ndarray, query_terms: int, most: int) -> list[int]:
+        """The ``most`` best unused tails that share a query term with ``seed``, best first, ties in shard order."""
         own = slice(self.ends[seed], self.ends[seed + 1])
         terms, weights = self.terms_of[own], self.weight_of[own]
         rare = np.flatnonzero(self.first[terms + 1] - self.first[terms] > 1)
@@ -107,13 +97,21 @@ class Shard:
         if not lengths.sum():
             return []
         where = np.repeat(at - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        score = np.bincount(self.docs[where], self.weights[where], minlength=self.n)
-        found = np.flatnonzero((score > 0) & unused)
-        return found[np.argsort(-score[found], kind="stable")].tolist()
+        score = np.bincount(self.docs[where], self.weights[where], minlength=self.n) * unused
+        found = np.flatnonzero(score)
+        if len(found) > most:
+            floor = np.partition(score[found], len(found) - most)[len(found) - most]
+            found = found[score[found] >= floor]
+        return found[np.argsort(-score[found], kind="stable")[:most]].tolist()
+
 
+def fill(shard: Shard, lengths: list[int], window: int, query_terms: int,
+         most: int = 64) -> list[tuple[int, int, int, int, int]]:
+    """Pieces (sequence, offset, tail, start in the tail, length); every id of a tail is in one piece.
 
-def fill(shard: Shard, lengths: list[int], window: int, query_terms: int) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (sequence, offset, tail, start in the tail, length); every id of a tail is in one piece."""
+    Of the ``most`` best neighbours, those that fit whole are taken, best first; what then is free is
+    filled by cutting the best that is left.
+    """
     begin, left = [0] * len(lengths), list(lengths)
     unused = np.ones(len(lengths), bool)
     out, sequence, next_seed = [], -1, 0
@@ -130,13 +128,13 @@ def fill(shard: Shard, lengths: list[int], window: int, query_terms: int) -> lis
             continue
         seed, sequence, offset = next_seed, sequence + 1, 0
         take(seed, left[seed])
-        kept = [k for k in shard.neighbours(seed, unused, query_terms)]
-        for k in kept:
+        near = shard.neighbours(seed, unused, query_terms, most)
+        for k in near:
             if left[k] <= window - offset:
                 take(k, left[k])
             if offset == window:
                 break
-        rest = next((k for k in kept if left[k]), None)
+        rest = next((k for k in near if left[k]), None)
         at = next_seed
         while offset < window:
             if rest is None or not left[rest]:  # no neighbour is left: the next unused tails of the order
@@ -189,10 +187,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int
     cut = written(cut.withColumn("row", F.monotonically_increasing_id()), "cut", compression="zstd")
     full, tails = cut.where(F.col("kind") == FULL), cut.where(F.col("kind") == TAIL)
     n_tails, n_ids = tails.agg(F.count("*"), F.sum("length")).first()
-    counts = (cut.where(F.col("kind") == STATS).select("ids").mapInArrow(_summed(size), "id BIGINT, df BIGINT")
-              .groupBy("id").agg(F.sum("df").alias("df")).toArrow())  # bounded by the vocabulary
+    counts = id_counts(cut.where(F.col("kind") == STATS).select("ids"), size).toArrow()  # bounded by the vocabulary
     df = np.zeros(size, np.int64)
-    df[counts.column("id").to_numpy()] = counts.column("df").to_numpy()
+    df[counts.column("id").to_numpy()] = counts.column("n").to_numpy()
     shards = (tails.select("doc_id", "start", "doc_tokens", "ids", "near", "near2", "row")
               .repartitionByRange(parts_for(n_ids, shard_tokens), F.xxhash64("near"), "near2", "row")
               .sortWithinPartitions(F.xxhash64("near"), "near2", "row")

@@ -27,12 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from tsquality.llm.common import Encoder, batch, binary, id_dtype, parts_for, vocab_size, written
+from tsquality.llm.common import batch, binary, encoder, id_counts, id_dtype, parts_for, vocab_size, written
 from tsquality.session import scratch_path
 
-#: For each control byte: the bytes of its four values, and their sum.
+#: For each control byte: the bytes of its four values.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
-SUMS = LENGTHS.sum(axis=1).astype(np.int64)
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 _TOKENS_DDL = "doc_id BIGINT, n BIGINT, ids BINARY, counts BINARY"
@@ -83,7 +82,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 def tokenized(path: str, end_id: int, size: int):
     """mapInArrow function: (doc_id, text) to compressed ids, then one row of id counts a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, squeeze = Encoder(path), zstandard.ZstdCompressor(level=1)
+        enc, squeeze = encoder(path), zstandard.ZstdCompressor(level=1)
         counts, end = np.zeros(size, np.int64), np.array([end_id], enc.dtype).tobytes()
         width = np.dtype(enc.dtype).itemsize
         for b in batches:
@@ -95,20 +94,9 @@ def tokenized(path: str, end_id: int, size: int):
     return run
 
 
-def _summed(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for b in batches:
-            for x in b.column(0):
-                total += np.frombuffer(x.as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["id", "n"])
-    return run
-
-
 def frequency_ranks(tokens: DataFrame, size: int) -> DataFrame:
     """rank, id over the whole vocabulary (its size bounds this table), ids that never occur last."""
-    counts = (tokens.where("counts IS NOT NULL").select("counts").mapInArrow(_summed(size), "id BIGINT, n BIGINT")
-              .groupBy("id").agg(F.sum("n").alias("n")))
+    counts = id_counts(tokens.where("counts IS NOT NULL").select("counts"), size)
     every = tokens.sparkSession.range(size).join(counts, "id", "left")
     order = W.Window.orderBy(F.coalesce("n", F.lit(0)).desc(), "id")
     return every.select((F.row_number().over(order) - 1).alias("rank"), "id")
