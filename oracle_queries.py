@@ -121,6 +121,19 @@ def _routed(select: str) -> str:
     return f"WITH {ROUTED.strip()}\n{select}"
 
 
+def _streamed(select: str) -> str:
+    """The same run with the wide arrival buckets of the streamed one."""
+    wide = ROUTED.replace(f"// {BUCKET_US} AS _bucket", f"// {C.STREAM_BUCKET_SECONDS * 1_000_000} AS _bucket")
+    return f"WITH {wide.strip()}\n{select}"
+
+
+def _iso(sql: str) -> str:
+    """ISO_OF(column) written out: as Python prints a UTC time."""
+    import re
+    return re.sub(r"ISO_OF\((\w+)\)", r"(strftime(\1, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(\1) % 1000000 <> 0 "
+                  r"THEN strftime(\1, '.%f') ELSE '' END || '+00:00')", sql)
+
+
 def _clean(select: str) -> str:
     return f"WITH {CLEAN}\n{select}"
 
@@ -230,9 +243,39 @@ SQL = {
         FROM t_late_events GROUP BY 1, 2"""),
     "metrics_summary_hourly": _routed("""SELECT date_trunc('hour', time) AS hour, metric_type, count(*) AS event_count,
         round(sum(value), 6) AS total_value, round(avg(value), 6) AS avg_value FROM metrics GROUP BY 1, 2"""),
-    "rollup_refresh": _routed("""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
+    "rollup_refreshed": _routed("""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
         round(avg(delay_seconds), 6) AS avg_delay_seconds, max(delay_seconds) AS max_delay_seconds
         FROM t_late_events WHERE arrival_ts < date_trunc('hour', time) + INTERVAL 3 HOUR GROUP BY 1, 2"""),
+    "rollup_refresh": _routed(f"""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
+          round(avg(delay_seconds), 6) AS avg_delay_seconds, max(delay_seconds) AS max_delay_seconds
+        FROM t_late_events, (SELECT unnest([{', '.join(f"TIMESTAMP '{t}'" for t in C.REFRESH_AT)}]) AS now) n
+        WHERE arrival_ts < now AND time >= date_trunc('hour', now - INTERVAL 3 HOUR)
+          AND time < date_trunc('hour', now - INTERVAL 1 HOUR)
+          AND now = (SELECT max(m) FROM (SELECT unnest([{', '.join(f"TIMESTAMP '{t}'" for t in C.REFRESH_AT)}]) AS m) x
+                     WHERE time >= date_trunc('hour', m - INTERVAL 3 HOUR) AND time < date_trunc('hour', m - INTERVAL 1 HOUR))
+        GROUP BY 1, 2"""),
+    "tables_incremental": _routed("SELECT time, meter_id, consumption_kwh, status, arrival_ts FROM t_validated"),
+    "stream_pipeline": _streamed("""
+        SELECT 'validated_readings' AS route, time, meter_id, status AS detail, CAST(NULL AS BIGINT) AS number,
+          consumption_kwh AS value FROM t_validated
+        UNION ALL SELECT 'late_events', time, meter_id, NULL, CAST(delay_seconds AS BIGINT), consumption_kwh FROM t_late_events
+        UNION ALL SELECT 'gap_alerts', time, meter_id, detected_by, CAST(gap_minutes AS BIGINT),
+          CAST(epoch_us(missing_to) AS DOUBLE) FROM t_gap_alerts
+        UNION ALL SELECT 'metrics', NULL, meter_id,
+          concat_ws(':', metric_type, COALESCE(json_extract_string(tags, '$.error'), json_extract_string(tags, '$.status'))),
+          NULL, value FROM metrics"""),
+    "stream_state": _streamed(f"SELECT meter_id, last_seen, gap_count, late_count FROM ({METER_STATE}) s"),
+    "result_payloads": _routed(_iso("""
+        SELECT 'smartmeter_validated' AS topic, meter_id AS key, '{"meter_id":"' || meter_id || '","timestamp":"' ||
+          ISO_OF(time) || '","consumption_kwh":' || CAST(consumption_kwh AS VARCHAR) || ',"status":"' || status || '"}' AS value
+          FROM validated
+        UNION ALL SELECT 'smartmeter_gap_alerts', meter_id, '{"meter_id":"' || meter_id || '","missing_from":"' ||
+          ISO_OF(missing_from) || '","missing_to":"' || ISO_OF(missing_to) || '","gap_minutes":' || gap_minutes || '}' FROM alerts
+        UNION ALL SELECT 'smartmeter_late_events', meter_id, '{"meter_id":"' || meter_id || '","timestamp":"' || ISO_OF(time) ||
+          '","consumption_kwh":' || CAST(consumption_kwh AS VARCHAR) || ',"delay_seconds":' || delay_seconds || '}' FROM late_events
+        UNION ALL SELECT 'smartmeter_metrics', meter_id, '{"metric_type":"' || metric_type || '",' ||
+          CASE WHEN meter_id IS NULL THEN '' ELSE '"meter_id":"' || meter_id || '",' END || '"timestamp":"' || ISO_OF(time) ||
+          '","value":' || CAST(value AS VARCHAR) || ',"tags":' || tags || '}' FROM metrics""")),
     "active_meter_count": _routed(f"""SELECT value, CASE WHEN value >= 50 THEN 'green' WHEN value >= 10 THEN 'yellow'
         ELSE 'red' END AS status FROM (SELECT count(DISTINCT meter_id) AS value FROM t_validated
         WHERE time >= {NOW} - INTERVAL 24 HOUR) x"""),
@@ -274,6 +317,7 @@ ROUND6 = {
     "gap_summary_hourly": ["avg_gap_minutes"],
     "late_summary_hourly": ["avg_delay_seconds"],
     "rollup_refresh": ["avg_delay_seconds"],
+    "rollup_refreshed": ["avg_delay_seconds"],
     "metrics_summary_hourly": ["total_value", "avg_value"],
     "late_pct_hourly": ["late_pct"],
     "metric_types": ["total_value", "avg_value"],

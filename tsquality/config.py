@@ -12,7 +12,8 @@ Fixed values that must equal the reference's defaults (stated together here):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import dataclass, fields, replace
 
 
 @dataclass(frozen=True)
@@ -58,3 +59,16 @@ class QualityConfig:
 
 
 DEFAULT = QualityConfig()
+
+
+def load_config(path: str | None = None, settings: list[str] | tuple[str, ...] = ()) -> QualityConfig:
+    """Run parameters from a JSON file and, over that, from ``name=value`` settings."""
+    kinds = {f.name: type(getattr(DEFAULT, f.name)) for f in fields(QualityConfig)}
+    given: dict = {}
+    if path:
+        with open(path, encoding="utf-8") as f:
+            given.update(json.load(f))
+    given.update(s.split("=", 1) for s in settings)
+    if unknown := set(given) - set(kinds):
+        raise ValueError(f"unknown run parameters: {', '.join(sorted(unknown))}")
+    return replace(DEFAULT, **{k: kinds[k](v) for k, v in given.items()})

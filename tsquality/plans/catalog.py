@@ -32,7 +32,9 @@ from tsquality.sources.events import load_readings
 from tsquality.functions.hashing import uniform01, with_uniforms
 from tsquality.sources import csv as CSV
 from tsquality.sources.messages import parse_readings
+from tsquality.sources.replay import write_replay
 from tsquality.sources.synth import faulty_messages, inject_faults, sample_like
+from tsquality.streaming import job
 
 CFG = QualityConfig(interval_minutes=480)
 FAULTS = dict(seed=42, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=10800,
@@ -328,11 +330,90 @@ def q_metrics_summary_hourly(spark, sf_dir):
     return R.metrics_summary_hourly(tables(spark, sf_dir)["metrics"])
 
 
+#: The hours at which the refresh runs in ``rollup_refresh``: two windows that share an hour.
+REFRESH_AT = (dt.datetime(2024, 1, 15, 12, 30), dt.datetime(2024, 1, 15, 13, 30))
+
+
 def q_rollup_refresh(spark, sf_dir):
+    """A4: the refresh itself, at two moments, each over the events that had arrived by then."""
+    late, path = tables(spark, sf_dir)["late_events"], scratch_path(spark, "rollup")
+    for now in REFRESH_AT:
+        R.refresh(late.where(F.col("arrival_ts") < F.lit(now).cast("timestamp")), "late_events_summary_hourly", path, now)
+    schema = "hour TIMESTAMP, meter_id STRING, late_count BIGINT, avg_delay_seconds DOUBLE, max_delay_seconds INT"
+    return spark.read.schema(schema).parquet(path)
+
+
+def q_rollup_refreshed(spark, sf_dir):
+    """A4 over the whole history in closed form: what hourly refreshes leave."""
     late = T.resolve_routed(routes(spark, sf_dir).late_events, "late_events")
     return R.as_refreshed(late, "late_events_summary_hourly")
 
 
+def q_tables_incremental(spark, sf_dir):
+    """S8 + S12: two runs write the readings' log (batches by week, each counted from 0), and each
+    write is followed by an incremental compaction; the last one touches the days of the second run alone."""
+    base = scratch_path(spark, "log")
+    week = F.floor(F.col("_bucket") / (7 * 86400 // BUCKET_SECONDS))
+    rows = routes(spark, sf_dir).validated.withColumn("_week", week)
+    first = rows.agg(F.min("_week")).first()[0] or 0
+    for run, part in (("first", F.col("_week") <= first + 1), ("second", F.col("_week") > first + 1)):
+        T.write_batch(rows.where(part), f"{base}/validated_readings", "validated_readings", 0, run)
+        out = T.compact(spark, f"{base}/validated_readings", "validated_readings", f"{base}/compacted")
+    return out.select(*T.COLUMNS["validated_readings"], "arrival_ts")
+
+
+# -- the stream --------------------------------------------------------------
+
+#: Arrival buckets of the streamed run: wide, as every bucket is a micro-batch.
+STREAM_BUCKET_SECONDS = 3 * 86400
+_streams: dict = {}
+
+
+def streamed(spark, sf_dir):
+    """The faulted messages, replayed in arrival order through the stateful stream: (tables, checkpoint)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _streams:
+            base = scratch_path(spark, "stream")
+            messages = faulty_messages(faulted(spark, sf_dir), **PAYLOAD_FAULTS).withColumnRenamed("seq", "offset")
+            write_replay(messages, f"{base}/replay", STREAM_BUCKET_SECONDS)
+            job.start(job.replay_readings(spark, f"{base}/replay", CFG), f"{base}/out", f"{base}/checkpoint", CFG) \
+                .awaitTermination()
+            _streams[key] = (job.read_tables(spark, f"{base}/out"), f"{base}/checkpoint")
+        return _streams[key]
+
+
+def q_stream_pipeline(spark, sf_dir):
+    """The rows that the stream leaves in the four tables."""
+    t, _ = streamed(spark, sf_dir)
+
+    def rows(table, detail, number, value):
+        return t[table].select(F.lit(table).alias("route"), "time" if table != "metrics" else
+                               F.lit(None).cast("timestamp").alias("time"), "meter_id", detail.alias("detail"),
+                               number.cast("bigint").alias("number"), value.cast("double").alias("value"))
+    none = F.lit(None)
+    return (rows("validated_readings", F.col("status"), none, F.col("consumption_kwh"))
+            .unionAll(rows("late_events", none.cast("string"), F.col("delay_seconds"), F.col("consumption_kwh")))
+            .unionAll(rows("gap_alerts", F.col("detected_by"), F.col("gap_minutes"), F.unix_micros("missing_to").cast("double")))
+            .unionAll(rows("metrics", F.concat_ws(":", "metric_type", F.coalesce(F.element_at("tags", "error"),
+                                                                              F.element_at("tags", "status"))),
+                           none, F.col("value"))))
+
+
+def q_stream_state(spark, sf_dir):
+    """The meters' state as the stream's state store has it after the last batch."""
+    state = job.read_state(spark, streamed(spark, sf_dir)[1])
+    return state.select(F.col("key._key").alias("meter_id"), F.timestamp_micros("value.last_seen_us").alias("last_seen"),
+                        F.col("value.gap_count").alias("gap_count"), F.col("value.late_count").alias("late_count"))
+
+
+def q_result_payloads(spark, sf_dir):
+    """S6 + P6: the routed run's rows as messages of the four result topics."""
+    r = routes(spark, sf_dir)
+    return job.result_topic_messages({"validated_readings": r.validated, "gap_alerts": r.gap_alerts,
+                                      "late_events": r.late_events, "metrics": r.metrics})
+
+
 # -- reports -----------------------------------------------------------------
 
 def _t(spark, sf_dir, name):
@@ -443,6 +524,11 @@ QUERIES = {
     "late_summary_hourly": q_late_summary_hourly,
     "metrics_summary_hourly": q_metrics_summary_hourly,
     "rollup_refresh": q_rollup_refresh,
+    "rollup_refreshed": q_rollup_refreshed,
+    "tables_incremental": q_tables_incremental,
+    "stream_pipeline": q_stream_pipeline,
+    "stream_state": q_stream_state,
+    "result_payloads": q_result_payloads,
     "active_meter_count": q_active_meter_count,
     "events_per_minute": q_events_per_minute,
     "gaps_per_hour": q_gaps_per_hour,

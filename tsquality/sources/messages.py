@@ -94,11 +94,11 @@ def parse_results(messages: DataFrame, route: str, keep: tuple[str, ...] = ()) -
 # -- Kafka edges (connector jar required at run time) -------------------------
 
 def kafka_source(spark: SparkSession, servers: str, topic: str = TOPICS["raw"], stream: bool = True,
-                 group: str = "tsquality", max_offsets_per_trigger: int | None = 10_000_000) -> DataFrame:
+                 group: str = "tsquality", max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Subscribe from the earliest offsets; ``value``/``key`` as text.
 
-    ``maxOffsetsPerTrigger`` bounds a micro-batch, and with it the rows one meter
-    can bring to the stateful processor in one call.
+    ``max_offsets_per_trigger`` cuts micro-batches, and so moves the watermark at other
+    moments: lateness and timers depend on it. It is off unless asked for.
     """
     reader = spark.readStream if stream else spark.read
     reader = (reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
