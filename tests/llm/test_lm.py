@@ -47,15 +47,28 @@ def test_scores(spark, tmp, order, shard_chars):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-4 and abs(a[6] - b[6]) < 1e-4
 
 
-def test_probabilities_sum_to_one():
-    texts = ["a b a c", "b a b", "c c a", "unseen"]
-    grams = lm.Grams(texts, np.array([True, True, True, False]), 3)
-    seen = grams.local[0] > 0
-    machine = lm.Automaton(grams, grams.local, int(grams.local[0].sum()), int(seen.sum()), [4.0, 2.0])
-    assert seen.sum() == grams.n_words - 1  # one word stands for the class of unknown words
-    for prefix in ([], [0], [0, 1], [1, 0], [2]):
-        before = machine.score(prefix)
-        assert abs(sum(10 ** (machine.score(prefix + [w]) - before) for w in range(grams.n_words)) - 1) < 1e-9
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_sum_to_one(order):
+    train = ["a b a c", "b a b", "c c a"]
+    prefixes = ["", "a", "a b", "b a", "c", "c c", "unseen", "a unseen"]
+    words = ["a", "b", "c", "new"]  # one word stands for the class of unknown words
+    texts = train + [f"{p} {w}" for p in prefixes for w in words] + prefixes
+    known = np.arange(len(texts)) < len(train)
+    grams = lm.Grams(texts, known, order)
+    machine = lm.Automaton(grams, grams.local, int(grams.local[0].sum()), int((grams.local[0] > 0).sum()), [4.0, 2.0][:order - 1])
+    arcs, fails = machine.tracks(grams)
+    ends = np.cumsum(grams.lengths)
+
+    def score(text, n):
+        """log10 of the probability of a text's first n tokens."""
+        k = texts.index(text)
+        a = ends[k] - grams.lengths[k]
+        return machine.score([x[a:a + n] for x in arcs], [x[a:a + n] for x in fails])
+    for p in prefixes:
+        n = len(p.split())
+        before = score(p, n)
+        total = sum(10 ** (score(f"{p} {w}", n + 1) - before) for w in words) + 10 ** (score(p, n + 1) - before)
+        assert abs(total - 1) < 1e-9, p
 
 
 def test_no_training_rows_and_empty_table(spark, tmp):

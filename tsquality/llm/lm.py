@@ -7,15 +7,16 @@ The model is an n-gram model with Dirichlet smoothing: with c counts of the trai
 and at the root p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)), where unknown words share one class. As an
 automaton: contexts are states, an n-gram that was seen is an arc of weight log p from its context to
 the longest suffix that is a state, and each state has a failure arc of weight log(m / (c(h) + m)) to
-its context without the first word. A text is one traversal from the root that carries the state
-and adds up weights.
+its context without the first word. A text is one left-to-right traversal from the root that carries
+the state and adds up weights.
 
 The counts of a large corpus fit no task, so the automaton is never in one place. Documents are
 dealt to shards of bounded size. Each shard lists its distinct n-grams with their counts in its
 training documents, as sorted 64-bit keys in one packed row for each part of the key space. A part adds
 up the counts of each key over all shards and answers each shard in the shard's own order, so that
 no key travels back. With the answers a shard has all states and arcs that its documents can
-reach, builds that piece of the automaton, and traverses its documents. Words are keyed by XXH64 and
+reach, builds that piece of the automaton, and traverses its documents; as the n-grams of its texts are
+numbered already, a token's arcs need no search. Words are keyed by XXH64 and
 longer n-grams by a mix of their words' keys; two of a billion different keys collide with a
 probability of some 3 %, and would then share their counts.
 """
@@ -170,67 +171,55 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
     return counts
 
 
+#: Stands for an arc that is not there: no log-probability is positive.
+_NO_ARC = 1.0
+
+
 class Automaton:
-    """States and arcs for the n-grams of a shard, given their counts in the whole training corpus."""
+    """States and arcs for the n-grams of a shard, given their counts in the whole training corpus.
+
+    The state of a context is its n-gram, the arc of a word that follows it is the longer n-gram, and
+    the failure arc of a state goes to the context without its first word; a state is told by the
+    length of its context and the token that it ends at. Weights stand in arrays by n-gram.
+    """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], train_tokens: int, vocabulary: int, strength: list[float]):
-        order, width = len(counts), grams.n_words
-        self.width = width
         floor = train_tokens + 0.1 * (vocabulary + 1)
         p = (counts[0] + 0.1) / floor
         self.unknown = float(np.log10(0.1 / floor))
         self.base = np.log10(p)
-        # State 0 is the root; then, level by level, the contexts that were seen.
-        state = [np.where(counts[0] > 0, np.cumsum(counts[0] > 0), 0)]
-        n_states = 1 + int((counts[0] > 0).sum())
-        for level in range(1, order - 1):
+        self.arc, self.fail = [np.where(counts[0] > 0, self.base, _NO_ARC)], []
+        for level in range(1, len(counts)):
+            m = strength[level - 1]
+            self.fail.append(np.log10(m / (counts[level - 1] + m)))
             seen = counts[level] > 0
-            state.append(np.where(seen, n_states + np.cumsum(seen) - 1, 0))
-            n_states += int(seen.sum())
-        self.fail, self.fail_weight = np.zeros(n_states, np.int64), np.zeros(n_states)
-        arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for level in range(order):
-            seen = np.flatnonzero(counts[level] > 0)
-            if level:
-                m = strength[level - 1]
-                prefix = grams.prefix[level][seen]
-                context = counts[level - 1][prefix]
-                every = np.zeros(len(counts[level]))
-                every[seen] = (counts[level][seen] + m * p[grams.suffix[level][seen]]) / (context + m)
-                p = every
-                source = state[level - 1][prefix]
-            else:
-                source = np.zeros(len(seen), np.int64)
-            if level < order - 1:
-                own = state[level][seen]
-                self.fail[own] = state[level - 1][grams.suffix[level][seen]] if level else 0
-                m = strength[level]
-                self.fail_weight[own] = np.log10(m / (counts[level][seen] + m))
-                target = own
-            else:
-                target = state[level - 1][grams.suffix[level][seen]] if level else np.zeros(len(seen), np.int64)
-            arcs.append((source * width + grams.last[level][seen], target, np.log10(p[seen])))
-        labels, targets, weights = (np.concatenate(x) for x in zip(*arcs))
-        self.arcs = dict(zip(labels.tolist(), range(len(labels))))
-        self.target, self.weight = targets.tolist(), weights.tolist()
-        self.fail, self.fail_weight = self.fail.tolist(), self.fail_weight.tolist()
-
-    def score(self, words: list[int]) -> float:
-        """Sum of log10 p over a text's word ids: one traversal from the root."""
-        arc_of, target, weight, fail, fail_weight = self.arcs.get, self.target, self.weight, self.fail, self.fail_weight
-        width, state, total = self.width, 0, 0.0
-        for w in words:
-            arc = arc_of(state * width + w)
-            while arc is None:
+            context = counts[level - 1][grams.prefix[level]]
+            p = (counts[level] + m * p[grams.suffix[level]]) / (context + m)
+            self.arc.append(np.where(seen, np.log10(p), _NO_ARC))
+
+    def tracks(self, grams: Grams) -> tuple[list[list[float]], list[list[float]]]:
+        """For each token, by length of context: the weight of the arc that reads it, and of the failure
+        arc of the state before it."""
+        arcs = [np.where(at >= 0, w[at], _NO_ARC).tolist() for w, at in zip(self.arc, grams.at)]
+        fails = [[0.0] + w[at[:-1]].tolist() for w, at in zip(self.fail, grams.at)]
+        return arcs, fails
+
+    def score(self, arcs: list[list[float]], fails: list[list[float]]) -> float:
+        """Sum of log10 p over one text's tokens: a traversal from the root that carries the state."""
+        longest, unknown = len(fails), self.unknown
+        total, state = 0.0, 0  # the length of the context: 0 is the root
+        for reads, fallen in zip(zip(*arcs), zip(*fails)):
+            weight = reads[state]
+            while weight == _NO_ARC:
                 if not state:
-                    total += self.unknown
+                    weight, state = unknown, -1
                     break
-                total += fail_weight[state]
-                state = fail[state]
-                arc = arc_of(state * width + w)
-            else:
-                total += weight[arc]
-                state = target[arc]
+                state -= 1
+                total += fallen[state]
+                weight = reads[state]
+            total += weight
+            if state < longest:
+                state += 1
         return total
 
 
@@ -253,7 +242,8 @@ def _scored(order: int, parts: int, strength: list[float]):
         begins = ends - grams.lengths
         known = np.add.reduceat((counts[0] > 0)[grams.word_at].astype(np.int64), begins)
         base = np.add.reduceat(machine.base[grams.word_at], begins)
-        score = [machine.score(grams.word_at[a:z].tolist()) for a, z in zip(begins, ends)]
+        arcs, fails = machine.tracks(grams)
+        score = [machine.score([x[a:z] for x in arcs], [x[a:z] for x in fails]) for a, z in zip(begins, ends)]
         return pa.table({
             "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(grams.lengths),
             "n_known": pa.array(known), "train_tokens": pa.array([train_tokens] * len(score), pa.int64()),
