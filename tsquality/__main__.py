@@ -159,9 +159,8 @@ def main(argv=None):
                 "*", F.monotonically_increasing_id().alias("seq"), F.col("timestamp").alias("arrival_ts"))
         else:
             from tsquality.sources.messages import parse_readings
-            from tsquality.sources.replay import MESSAGE_SCHEMA
-            rows = parse_readings(spark.read.schema(MESSAGE_SCHEMA).parquet(f"{a.src}/messages"), cfg) \
-                .withColumnRenamed("offset", "seq").drop("key", "value", "arrival_bucket")
+            from tsquality.sources.replay import stored_messages
+            rows = parse_readings(stored_messages(spark, a.src), cfg).withColumnRenamed("offset", "seq").drop("key", "value")
         r, run = route(rows, cfg, a.bucket_seconds), uuid.uuid4().hex
         for table, df in (("validated_readings", r.validated), ("late_events", r.late_events),
                           ("gap_alerts", r.gap_alerts), ("metrics", r.metrics)):
