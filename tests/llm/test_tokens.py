@@ -36,7 +36,7 @@ def test_encoder_drops_old_chunks():
     for k in range(200):
         text = f"w{k} common w{k + 1}, word{k % 7}."
         assert np.frombuffer(e.encode(text), e.dtype).tolist() == TK.encode(text, add_special_tokens=False).ids
-    assert len(e.chunks) + len(e.older) + len(e.inner) < 60
+    assert len(e.chunks) + len(e.chunks.older) + len(e.inner) < 60 and not e.chunks.older.older
 
 
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=300))

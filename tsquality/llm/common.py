@@ -64,15 +64,21 @@ _SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 _BYTE_LEVEL = [chr(0x100 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256)]
 
 
-class _Kept(dict):
-    """A dictionary that makes what it lacks."""
+class _Chunks(dict):
+    """The ids of a space and a chunk, by chunk; what is not there is made and kept."""
 
-    def __init__(self, make):
+    def __init__(self, encoder: Encoder, older: dict):
         super().__init__()
-        self.make = make
+        self.merge, self.code, self.spaced, self.older = encoder.merge, encoder.code, encoder._spaced, older
 
-    def __missing__(self, key):
-        got = self[key] = self.make(key)
+    def __missing__(self, chunk: str) -> bytes:
+        got = self.older.get(chunk)
+        if got is None:
+            if chunk.isalpha() and chunk.isascii():  # one piece, and bytes that stand for themselves
+                got = array(self.code, [t.id for t in self.merge("\u0120" + chunk)]).tobytes()
+            else:
+                got = self.spaced(chunk)
+        self[chunk] = got
         return got
 
 
@@ -102,8 +108,7 @@ class Encoder:
         self.special = [t["content"] for t in conf.get("added_tokens", [])]
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.chunks = _Kept(self._spaced)  # the ids of a space and the chunk
-        self.older: dict[str, bytes] = {}
+        self.chunks = _Chunks(self, {})
         self.inner: dict[str, bytes] = {}  # the ids of a piece without a space
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -125,18 +130,9 @@ class Encoder:
         return b"".join(self.chunks[x[1:]] if x[0] == " " and len(x) > 1 else self._inner(x) for x in pieces)
 
     def _spaced(self, chunk: str) -> bytes:
-        got = self.older.get(chunk)
-        if got is not None:
-            return got
         word = chunk.rstrip(_SYMBOLS)
-        if word.isalpha():  # one piece, and a run of symbols is another
-            if not word.isascii() and max(word) >= "\u0250":
-                return self._chunk(" " + chunk)
-            if len(word) < len(chunk):
-                return self.chunks[word] + self._inner(chunk[len(word):])
-            if word.isascii():
-                return array(self.code, [t.id for t in self.merge("\u0120" + word)]).tobytes()
-            return self._piece(" " + word)
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one piece, and a run of symbols is another
+            return self.chunks[word] + self._inner(chunk[len(word):]) if len(word) < len(chunk) else self._piece(" " + word)
         return self._chunk(" " + chunk)
 
     def _inner(self, piece: str) -> bytes:
@@ -153,7 +149,8 @@ class Encoder:
         if not self.simple or any(s in text for s in self.special) or _JOINED_SPACES.search(text):
             return self._whole(text)
         if len(self.chunks) >= self.KEEP:
-            self.older, self.chunks = self.chunks, _Kept(self._spaced)
+            self.chunks.older = {}  # what was kept before it goes
+            self.chunks = _Chunks(self, self.chunks)
         first, *rest = text.split(" ")
         ids = b"".join(map(self.chunks.__getitem__, rest))
         return (self._chunk(first) if first else b"") + ids

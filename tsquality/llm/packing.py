@@ -41,6 +41,16 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _terms(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids of each text, one text after the other, how often each occurs, and where each text begins."""
+    text = np.repeat(np.arange(len(texts), dtype=np.uint64), [len(x) for x in texts])
+    key = np.sort(text << np.uint64(32) | np.concatenate(texts))
+    first = np.flatnonzero(np.diff(key, prepend=key[0] + np.uint64(1)))
+    key, count = key[first], np.diff(first, append=len(key))
+    return ((key & np.uint64(0xFFFFFFFF)).astype(np.int64), count,
+            np.searchsorted(key, np.arange(len(texts), dtype=np.uint64) << np.uint64(32)))
+
+
 def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
     """mapInArrow function: (doc_id, text) to full windows, tails and the task's term statistics."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,22 +59,25 @@ def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
         order = np.random.default_rng(7).permutation(np.arange(2 * size, dtype=np.int64)).reshape(2, size)
         df = np.zeros(size, np.int64)
         for b in batches:
-            rows = []
-            for d, t in zip(b.column(0), b.column(1)):
-                ids = np.frombuffer(enc.encode(t.as_py()) + end, enc.dtype)
-                doc, n = d.as_py(), len(ids)
-                full = n - n % window
-                for at in range(0, full, window):
-                    x = ids[at:at + window]
-                    rows.append((FULL, doc, at, window, _crc(x), n, None, None, x.tobytes() if with_ids else None))
-                if n > full:
-                    x = ids[full:]
-                    terms = np.unique(x)
-                    df[terms] += 1
-                    near = order[:, terms].min(axis=1).tolist()
-                    rows.append((TAIL, doc, full, n - full, None, n, *near, x.tobytes()))
-            if rows:
-                yield batch(_CUT, **{f.name: [r[k] for r in rows] for k, f in enumerate(_CUT)})
+            full, tails, ids = [], [], []
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = np.frombuffer(enc.encode(text) + end, enc.dtype)
+                n = len(x)
+                cut = n - n % window
+                for at in range(0, cut, window):
+                    w = x[at:at + window]
+                    full.append((FULL, doc, at, window, _crc(w), n, None, None, w.tobytes() if with_ids else None))
+                if n > cut:
+                    tails.append((TAIL, doc, cut, n - cut, None, n))
+                    ids.append(x[cut:])
+            if full:
+                yield batch(_CUT, **{f.name: [r[k] for r in full] for k, f in enumerate(_CUT)})
+            if tails:
+                terms, _, starts = _terms(ids)
+                df += np.bincount(terms, minlength=size)
+                near, near2 = (np.minimum.reduceat(o[terms], starts).tolist() for o in order)
+                columns = [*zip(*tails), near, near2, [x.tobytes() for x in ids]]
+                yield batch(_CUT, **{f.name: c for f, c in zip(_CUT, columns)})
         yield batch(_CUT, **{f.name: [None] for f in _CUT} | {"kind": [STATS], "ids": [binary(df)]})
     return run
 
@@ -74,12 +87,9 @@ class Shard:
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float, b: float):
         n = np.array([len(x) for x in tails])
-        pairs = [np.unique(x, return_counts=True) for x in tails]
-        self.terms_of = np.concatenate([p[0] for p in pairs]).astype(np.int64)
-        tf = np.concatenate([p[1] for p in pairs])
-        per_doc = np.array([len(p[0]) for p in pairs])
-        self.ends = np.concatenate([[0], np.cumsum(per_doc)])
-        doc = np.repeat(np.arange(len(tails)), per_doc)
+        self.terms_of, tf, starts = _terms(tails)
+        self.ends = np.append(starts, len(tf))
+        doc = np.repeat(np.arange(len(tails)), np.diff(self.ends))
         self.weight_of = idf[self.terms_of] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * n[doc] / mean_length))
         order = np.argsort(self.terms_of, kind="stable")
         self.docs, self.weights = doc[order], self.weight_of[order]

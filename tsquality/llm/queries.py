@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsquality.llm import langid
+from tsquality.llm import langid, oracle
 from tsquality.llm.common import byte_bpe, crc_mod, table
 from tsquality.llm.extract import extracted
 from tsquality.llm.knn import top_k
@@ -70,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_lexical_packing, op2_backoff_automaton, op3_chunked_warc, op4_entropy_mix, op5_voronoi_knn, op6_line_blocks,
     op7_word_first_langid, op8_simhash_tiles, op9_quality_rules, op10_token_archive)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL

@@ -30,8 +30,10 @@ from pyspark.sql import window as W
 from tsquality.llm.common import batch, binary, encoder, id_counts, id_dtype, parts_for, vocab_size, written
 from tsquality.session import scratch_path
 
-#: For each control byte: the bytes of its four values.
+#: For each control byte: the bytes of its four values, and by width (bytes a value has room for) which
+#: bytes of four values are written.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
+MASKS = {width: (np.arange(width) < LENGTHS[:, :, None]).reshape(256, 4 * width) for width in (2, 4)}
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 _TOKENS_DDL = "doc_id BIGINT, n BIGINT, ids BINARY, counts BINARY"
@@ -47,36 +49,26 @@ _DOC_DDL = "doc_id BIGINT, part INT, first BIGINT, n_tokens BIGINT, ids_crc32 BI
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Ranks to (control, data)."""
-    r = ranks.astype(np.uint32, copy=False)
-    extra = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    codes = np.zeros(-(-len(r) // 4) * 4, np.uint8)
-    codes[:len(r)] = extra
-    codes = codes.reshape(-1, 4)
+    n = len(ranks)
+    r = np.zeros(-(-n // 4) * 4, "<u4")
+    r[:n] = ranks
+    extra = (r > 0xFF).view(np.uint8)
+    width = 2
+    if n and r.max() > 0xFFFF:
+        extra, width = extra + (r > 0xFFFF) + (r > 0xFFFFFF), 4
+    codes = extra.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    ends = np.cumsum(extra.astype(np.int64) + 1)
-    at = ends - extra - 1
-    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    data[at] = r & 0xFF
-    for k in (1, 2, 3):
-        more = np.flatnonzero(extra >= k)
-        if not len(more):
-            break
-        data[at[more] + k] = r[more] >> (8 * k) & 0xFF
-    return control.tobytes(), data.tobytes()
+    written = MASKS[width][control].ravel()[:n * width]
+    return control.tobytes(), r.astype(f"<u{width}").view(np.uint8)[:n * width][written].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """(control, data) back to ``n`` ranks: the lengths come from a table of 256 rows."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    at = np.cumsum(lengths, dtype=np.int64) - lengths
-    raw = np.frombuffer(data, np.uint8)
-    out = raw[at].astype(np.uint32)
-    for k in (1, 2, 3):
-        more = np.flatnonzero(lengths > k)
-        if not len(more):
-            break
-        out[more] |= raw[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out
+    """(control, data) back to ``n`` ranks: which bytes are written comes from a table of 256 rows."""
+    codes = np.frombuffer(control, np.uint8)
+    width = 4 if (codes & 0b10101010).any() else 2
+    out = np.zeros(n * width, np.uint8)
+    out[MASKS[width][codes].ravel()[:n * width]] = np.frombuffer(data, np.uint8)
+    return out.view(f"<u{width}").astype(np.uint32)
 
 
 def tokenized(path: str, end_id: int, size: int):
@@ -86,7 +78,7 @@ def tokenized(path: str, end_id: int, size: int):
         counts, end = np.zeros(size, np.int64), np.array([end_id], enc.dtype).tobytes()
         width = np.dtype(enc.dtype).itemsize
         for b in batches:
-            ids = [enc.encode(t.as_py()) + end for t in b.column(1)]
+            ids = [enc.encode(t) + end for t in b.column(1).to_pylist()]
             counts += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=size)
             yield batch(_TOKENS, doc_id=b.column(0), n=[len(x) // width for x in ids],
                         ids=[squeeze.compress(x) for x in ids], counts=[None] * len(ids))
