@@ -36,3 +36,28 @@ def test_csv_file_round_trip(spark, tmp):
         f.write("meter_id,timestamp,consumption_kwh\nMETER_0001,2024-01-01T00:00:00,1.25\n")
     df = parse_csv_rows(read_csv(spark, p))
     assert [(r.meter_id, r.consumption_kwh) for r in df.collect()] == [("METER_0001", 1.25)]
+
+
+def test_files_with_different_headers(spark, tmp):
+    """Columns go by name, not by the first file's order; doubled quotes, line breaks and dropped rows."""
+    import os
+
+    from pyspark.sql import Observation
+    files = {"a.csv": "meter_id,timestamp,kwh\nM1,2024-01-01T00:00:00,1.25\nM1,never,1\nM1,2024-01-01T01:00:00,x\n",
+             "b.csv": "kwh,time,id\n9.0,2024-01-01 02:00:00,M8\n",
+             "c.csv": 'id,time,consumption\n"M ""9""\n10",2024-01-01 03:00:00,2\n,2024-01-01 03:00:00,2\n',
+             "d.csv": ""}
+    for name, text in files.items():
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write(text)
+    seen = Observation("rows")
+    got = parse_csv_rows(read_csv(spark, tmp), observation=seen).collect()
+    assert sorted((r.meter_id, r.timestamp.hour, r.consumption_kwh) for r in got) == \
+        [('M "9"\n10', 3, 2.0), ("M1", 0, 1.25), ("M8", 2, 9.0)]
+    assert seen.get == {"rows": 6, "dropped": 3}
+
+
+def test_missing_path_fails(spark, tmp):
+    import pytest
+    with pytest.raises(Exception):
+        read_csv(spark, tmp + "/none").count()

@@ -49,3 +49,26 @@ def test_hot_meter_is_split_and_results_agree(spark):
     b = _tables(route(raw, split, 600))
     assert a == b
     assert a["alerts"] and a["late"] and a["state"]
+
+
+def test_one_bucket_of_one_meter_is_split(spark):
+    """A backfill: all rows of a meter in one arrival bucket, some at one instant. The full order
+    splits them; no part holds more than a few times the limit, and results agree."""
+    import math
+
+    from tsquality.operators.sequence import SEG, SUB, _apply_split
+    base = dt.datetime(2024, 1, 1)
+    arr = base + dt.timedelta(days=40)
+    rows = [("HOT", base + dt.timedelta(minutes=30 * (i // 3) + (i % 50 == 0) * 100), 1.0, i, arr) for i in range(1000)]
+    rows += [("Q", base + dt.timedelta(days=41, minutes=30 * i), 1.0, 2000 + i, arr + dt.timedelta(minutes=30 * i)) for i in range(20)]
+    raw = spark.createDataFrame(rows, "meter_id string, timestamp timestamp, consumption_kwh double, seq bigint, "
+                                      "arrival_ts timestamp")
+    plain = QualityConfig(interval_minutes=30, materialize="cache")
+    limit = 50
+    d = raw.select("*", F.lit(7).cast("bigint").alias("_bucket"), F.unix_micros("timestamp").alias("_us"),
+                   F.lit(0).cast("bigint").alias(SEG)).where("meter_id = 'HOT'")
+    hot = detect_hot(d, "meter_id", plain.with_(max_segment_rows=limit))
+    parts = _apply_split(d, "meter_id", ["_bucket", "_us", "seq"], hot).groupBy("meter_id", SEG, SUB).count().collect()
+    assert sum(p["count"] for p in parts) == 1000 and len(parts) >= math.ceil(1000 / limit) * 0.7
+    assert max(p["count"] for p in parts) <= 3 * limit
+    assert _tables(route(raw, plain, 600)) == _tables(route(raw, plain.with_(max_segment_rows=limit), 600))

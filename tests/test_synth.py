@@ -4,7 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tsquality.sources.synth import generate_readings, inject_faults, replay_order
+from tsquality.functions.hashing import with_uniforms
+from tsquality.sources.synth import (PAYLOAD_FAULTS, REPEAT_SEQ, faulty_messages, generate_readings, inject_faults,
+                                     reading_key, replay_order)
 
 
 def test_sample_sizes(spark):
@@ -31,3 +33,46 @@ def test_fault_rates(spark):
     assert mx <= 300
     again = inject_faults(g, seed=1, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=300)
     assert again.count() == f.count()
+
+
+def test_draws_are_uniform_and_independent(spark):
+    """Quantiles of the delays, and joint rates of two draws, are those of independent draws."""
+    g = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=20, days=30).cache()
+    f = inject_faults(g, seed=42, gap_probability=0.0, delay_probability=0.1, max_delay_seconds=10800)
+    delay = (F.unix_micros("arrival_ts") - F.unix_micros("timestamp")) / 1e6
+    late = f.select(delay.alias("d")).where("d > 0")
+    q = late.approxQuantile("d", [0.05, 0.25, 0.5, 0.75, 0.95], 0.0)
+    assert all(abs(x - p * 10800) < 400 for x, p in zip(q, [0.05, 0.25, 0.5, 0.75, 0.95])), q
+    key = reading_key()
+    salts = ("drop", "delay", "amount", "corrupt", "repeat")
+    u = with_uniforms(g, 42, {s: (s, key) for s in salts}).cache()
+    n = u.count()
+    for i, a in enumerate(salts):
+        assert abs(u.where(F.col(a) < 0.05).count() / n - 0.05) < 0.006
+        for b in salts[i + 1:]:
+            joint = u.where((F.col(a) < 0.2) & (F.col(b) < 0.2)).count() / n
+            assert abs(joint - 0.04) < 0.005, (a, b)
+            assert abs(u.stat.corr(a, b)) < 0.03
+    assert u.select(F.round(F.pmod(F.col("amount") - F.col("delay"), F.lit(1.0)), 4).alias("x")).distinct().count() > 5000
+
+
+def test_faults_do_not_depend_on_order_or_splits(spark):
+    g = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=3, days=5)
+    opts = dict(seed=5, corrupt_probability=0.1, repeat_probability=0.1)
+    a = inject_faults(g, **opts)
+    b = inject_faults(g.repartition(7, "timestamp").withColumn("seq", F.monotonically_increasing_id()), **opts)
+    cols = ["meter_id", "timestamp", "consumption_kwh", "arrival_ts"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    again = a.where(F.col("seq") >= REPEAT_SEQ).count()
+    assert 0.05 < again / a.count() < 0.15
+
+
+def test_every_payload_fault_occurs(spark):
+    from tsquality.sources.messages import parse_readings
+    g = generate_readings(spark, dt.datetime(2024, 1, 1), num_meters=5, days=5)
+    p = parse_readings(faulty_messages(inject_faults(g, seed=3, corrupt_probability=0.1), seed=3, probability=0.3))
+    seen = {r.validation for r in p.select("validation").distinct().collect()}
+    assert seen == {"OK", "Missing required field: meter_id", "Missing required field: timestamp",
+                    "Missing required field: consumption_kwh", "Invalid meter_id", "Invalid timestamp type",
+                    "Invalid consumption_kwh value", "Consumption cannot be negative", "Consumption value too large"}
+    assert p.where("parse_error IS NOT NULL").count() > 0 and len(PAYLOAD_FAULTS) == 7

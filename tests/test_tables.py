@@ -61,3 +61,57 @@ def test_compact(spark, tmp):
     out = T.compact(spark, v, "validated_readings", os.path.join(tmp, "compacted"))
     assert [x.consumption_kwh for x in out.collect()] == [3.0]
     assert "event_date" in out.columns
+
+
+READING = "time timestamp, meter_id string, consumption_kwh double, status string, seq bigint"
+
+
+def test_runs_do_not_overwrite_each_other(spark, tmp):
+    t0 = ts("2024-01-01 10:00:00")
+    v = "file:" + os.path.join(tmp, "validated_readings")
+    for run, kwh in (("a", 1.0), ("b", 2.0)):
+        T.write_batch(spark.createDataFrame([(t0, "M1", kwh, "OK", 0), (t0, run, kwh, "OK", 1)], READING), v,
+                      "validated_readings", 0, run)
+    assert T.read_log(spark, v, "validated_readings").count() == 4
+    got = {r.meter_id: r.consumption_kwh for r in T.read_table(spark, v, "validated_readings").collect()}
+    assert got == {"M1": 2.0, "a": 1.0, "b": 2.0}  # the later write wins
+
+
+def test_incremental_compaction(spark, tmp):
+    """Days that later writes do not touch keep their files; the result is that of a full compaction."""
+    import glob
+    v, out = os.path.join(tmp, "log"), os.path.join(tmp, "compacted")
+
+    def write(batch, rows):
+        T.write_batch(spark.createDataFrame([(ts(t), m, k, "OK", i) for i, (t, m, k) in enumerate(rows)], READING), v,
+                      "validated_readings", batch)
+    write(0, [("2024-01-01 10:00:00", "M1", 1.0), ("2024-01-02 10:00:00", "M1", 2.0)])
+    T.compact(spark, v, "validated_readings", out)
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(out + "/event_date=2024-01-01/part-*")}
+    write(1, [("2024-01-02 10:00:00", "M1", 5.0), ("2024-01-03 10:00:00", "M1", 3.0)])
+    got = T.compact(spark, v, "validated_readings", out)
+    assert sorted((r.time.day, r.consumption_kwh) for r in got.collect()) == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    assert {f: os.stat(f).st_mtime_ns for f in glob.glob(out + "/event_date=2024-01-01/part-*")} == before
+    again = T.compact(spark, v, "validated_readings", out)  # nothing new
+    assert again.count() == 3
+    full = T.compact(spark, v, "validated_readings", os.path.join(tmp, "full"))
+    cols = ["time", "meter_id", "consumption_kwh", "status"]
+    assert sorted(map(tuple, full.select(cols).collect())) == sorted(map(tuple, got.select(cols).collect()))
+
+
+def test_batch_run_is_compacted_and_reported(spark, tmp):
+    """A routed batch run, written as a log, has its days and its arrival times."""
+    from helpers import readings
+    from tsquality.config import DEFAULT
+    from tsquality.plans import reports
+    from tsquality.plans.routing import route
+    rows = readings(spark, [("A", "2024-01-01 10:00:00", 1.0, "2024-01-01 10:20:00"), ("A", "2024-01-01 12:00:00", 2.0),
+                            ("A", "2024-01-01 10:00:00", 7.0, "2024-01-01 10:40:00")])
+    r = route(rows, DEFAULT, 600)
+    v = os.path.join(tmp, "validated_readings")
+    T.write_batch(r.validated, v, "validated_readings", 0, "batch")
+    out = T.compact(spark, v, "validated_readings", os.path.join(tmp, "compacted"))
+    got = {r.time.hour: (r.consumption_kwh, str(r.arrival_ts), str(r.event_date)) for r in out.collect()}
+    assert got[10] == (7.0, "2024-01-01 10:40:00", "2024-01-01")
+    series = reports.consumption_series(out, ts("2024-01-01 00:00:00"), ts("2024-01-02 00:00:00"))
+    assert series.count() == 2
