@@ -104,7 +104,10 @@ class Encoder:
         pre = conf.get("pre_tokenizer") or {}
         self.simple = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                        and not pre.get("add_prefix_space") and conf.get("normalizer") is None)
-        self.merge = self.tokenizer.model.tokenize
+        merges = Tokenizer.from_file(path).model
+        if hasattr(merges, "_resize_cache"):
+            merges._resize_cache(0)  # pieces are kept here; the library's own cache would only be searched in vain
+        self.merge = merges.tokenize
         self.special = [t["content"] for t in conf.get("added_tokens", [])]
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype == "<u2" else "I"

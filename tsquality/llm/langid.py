@@ -6,8 +6,9 @@ none that is known, then to 2-grams and single characters; the mean of the known
 counts as the word's score. Scores of all words of the whole text are summed.
 
 The model is fitted on a bounded sample of labelled rows: about ``docs_per_language`` of each
-language, chosen by a hash of the id, and ``max_words`` words and ``max_grams`` grams of each
-length, the most frequent. So the model that tasks receive has a size bound, whatever the input.
+language, chosen by a hash of the id, and at most ``max_words`` words and ``max_grams`` grams of each
+length, the most frequent (of equally frequent ones all or none). So the model that tasks receive has
+a size bound, whatever the input.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from tsquality.llm.common import written
+
 LETTERS = re.compile(r"[^\W\d_]+")
 MAX_GRAM = 4
 
@@ -117,11 +119,14 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     scale = 1 << 30
     share = F.create_map(*(F.lit(x) for k, n in n_docs.items() for x in (k, -(-scale * docs_per_language // n))))
     sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).select("lang", "text")
-    top = W.Window.partitionBy("n").orderBy(F.col("total").desc(), "gram")
-    most = F.when(F.col("n") == 0, max_words).otherwise(max_grams)
-    kept = _summed(sample).withColumn("r", F.row_number().over(top)) \
-        .where((F.col("r") <= max(max_words, max_grams)) & (F.col("r") <= most))
-    got = kept.select("n", "gram", "by_lang").orderBy("n", "gram").toArrow().to_pylist()
+    counts = written(_summed(sample), "grams")
+    # How many grams occur how often (a row a frequency) gives the least frequency that is kept.
+    frequencies: dict[int, list] = {}
+    for r in counts.groupBy("n", "total").count().collect():
+        frequencies.setdefault(r["n"], []).append((r["total"], r["count"]))
+    least = {n: _least(f, max_grams if n else max_words) for n, f in frequencies.items()}
+    cut = F.create_map(*(F.lit(x) for k, v in least.items() for x in (k, v))) if least else F.create_map().cast("map<int,bigint>")
+    got = counts.where(F.col("total") >= cut[F.col("n")]).select("n", "gram", "by_lang").orderBy("n", "gram").toArrow().to_pylist()
     languages = sorted(n_docs, key=lambda x: x.encode())
     at = {k: i for i, k in enumerate(languages)}
     tables, scores = [], []
@@ -136,6 +141,17 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     return Model(languages, tables, scores)
 
 
+def _least(frequencies: list[tuple[int, int]], most: int) -> int:
+    """The least frequency at which at most ``most`` grams are at least that frequent."""
+    least, kept = 1 << 62, 0
+    for total, n in sorted(frequencies, reverse=True):
+        kept += n
+        if kept > most:
+            break
+        least = total
+    return least
+
+
 def _summed(sample: DataFrame) -> DataFrame:
     """n, gram, total, by_lang (at most an entry a language)."""
     each = sample.mapInArrow(_counted, "lang STRING, n INT, gram STRING, c BIGINT") \
