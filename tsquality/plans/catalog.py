@@ -365,7 +365,7 @@ def q_tables_incremental(spark, sf_dir):
 # -- the stream --------------------------------------------------------------
 
 #: Arrival buckets of the streamed run: wide, as every bucket is a micro-batch.
-STREAM_BUCKET_SECONDS = 3 * 86400
+STREAM_BUCKET_SECONDS = 5 * 86400
 _streams: dict = {}
 
 
