@@ -56,6 +56,16 @@ def lower_words(text: str | None) -> list[bytes]:
 _SPACES = r"\s\x1c-\x1f\x85\xa0\u180e\u200b-\u200d\u2060\ufeff"
 _JOINED_SPACES = re.compile(rf" (?<=[{_SPACES}] )(?=[{_SPACES}]|\Z)")
 
+_OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def _crossed(text: str) -> bool:
+    """Whether a run of white space crosses a space: one that has white space before it and after it, or the end."""
+    if text.isascii() and "  " not in text and not any(c in text for c in _OTHER_SPACES):
+        return "\n \n" in text or text.endswith("\n ")
+    return _JOINED_SPACES.search(text) is not None
+
+
 #: How a byte-level tokenizer splits (fixed value), and the letter that stands for each byte: bytes that
 #: print stand for themselves, the others in order for the letters from U+0100 on.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -149,7 +159,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.simple or any(s in text for s in self.special) or _JOINED_SPACES.search(text):
+        if not self.simple or any(s in text for s in self.special) or _crossed(text):
             return self._whole(text)
         if len(self.chunks) >= self.KEEP:
             self.chunks.older = {}  # what was kept before it goes
@@ -187,7 +197,9 @@ def id_counts(arrays: DataFrame, size: int) -> DataFrame:
             for x in b.column(0):
                 total += np.frombuffer(x.as_py(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["id", "n"])
-    return arrays.mapInArrow(run, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
+    # A task sums up many arrays, so that few rows of the vocabulary's size are shuffled.
+    few = arrays.coalesce(max(4, len(arrays.inputFiles()) // 64))
+    return few.mapInArrow(run, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # -- Arrow -------------------------------------------------------------------

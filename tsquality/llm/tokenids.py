@@ -124,7 +124,7 @@ def _coded(rank_of: np.ndarray, dtype: str, block_ids: int):
 
 
 def write_archive(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
-                  text_col: str = "text", part_ids: int = 6_000_000, block_ids: int = 262_144) -> None:
+                  text_col: str = "text", part_ids: int = 16_000_000, block_ids: int = 262_144) -> None:
     """Write the archive of ``docs``. Null and empty texts are just the end id; rows with equal or
     null ids keep one entry each (null ids come first); other columns are not read."""
     spark, size = docs.sparkSession, vocab_size(tokenizer)
