@@ -1,5 +1,6 @@
 """Token archives (10) and packing (1)."""
 
+import inspect
 import zlib
 from collections import defaultdict
 
@@ -138,3 +139,21 @@ def test_windows_hold_related_documents():
     pieces = packing.fill(shard, [8] * 12, 32, 48)
     for s in range(3):
         assert len({k % 3 for q, _, k, _, _ in pieces if q == s}) == 1
+
+
+def test_windows_of_short_tails_are_all_retrieved():
+    """More neighbours fit a window than are sorted at first, and one shares only a common term with the seed."""
+    tails = [np.array([k % 2 * 10 + j for j in range(8)], "<u2") for k in range(256)]
+    df = np.bincount(np.concatenate(tails), minlength=64)
+    shard = packing.Shard(tails, np.log1p((256 - df + 0.5) / (df + 0.5)), 8, 1.2, 0.75)
+    pieces = packing.fill(shard, [8] * 256, 1024, 48)
+    assert len(pieces) == 256
+    for s in range(2):
+        assert {k % 2 for q, _, k, _, _ in pieces if q == s} == {s}
+    own = np.arange(100, 160, dtype="<u2")
+    tails = [np.array(x, "<u2") for x in ([*own, 1], [2, 3], [*own, 4], [1, 5], [1, 6])]
+    df = np.bincount(np.concatenate(tails), minlength=200)
+    shard = packing.Shard(tails, np.log1p((5 - df + 0.5) / (df + 0.5)), 26, 1.2, 0.75)
+    asked = inspect.signature(packing.pack_documents).parameters["query_terms"].default
+    pieces = packing.fill(shard, [len(t) for t in tails], 126, asked)
+    assert [k for q, _, k, _, _ in pieces if q == 0] == [0, 2, 3, 4]

@@ -4,10 +4,11 @@ A document's ids are cut into full windows and a tail shorter than a window. Ful
 sequences of their own. Tails are packed: they are ordered by two min-hashes of their distinct
 ids, so that tails with much in common stand together, and ranges of that order, which even a hot
 min-hash or repeated rows cannot fill beyond their share (a row number ends the key), become the
-shards of a BM25 index. In a shard, the first unused tail is a seed; its highest-weighted terms
-query the shard's inverted index, and the best unused neighbours fill the seed's window. What no
-neighbour fits is filled by cutting the best one that is left, whose rest stays in the index. So
-only a shard's last sequence can have padding. Document frequencies and the mean length are those
+shards of a BM25 index. In a shard, the first unused tail is a seed; its terms query the shard's
+inverted index, and the unused neighbours fill the seed's window, best first. What no neighbour fits
+is filled by cutting the best one that is left, whose rest stays in the index; only where no tail
+that shares a term is left do the next ones of the shard's order follow. So only a shard's last
+sequence can have padding. Document frequencies and the mean length are those
 of all tails of the corpus; token ids are the terms, so these statistics are bounded by the
 vocabulary.
 """
@@ -96,68 +97,78 @@ class Shard:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(self.terms_of, minlength=len(idf)))])
         self.n = len(tails)
 
-    def neighbours(self, seed: int, unused: np.ndarray, query_terms: int, most: int) -> list[int]:
-        """The ``most`` best unused tails that share a query term with ``seed``, best first, ties in shard order."""
+    def scores(self, seed: int, unused: np.ndarray, query_terms: int | None) -> np.ndarray:
+        """Each tail's score for ``seed``'s query; 0 where it is used or shares no term of the query."""
         own = slice(self.ends[seed], self.ends[seed + 1])
         terms, weights = self.terms_of[own], self.weight_of[own]
         rare = np.flatnonzero(self.first[terms + 1] - self.first[terms] > 1)
         best = rare[np.argsort(-weights[rare], kind="stable")[:query_terms]]
         at, to = self.first[terms[best]], self.first[terms[best] + 1]
         lengths = to - at
-        if not lengths.sum():
-            return []
         where = np.repeat(at - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        score = np.bincount(self.docs[where], self.weights[where], minlength=self.n) * unused
+        return np.bincount(self.docs[where], self.weights[where], minlength=self.n) * unused
+
+    def ranked(self, seed: int, unused: np.ndarray, query_terms: int | None, first: int) -> Iterator[np.ndarray]:
+        """All unused tails that share a query term with ``seed``, best first, ties in shard order: about
+        ``first`` of them, then twice as many each time, as only what is asked for is sorted."""
+        score = self.scores(seed, unused, query_terms)
         found = np.flatnonzero(score)
-        if len(found) > most:
-            floor = np.partition(score[found], len(found) - most)[len(found) - most]
-            found = found[score[found] >= floor]
-        return found[np.argsort(-score[found], kind="stable")[:most]].tolist()
+        while len(found):
+            s = score[found]
+            top = s >= np.partition(s, len(s) - first)[len(s) - first] if len(s) > first else s > 0
+            some, found, first = found[top], found[~top], 2 * first
+            yield some[np.argsort(-score[some], kind="stable")]
 
+    def neighbours(self, seed: int, unused: np.ndarray, query_terms: int | None, most: int) -> list[int]:
+        """The ``most`` best unused tails that share a query term with ``seed``, best first, ties in shard order."""
+        return next(self.ranked(seed, unused, query_terms, most), np.zeros(0, np.int64))[:most].tolist()
 
-def fill(shard: Shard, lengths: list[int], window: int, query_terms: int,
-         most: int = 64) -> list[tuple[int, int, int, int, int]]:
+
+def fill(shard: Shard, lengths: list[int], window: int, query_terms: int | None = None,
+         first: int = 64) -> list[tuple[int, int, int, int, int]]:
     """Pieces (sequence, offset, tail, start in the tail, length); every id of a tail is in one piece.
 
-    Of the ``most`` best neighbours, those that fit whole are taken, best first; what then is free is
-    filled by cutting the best that is left.
+    Of all neighbours, those that fit whole are taken, best first; what then is free is filled by
+    cutting the best that is left. ``first`` is how many are sorted at first, and bounds none.
     """
-    begin, left = [0] * len(lengths), list(lengths)
+    begin, left = [0] * len(lengths), np.array(lengths, np.int64)
     unused = np.ones(len(lengths), bool)
     out, sequence, next_seed = [], -1, 0
 
     def take(k: int, n: int) -> None:
         nonlocal offset
         out.append((sequence, offset, k, begin[k], n))
-        begin[k], left[k], offset = begin[k] + n, left[k] - n, offset + n
+        begin[k], offset = begin[k] + n, offset + n
+        left[k] -= n
         unused[k] = left[k] > 0
 
     while next_seed < len(lengths):
         if not left[next_seed]:
             next_seed += 1
             continue
-        seed, sequence, offset = next_seed, sequence + 1, 0
-        take(seed, left[seed])
-        near = shard.neighbours(seed, unused, query_terms, most)
-        for k in near:
-            if left[k] <= window - offset:
-                take(k, left[k])
+        seed, sequence, offset, rest = next_seed, sequence + 1, 0, None
+        take(seed, int(left[seed]))
+        for near in shard.ranked(seed, unused, query_terms, first) if offset < window else ():
+            for k in near[left[near] <= window - offset].tolist():
+                if left[k] <= window - offset:
+                    take(k, int(left[k]))
+            if rest is None:
+                rest = next(iter(near[left[near] > 0].tolist()), None)
             if offset == window:
                 break
-        rest = next((k for k in near if left[k]), None)
+        if offset < window and rest is not None:
+            take(rest, window - offset)
         at = next_seed
-        while offset < window:
-            if rest is None or not left[rest]:  # no neighbour is left: the next unused tails of the order
-                while at < len(lengths) and not left[at]:
-                    at += 1
-                if at == len(lengths):
-                    break
-                rest = at
-            take(rest, min(left[rest], window - offset))
+        while offset < window:  # no neighbour is left: the next unused tails of the order
+            while at < len(lengths) and not left[at]:
+                at += 1
+            if at == len(lengths):
+                break
+            take(at, min(int(left[at]), window - offset))
     return out
 
 
-def _packed(df: np.ndarray, n_tails: int, mean_length: float, dtype: str, window: int, query_terms: int, k1: float,
+def _packed(df: np.ndarray, n_tails: int, mean_length: float, dtype: str, window: int, query_terms: int | None, k1: float,
             b: float, with_ids: bool):
     idf = np.log1p((n_tails - df + 0.5) / (df + 0.5))
 
@@ -181,15 +192,15 @@ def _packed(df: np.ndarray, n_tails: int, mean_length: float, dtype: str, window
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, id_col: str = "doc_id",
-                   text_col: str = "text", shard_tokens: int = 2_000_000, query_terms: int = 48, k1: float = 1.2,
+                   text_col: str = "text", shard_tokens: int = 2_000_000, query_terms: int | None = None, k1: float = 1.2,
                    b: float = 0.75, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, of the tokenizer's
     own width) of every piece.
 
     A null or empty text is the end id alone. Rows with equal or null ids are packed each on its
     own, ties in score go by the shard's order, an empty table gives no piece, and columns other
-    than the two named are not read. ``query_terms`` is how many of a seed's terms its query has;
-    it bounds no document and no candidate.
+    than the two named are not read. A seed's query has all of its terms, or, with ``query_terms``, so
+    many of the highest weight; a tail that shares none of these is no neighbour then.
     """
     size = vocab_size(tokenizer)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
