@@ -15,7 +15,7 @@ from tsquality.sources.events import load_readings
 from tsquality.sources.synth import inject_faults
 from tsquality.streaming import job
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from helpers import readings
 
 
@@ -205,3 +205,26 @@ def test_second_run_into_one_folder_keeps_the_first(spark, tmp):
         job.start(job.file_readings(spark, src), out, os.path.join(tmp, f"ckpt{k}"), DEFAULT).awaitTermination()
     t = job.read_tables(spark, out)
     assert sorted(r.meter_id for r in t["validated_readings"].collect()) == ["a", "b"]
+
+
+def test_streamed_query_has_the_late_rows_of_the_routed_run(spark, tmp):
+    """The registered streamed run, over a day of events: late and too late rows as in the hourly run and its SQL."""
+    import __spark_entry__ as E
+    import duckdb
+    from tools.compare import digest
+    from tsquality.plans import catalog
+    events = spark.read.parquet(f"{SF_ORACLE}/events.parquet")
+    first = events.agg(F.min("ts")).first()[0]
+    events.where(F.col("ts") < F.lit(first + dt.timedelta(days=1))).coalesce(1).write.parquet(f"{tmp}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp}/events.parquet/*.parquet')")
+    for name in ("stream_pipeline", "stream_state"):
+        df = E.queries()[name](spark, tmp)
+        res = con.execute(E.oracle_sql()[name])
+        columns = [d[0] for d in res.description]
+        assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(columns, res.fetchall())
+    routed = catalog.tables(spark, tmp)
+    late = routed["validated"].where("status = 'LATE'").count(), routed["late_events"].count()
+    got = E.queries()["stream_pipeline"](spark, tmp)
+    assert (got.where("detail = 'LATE'").count(), got.where("route = 'late_events'").count()) == late
+    assert min(late) > 0

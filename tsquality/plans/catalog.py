@@ -364,8 +364,8 @@ def q_tables_incremental(spark, sf_dir):
 
 # -- the stream --------------------------------------------------------------
 
-#: Arrival buckets of the streamed run: wide, as every bucket is a micro-batch.
-STREAM_BUCKET_SECONDS = 5 * 86400
+#: Arrival buckets of the streamed run: those of the routed run, as wider ones hide what is late.
+STREAM_BUCKET_SECONDS = BUCKET_SECONDS
 _streams: dict = {}
 
 
