@@ -38,6 +38,29 @@ def test_main_text(page, want):
     assert extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    # prose beside teasers, whichever are more
+    ("<main><p>" + PROSE + "</p><article class=card><p>Teaser one</p></article><p>" + PROSE + "</p>"
+     "<article class=card><p>Teaser two</p></article></main>", PROSE + "\n\n" + PROSE),
+    # marks without text
+    ("<article></article><div><p>" + PROSE + "</p></div>", PROSE),
+    # an article in furniture that ends, and in furniture that was left open
+    ("<aside><article><p>Teaser</p></article></aside><div><p>" + PROSE + "</p></div>", PROSE),
+    ("<aside><article><p>Teaser</aside><div><p>" + PROSE + "</p></div>", PROSE),
+    ("<nav><a>x</a><article><p>one</p></article><article><p>two</p></article>", "one\n\ntwo"),
+    # open p and li
+    ("<article><p class=share>Share<p>one<ul><li class=ad>Buy<li>two</ul><ul><li class=ad>Buy<ul><li>Buy</ul></ul>three"
+     "</article>", "one\n\ntwo\n\nthree"),
+    ("<article><div><p class=share>Share</div><p>one</article>", "one"),
+    # the windows decide on lines of links: none but those beside text
+    ("<article><h1><a>Head</a></h1><p>one</p>" + "<p><a>more</a></p>" * 9 + "</article>", "Head\n\none\n\nmore\n\nmore"),
+    ("<article><h1>T</h1><div itemprop=articleBody><p>one</p></div></article>", "T\n\none"),
+    ("<article><a>Head</a></article>", "Head"),
+])
+def test_main_text_weighs_marks(page, want):
+    assert extract.main_text(page) == want
+
+
 def test_extracted_table(spark, tmp):
     rows = [(1, "u", "<article><p>é x</p></article>"), (1, "u", "<article><p>é x</p></article>"), (None, None, None), (2, "u", "")]
     pages = stored(spark.createDataFrame([(*r, "clash") for r in rows], "page_id BIGINT, url STRING, html STRING, text STRING"), tmp, "p")

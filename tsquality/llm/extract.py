@@ -4,8 +4,10 @@ Markup is stripped into lines, one a block; containers that the page itself name
 (navigation, footers, forms, adverts, comments and so on) leave only empty lines. The lengths of the
 text outside links are summed over a sliding window of lines. Text surges where the sum rises from
 nothing to a window whose density looks like prose, and dives where it falls to nothing again; the
-lines between are kept. Where the page marks its article, only lines inside can surge, and every
-line of text there is prose.
+lines between are kept. Where the page marks main text, the marked container with the most text outside
+links is taken, with its like beside it, and any text outside links surges there; lines of links alone
+need such text within a window. Marks that hold no text count for nothing, and marks inside furniture
+only if they hold more text than what surges outside.
 """
 
 from __future__ import annotations
@@ -19,15 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines a window sums; letters outside links that a window without a marked article must have to surge.
+#: Lines a window sums; letters outside links that a window must have to surge, and in marked main text.
 WINDOW = 3
 SURGE = 80
+SURGE_MARKED = 1
 
 # Fixed values of HTML.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noframes
     ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul""".split())
 RAW = frozenset("iframe noembed noframes noscript script style svg math template textarea title xmp".split())
+LISTS = frozenset("dir menu ol ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("""aside button datalist dialog fieldset footer form head header label legend menu nav optgroup
     option search select""".split())
@@ -68,9 +72,10 @@ def _names(attributes: str) -> tuple[set[str], bool]:
     return furniture, main
 
 
-def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
-    """Lines (empty ones where text must dive), letters outside links, and where a line is: 2 in an
-    article, 1 in other marked main text, 0 elsewhere."""
+def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
+    """Lines (empty ones where text must dive), letters outside links, which container a line is in (0: none),
+    and of each container whether it is in furniture, the container around it and its level: 2 for an
+    article, 1 for other marked main text. An article's inner containers are part of it."""
     lines: list[str] = []
     plain: list[int] = []
     inside: list[int] = []
@@ -78,12 +83,26 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
     out_of_link = 0
     link = 0
     skip: list[str] = []  # open elements from the outermost furniture on
-    opened: list[list] = []  # open elements that mark main text: name, how, open ones of that name inside
-    marked = False
+    # Open elements that mark main text: name, container, open ones of that name inside, furniture around.
+    opened: list[list] = []
+    containers: list[tuple] = [(False, 0, 0)]
     at = 0
 
-    def level() -> int:
-        return max((x[1] for x in opened), default=0)
+    def container() -> int:
+        return opened[-1][1] if opened else 0
+
+    def open_main(name: str) -> None:
+        gap()
+        around, level = container(), 1 if name == "main" else 2
+        if containers[around][2] < level:
+            containers.append((bool(skip) or containers[around][0], around, level))
+            around = len(containers) - 1
+        opened.append([name, around, 0, skip[:]])
+        skip.clear()
+
+    def close_main() -> None:
+        gap()
+        skip[:] = opened.pop()[3]
 
     def close_line() -> None:
         nonlocal text, out_of_link
@@ -92,14 +111,14 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
             if line:
                 lines.append(line)
                 plain.append(out_of_link)
-                inside.append(level())
+                inside.append(container())
         text, out_of_link = [], 0
 
     def gap() -> None:
         close_line()
         lines.extend([""] * WINDOW)
         plain.extend([0] * WINDOW)
-        inside.extend([level()] * WINDOW)
+        inside.extend([container()] * WINDOW)
 
     def say(piece: str) -> None:
         nonlocal out_of_link
@@ -119,6 +138,13 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
         name = m[2] and m[2].lower()
         if not name:
             continue
+        # A p ends where a block begins or the one around it ends, an li at the next one or the list's end.
+        if skip and skip[-1] == "p" and name in BLOCKS and not (m[1] and name in skip):
+            skip.pop()
+        elif skip and skip[-1] == "li" and (name in LISTS and name not in skip if m[1] else name == "li"):
+            skip.pop()
+        elif opened and not skip and opened[-1][0] == "p" and name in BLOCKS and (not m[1] or name != "p"):
+            close_main()
         if skip:
             if m[1]:
                 if name in skip:  # also closes what was left open inside
@@ -127,12 +153,12 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
                     skip.clear()
             elif name in RAW:
                 at = _after_raw(page, name, at)
-            elif name in MAIN and not marked and not _names(m[3])[0] & NOT_MAIN:
-                skip.clear()  # furniture left open before the article
-            elif name not in VOID and not m[3].endswith("/") and (name == skip[0] or name in FURNITURE):
+            elif name in MAIN and not _names(m[3])[0] & NOT_MAIN:
+                open_main(name)  # perhaps the furniture was left open before the article
+            elif name not in VOID and not m[3].endswith("/") and (
+                    name == skip[0] or name in FURNITURE or skip[-1] == "li" and name in LISTS):
                 skip.append(name)
-            if skip or m[1]:
-                continue
+            continue
         if m[1]:
             if name == "a":
                 link = max(0, link - 1)
@@ -141,17 +167,17 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
                 if opened and name == opened[-1][0]:
                     opened[-1][2] -= 1
                     if opened[-1][2] < 0:
-                        gap()
-                        opened.pop()
+                        close_main()
+                elif opened and name in opened[-1][3]:  # the furniture around ends
+                    close_main()
+                    del skip[len(skip) - 1 - skip[::-1].index(name):]
             continue
         if name in RAW:
             at = _after_raw(page, name, at)
             continue
         furniture, main = _names(m[3]) if m[3] else (set(), False)
         if (main or name in MAIN) and not furniture & NOT_MAIN:
-            gap()
-            marked = True
-            opened.append([name, 1 if name == "main" else 2, 0])
+            open_main(name)
         elif (furniture or name in FURNITURE) and name not in ("html", "body"):
             if opened and (name == "header" or furniture and furniture <= TITLE_BLOCK):
                 close_line()  # an article's own header has its title
@@ -171,7 +197,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int]]:
             if opened and name == opened[-1][0]:
                 opened[-1][2] += 1
     close_line()
-    return lines, plain, inside
+    return lines, plain, inside, containers
 
 
 def _after_raw(page: str, name: str, at: int) -> int:
@@ -183,33 +209,51 @@ def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line breaks; empty if the page is null, empty or has none."""
     if not page:
         return ""
-    lines, plain, inside = lines_of(page)
+    lines, plain, inside, containers = lines_of(page)
     if not lines:
         return ""
-    most = max(inside)
-    if most:
-        length = np.array([len(x) if i == most else 0 for x, i in zip(lines, inside)])
-        surge = 1
+    length, where = np.array(plain), np.array(inside)
+    furniture = np.array([c[0] for c in containers])
+    held = np.bincount(where, length, len(containers))
+    held[0] = 0
+
+    def alike(c: int) -> np.ndarray:
+        return np.array([x == containers[c] for x in containers])[where]
+    best = int(np.argmax(np.where(furniture, 0, held)))
+    if held[best]:
+        keep = _near(_surged(np.where(alike(best), length, 0), SURGE_MARKED)) & alike(best)
     else:
-        length = np.array(plain)
-        surge = SURGE
+        keep = _surged(np.where(furniture[where], 0, length), SURGE) & ~furniture[where]
+        best = int(np.argmax(held))
+        if held[best] > length[keep].sum():
+            keep = _near(_surged(np.where(alike(best), length, 0), SURGE_MARKED)) & alike(best)
+        elif not keep.any():  # marked main text of links alone
+            keep = where > 0
+    return "\n\n".join(x for x, k in zip(lines, keep) if k and x)
+
+
+def _surged(length: np.ndarray, surge: int) -> np.ndarray:
+    """The lines from where text begins to where it dives, if a window between them surges."""
     # Windows start at each line; the sums of the WINDOW lines from there.
     sums = np.convolve(length, np.ones(WINDOW, int))[WINDOW - 1:]
-    keep = np.zeros(len(lines), bool)
+    keep = np.zeros(len(length), bool)
     at = 0
-    while at < len(lines):
+    while at < len(length):
         if not length[at]:
             at += 1
             continue
         dive = at
-        while dive < len(lines) and sums[dive]:  # nothing for a whole window: the text dives
+        while dive < len(length) and sums[dive]:  # nothing for a whole window: the text dives
             dive += 1
         if sums[at:dive].max() >= surge:
             keep[at:dive] = True
         at = dive + 1
-    if most:
-        keep &= np.array(inside) == most
-    return "\n\n".join(x for x, k in zip(lines, keep) if k and x)
+    return keep
+
+
+def _near(keep: np.ndarray) -> np.ndarray:
+    """Lines that share a window with a kept one: in marked text, a headline may be a link."""
+    return np.convolve(keep, np.ones(2 * WINDOW - 1, int))[WINDOW - 1:][:len(keep)] > 0
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
