@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read again
 as the next one's ``docs``. All but the last give the columns of ``documents`` (whatever these are
 besides doc_id, text, lang and source); rows that a stage rejects go, and the mix repeats rows. A
-stage refers to rows by a number that a scan of its Parquet input gives each row, so repeated or null
-ids lose and gain nothing.
+stage refers to rows by a number that it writes beside each row first, so repeated or null ids lose and
+gain nothing.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ def _col(name: str) -> Column:
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a row number, written: another scan may be split, and so numbered, in another way."""
     row = _free(docs, "row_number_")
-    return docs.withColumn(row, F.monotonically_increasing_id()), row
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +55,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that pass the base rules and the risk-controlled thresholds (operator 9)."""
+    prepare(spark)
     numbered, row = _numbered(docs)
     verdicts = judged(numbered, table(spark, sf_dir, "labels"), row=_col(row))
     return numbered.join(verdicts.where("kept").select(F.col("row").alias(row)), row, "left_semi").drop(row)

@@ -63,6 +63,24 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     assert len(C.STAGES) == 5
 
 
+@pytest.mark.parametrize("stage", ["quality_rules", "simhash_near_dedup", "mixing"])
+def test_rows_are_numbered_once(spark, folder, stage):
+    """Scans of the input that are split in other ways after the operator's jobs give the same rows."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").repartition(3)
+    docs = stored(docs, folder, "parts")
+    fn = dict(C.STAGES)[stage]
+    want = rows_of(fn(spark, docs, folder))
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a file a split
+        out = fn(spark, docs, folder)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")  # all files in one split
+        assert rows_of(out) == want
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as E
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
