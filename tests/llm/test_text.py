@@ -227,3 +227,18 @@ def test_thresholds_keep_good_documents(spark, tmp):
     for i, _, lang in rows[:-1]:
         assert got[i] == (i % 3 != 0 or lang == "few"), i
     assert got[9999]
+
+
+def test_thresholds_with_a_few_hundred_labels(spark, tmp):
+    """300 good documents switch the rules on at the default risk, 200 do not; a step that rejects good ones ends the path."""
+    good = {"on": 300, "few": 200, "tight": 600}
+    rows = [(f, 0.0, 0.0, 0.6 if f == "tight" and k < 60 else 0.0, 5.0) for f, n in good.items() for k in range(n)]
+    holdout = stored(spark.createDataFrame(rows, "stratum STRING, symbol_rate DOUBLE, dup_line_share DOUBLE, "
+                                                 "repeat_share DOUBLE, word_length DOUBLE"), tmp, "rates")
+    got = {r.stratum: r.asDict() for r in quality.thresholds(holdout, 0.02, 0.05).collect()}
+    for rule, grid in quality.GRIDS.items():
+        assert got["on"][f"cut_{rule}"] == grid[0] and got["few"][f"cut_{rule}"] is None
+    assert got["tight"] == {"stratum": "tight", "cut_symbol_rate": None, "cut_dup_line_share": 0.75,
+                            "cut_repeat_share": None, "cut_word_length": None}
+    # What a step lets pass keeps to the exact bound for all rules together.
+    assert binomial_cdf(300, 0, 0.02) <= 0.05 / 3 < binomial_cdf(200, 0, 0.02)

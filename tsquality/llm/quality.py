@@ -1,18 +1,22 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions alone.
 
 A rule rejects a document whose measure reaches its cutoff. For each stratum (a column's value, null
-being one) and rule, the cutoff is the strictest of a fixed grid for which labelled good documents
-show that it rejects few good ones: with n good holdout documents of the stratum, k of them
-rejected, the cutoff is taken only if P(Bin(n, a) <= k) <= d, that is if the exact (Clopper-Pearson)
-upper bound of the false rejection rate at confidence 1 - d is at most a. a is ``max_false`` over the
-number of rules, so that all rules together reject at most ``max_false`` of a stratum's good
-documents; d is ``error`` over the number of (stratum, rule, cutoff) tests (Bonferroni), so that all
-bounds hold at once. A stratum with too few labels for a rule has the rule switched off.
+being one), the cutoffs of all rules are found together, by steps along a fixed path: it begins with
+no rule on, and each step takes one rule's next stricter cutoff, the rules in turn. A step is taken
+only if labelled good documents show that all rules together then reject few good ones: with n good
+holdout documents of the stratum, k of them rejected by any rule, P(Bin(n, a) <= k) <= d must hold,
+that is the exact (Clopper-Pearson) upper bound of the false rejection rate at confidence 1 - d must
+be at most a. The first step that fails ends the stratum's path. As the path is fixed beforehand and
+nothing is tested beyond the first failure, all its tests share one d (fixed-sequence testing): a is
+``max_false``, d is ``error`` over the number of strata, so that all bounds hold at once. A stratum
+with too few labels for the first step has all rules switched off.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +31,9 @@ GRIDS: dict[str, list[float]] = {
     "repeat_share": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45],
     "word_length": [8.0, 9.0, 10.0, 12.0, 14.0, 16.0, 20.0],
 }
+#: The path of steps, loosest first: a rule and its next cutoff, rules in turn by the share of their grid.
+PATH: list[tuple[str, float]] = [(r, c) for _, r, c in sorted(
+    ((len(grid) - k) / len(grid), r, c) for r, grid in GRIDS.items() for k, c in enumerate(grid))]
 _SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -91,15 +98,20 @@ def log_binomial_cdf(n: Column, k: Column, p: float) -> Column:
 def thresholds(holdout: DataFrame, max_false: float, error: float) -> DataFrame:
     """A row a stratum: its null-able cutoff for each rule. ``holdout``: stratum and the rates of good documents."""
     # Hits are counted in wide columns: a row a stratum and task is all that is shuffled.
-    hits = {f"{r}:{k}": F.count_if(F.col(r) >= c) for r, grid in GRIDS.items() for k, c in enumerate(grid)}
+    at: dict[str, float] = {}
+    hits = {}
+    for step, (rule, cutoff) in enumerate(PATH):
+        at[rule] = cutoff
+        hits[f"hits_{step}"] = F.count_if(reduce(or_, (F.col(r) >= c for r, c in at.items())))
     wide = holdout.groupBy("stratum").agg(F.count("*").alias("n"), *(v.alias(k) for k, v in hits.items()))
     wide = written(wide, "holdout")
-    level = math.log(error) - math.log(sum(map(len, GRIDS.values())) * max(1, wide.count()))
-    alpha = max_false / len(GRIDS)
-    cutoffs = [F.coalesce(*(F.when(log_binomial_cdf(F.col("n"), F.col(f"`{r}:{k}`"), alpha) <= level,
-                                   F.lit(c)) for k, c in enumerate(grid))).alias(f"cut_{r}")
+    level = math.log(error) - math.log(max(1, wide.count()))
+    failed = [log_binomial_cdf(F.col("n"), F.col(h), max_false) > level for h in hits]
+    steps = wide.select("stratum", (F.array_position(F.array(*failed, F.lit(True)), True) - 1).alias("steps"))
+    steps = written(steps, "steps")  # else each cutoff would have the tests of all steps
+    cutoffs = [F.coalesce(*(F.when(F.col("steps") > PATH.index((r, c)), F.lit(c)) for c in grid)).alias(f"cut_{r}")
                for r, grid in GRIDS.items()]
-    return wide.select("stratum", *cutoffs)
+    return steps.select("stratum", *cutoffs)
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
