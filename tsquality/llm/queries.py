@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsquality.llm import langid, oracle
+from tsquality.llm.codes import coded
 from tsquality.llm.common import byte_bpe, crc_mod, table
+from tsquality.llm.decontaminate import contaminated
 from tsquality.llm.extract import extracted
 from tsquality.llm.knn import top_k
 from tsquality.llm.lm import scored
 from tsquality.llm.mixing import mixed
 from tsquality.llm.packing import pack_documents
 from tsquality.llm.quality import judged
+from tsquality.llm.resample import resampled
 from tsquality.llm.simhash import fingerprint_text, near_duplicates
 from tsquality.llm.tokenids import token_archive
 from tsquality.llm.warc import archived
@@ -66,8 +69,21 @@ def op10_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_archive(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_lexical_packing, op2_backoff_automaton, op3_chunked_warc, op4_entropy_mix, op5_voronoi_knn, op6_line_blocks,
-    op7_word_first_langid, op8_simhash_tiles, op9_quality_rules, op10_token_archive)}
+    op7_word_first_langid, op8_simhash_tiles, op9_quality_rules, op10_token_archive,
+    op11_importance_resampling, op12_vector_codes, op13_decontamination)}
 
 ORACLE_SQL: dict[str, str] = oracle.SQL
