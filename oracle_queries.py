@@ -121,12 +121,6 @@ def _routed(select: str) -> str:
     return f"WITH {ROUTED.strip()}\n{select}"
 
 
-def _streamed(select: str) -> str:
-    """The same run with the wide arrival buckets of the streamed one."""
-    wide = ROUTED.replace(f"// {BUCKET_US} AS _bucket", f"// {C.STREAM_BUCKET_SECONDS * 1_000_000} AS _bucket")
-    return f"WITH {wide.strip()}\n{select}"
-
-
 def _iso(sql: str) -> str:
     """ISO_OF(column) written out: as Python prints a UTC time."""
     import re
@@ -255,7 +249,7 @@ SQL = {
                      WHERE time >= date_trunc('hour', m - INTERVAL 3 HOUR) AND time < date_trunc('hour', m - INTERVAL 1 HOUR))
         GROUP BY 1, 2"""),
     "tables_incremental": _routed("SELECT time, meter_id, consumption_kwh, status, arrival_ts FROM t_validated"),
-    "stream_pipeline": _streamed("""
+    "stream_pipeline": _routed("""
         SELECT 'validated_readings' AS route, time, meter_id, status AS detail, CAST(NULL AS BIGINT) AS number,
           consumption_kwh AS value FROM t_validated
         UNION ALL SELECT 'late_events', time, meter_id, NULL, CAST(delay_seconds AS BIGINT), consumption_kwh FROM t_late_events
@@ -264,7 +258,7 @@ SQL = {
         UNION ALL SELECT 'metrics', NULL, meter_id,
           concat_ws(':', metric_type, COALESCE(json_extract_string(tags, '$.error'), json_extract_string(tags, '$.status'))),
           NULL, value FROM metrics"""),
-    "stream_state": _streamed(f"SELECT meter_id, last_seen, gap_count, late_count FROM ({METER_STATE}) s"),
+    "stream_state": _routed(f"SELECT meter_id, last_seen, gap_count, late_count FROM ({METER_STATE}) s"),
     "result_payloads": _routed(_iso("""
         SELECT 'smartmeter_validated' AS topic, meter_id AS key, '{"meter_id":"' || meter_id || '","timestamp":"' ||
           ISO_OF(time) || '","consumption_kwh":' || CAST(consumption_kwh AS VARCHAR) || ',"status":"' || status || '"}' AS value

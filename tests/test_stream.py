@@ -6,6 +6,7 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from tsquality.config import DEFAULT, QualityConfig
@@ -138,14 +139,14 @@ def test_ttl_expiry_stream_equals_batch(spark, tmp):
     assert got_state == want_state
 
 
-def _replay(spark, tmp, bucket):
+def _replay(spark, tmp, bucket, rows_per_trigger):
     from tsquality.plans import catalog as C
     from tsquality.sources.replay import write_replay
     from tsquality.sources.synth import faulty_messages
     raw = inject_faults(load_readings(spark, SF_SMALL), seed=9, delay_probability=0.3, max_delay_seconds=4 * 86400,
                         corrupt_probability=0.02, repeat_probability=0.05)
     messages = faulty_messages(raw, seed=9, probability=0.05).withColumnRenamed("seq", "offset")
-    n = write_replay(messages, os.path.join(tmp, "replay"), bucket, rows_per_file=40)
+    n = write_replay(messages, os.path.join(tmp, "replay"), bucket, C.CFG, rows_per_trigger, rows_per_file=40)
     assert C.CFG.interval_minutes == 480
     return n, C.CFG
 
@@ -167,25 +168,31 @@ def _batch_tables(spark, tmp, cfg, bucket):
                     "gap_alerts": T.resolve_routed(r.gap_alerts, "gap_alerts"), "metrics": r.metrics})
 
 
-def test_replay_restarted_from_its_checkpoint_equals_batch(spark, tmp):
-    """The stream stops after some buckets, resumes with the same checkpoint, and ends with the
-    tables of the batch run; several files make up a bucket."""
+def _state(spark, checkpoint):
+    state = job.read_state(spark, checkpoint).select(F.col("key._key").alias("meter_id"), "value.*")
+    return sorted((r.meter_id, r.last_seen_us, r.gap_count, r.late_count) for r in state.collect())
+
+
+@pytest.mark.parametrize("bucket, rows_per_trigger", [(4 * 86400, 1), (6 * 3600, 300)])
+def test_replay_restarted_from_its_checkpoint_equals_batch(spark, tmp, bucket, rows_per_trigger):
+    """The stream stops after some chunks, resumes with the same checkpoint, and ends with the tables of the
+    batch run: with a bucket a micro-batch, and with many. Several files make up a chunk."""
     import glob
     import shutil
-    bucket = 4 * 86400
-    n, cfg = _replay(spark, tmp, bucket)
-    assert n >= 7
+    n, cfg = _replay(spark, tmp, bucket, rows_per_trigger)
     part = os.path.join(tmp, "part")
     shutil.copytree(os.path.join(tmp, "replay", "about"), os.path.join(part, "about"))
-    folders = sorted(glob.glob(os.path.join(tmp, "replay", "messages", "arrival_bucket=*")), key=lambda f: int(f.rpartition("=")[2]))
+    folders = sorted(glob.glob(os.path.join(tmp, "replay", "messages", "chunk=*")))
     assert len(folders) == n and len(glob.glob(folders[0] + "/slot=*/part-*")) > 1
+    buckets = spark.read.parquet(os.path.join(tmp, "replay", "messages")).where("NOT mark").select("bucket").distinct().count()
+    assert buckets >= 7 and (n == buckets if rows_per_trigger == 1 else 3 <= n < buckets / 8)
     quiet = "spark.sql.streaming.noDataMicroBatches.enabled"
-    for some in (folders[:3], folders[3:]):
+    for some in (folders[:2], folders[2:]):
         # A stop in mid-stream has no closing batch without rows, which would fire timers before the next rows.
         spark.conf.set(quiet, str(some[-1] == folders[-1]).lower())
         for f in some:
             shutil.copytree(f, os.path.join(part, "messages", os.path.basename(f)), copy_function=shutil.copy2)
-        q = job.start(job.replay_readings(spark, part, cfg), os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"), cfg)
+        q = job.start(job.replay_readings(spark, part, cfg), os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"), cfg, state_partitions=3)
         q.awaitTermination()
         batches = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
         assert len(batches) == len(some)
@@ -195,6 +202,45 @@ def test_replay_restarted_from_its_checkpoint_equals_batch(spark, tmp):
     assert {m.split("'")[1] for m in got["metrics"]} >= {"processing_error", "invalid_event", "too_late_event"}
 
 
+def _fed(spark, tmp, name, rows, bucket, rows_per_trigger, cfg):
+    """(tables, state) of a streamed replay of readings."""
+    from tsquality.sources.messages import to_messages
+    from tsquality.sources.replay import write_replay
+    base = os.path.join(tmp, name)
+    messages = to_messages(rows, keep=("seq", "arrival_ts")).withColumnRenamed("seq", "offset")
+    n = write_replay(messages, f"{base}/replay", bucket, cfg, rows_per_trigger)
+    job.start(job.replay_readings(spark, f"{base}/replay", cfg), f"{base}/out", f"{base}/ckpt", cfg, state_partitions=2).awaitTermination()
+    return n, _tables(job.read_tables(spark, f"{base}/out")), _state(spark, f"{base}/ckpt")
+
+
+def test_many_buckets_a_micro_batch_equal_one(spark, tmp):
+    """Lives that end inside a micro-batch, late and too late rows of them, repeated keys in two buckets: the
+    same tables and state for a bucket a trigger, some and all of them."""
+    import random
+    rng = random.Random(11)
+    base, rows = dt.datetime(2024, 1, 1), []
+    for meter, every in (("A", 12), ("B", 2 * 24), ("C", 9 * 24), ("D", 5)):
+        for h in range(0, 20 * 24, every):
+            t = base + dt.timedelta(hours=h + rng.choice([0, 0, 1, 4]))
+            for _ in range(rng.choice([1, 1, 2])):
+                rows.append((meter, t, float(rng.randint(1, 9)), t + dt.timedelta(hours=rng.choice([0, 0, 0, 1, 30, 200]))))
+    df = spark.createDataFrame([(m, t, v, i, a) for i, (m, t, v, a) in enumerate(rows)],
+                               "meter_id string, timestamp timestamp, consumption_kwh double, seq bigint, arrival_ts timestamp")
+    cfg = QualityConfig(interval_minutes=360, allowed_lateness_seconds=36 * 3600, materialize="cache")
+    bucket = 36 * 3600
+    runs = [_fed(spark, tmp, f"run{k}", df, bucket, k, cfg) for k in (1, 60, 100_000)]
+    assert runs[0][0] > 12 and runs[0][0] > runs[1][0] > runs[2][0] == 1
+    twin = route(df, cfg, bucket)
+    want = _tables({"validated_readings": T.resolve_routed(twin.validated, "validated_readings"),
+                    "late_events": T.resolve_routed(twin.late_events, "late_events"),
+                    "gap_alerts": T.resolve_routed(twin.gap_alerts, "gap_alerts"), "metrics": twin.metrics})
+    state = sorted((r.meter_id, int(r.last_seen.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6), r.gap_count, r.late_count)
+                   for r in twin.meter_state.collect())
+    for _, tables, own in runs:
+        assert tables == want and own == state
+    assert want["late"] and any(r[3] == "LATE" for r in want["validated"]) and {r[4] for r in want["gaps"]} == {"event", "timer"}
+
+
 def test_second_run_into_one_folder_keeps_the_first(spark, tmp):
     """A fresh checkpoint counts its batches from 0; the rows of the run before stay, also by URI."""
     rows = [("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-01 10:00:00", 1.0)]

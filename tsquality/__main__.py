@@ -139,8 +139,8 @@ def main(argv=None):
         rows = replay_order(parse_csv_rows(read_csv(spark, a.src), observation=seen).withColumn(
             "seq", F.monotonically_increasing_id()))
         f = inject_faults(rows, a.seed, a.gap_p, a.delay_p, a.max_delay)
-        n = write_replay(to_messages(f, keep=("seq", "arrival_ts")).withColumnRenamed("seq", "offset"), a.out, a.bucket_seconds)
-        print(f"{n} arrival buckets; {seen.get['dropped']} of {seen.get['rows']} rows dropped")
+        n = write_replay(to_messages(f, keep=("seq", "arrival_ts")).withColumnRenamed("seq", "offset"), a.out, a.bucket_seconds, cfg)
+        print(f"{n} chunks; {seen.get['dropped']} of {seen.get['rows']} rows dropped")
     elif a.cmd == "stream":
         from tsquality.streaming import job
         if a.format == "replay":

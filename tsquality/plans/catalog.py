@@ -364,8 +364,8 @@ def q_tables_incremental(spark, sf_dir):
 
 # -- the stream --------------------------------------------------------------
 
-#: Arrival buckets of the streamed run: those of the routed run, as wider ones hide what is late.
-STREAM_BUCKET_SECONDS = BUCKET_SECONDS
+#: Messages of a micro-batch of the streamed run. Its arrival buckets are those of the routed run, many a micro-batch.
+STREAM_ROWS = 5_000
 _streams: dict = {}
 
 
@@ -376,7 +376,7 @@ def streamed(spark, sf_dir):
         if key not in _streams:
             base = scratch_path(spark, "stream")
             messages = faulty_messages(faulted(spark, sf_dir), **PAYLOAD_FAULTS).withColumnRenamed("seq", "offset")
-            write_replay(messages, f"{base}/replay", STREAM_BUCKET_SECONDS)
+            write_replay(messages, f"{base}/replay", BUCKET_SECONDS, CFG, rows_per_trigger=STREAM_ROWS)
             job.start(job.replay_readings(spark, f"{base}/replay", CFG), f"{base}/out", f"{base}/checkpoint", CFG) \
                 .awaitTermination()
             _streams[key] = (job.read_tables(spark, f"{base}/out"), f"{base}/checkpoint")

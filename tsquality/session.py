@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,13 +44,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # Small per-bucket / per-meter tables are cached; let AQE size their shuffles too.
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
-    # Texts can be long: bound what one Arrow batch to a Python worker holds.
+    # Texts can be long: bound what one Arrow batch to a Python worker holds, by rows and by bytes.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     ship(spark)
     checkpoint_dir(spark)
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the time of a block; the caller's come back after it."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application.
 
