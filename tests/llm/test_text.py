@@ -94,6 +94,85 @@ def test_words_before_grams():
     assert np.allclose(m.back_off("qq"), [0, 0])
     assert m.predict("qq") == ("x", 0.5)  # a tie: the first by code point
     assert m.predict(None) == m.predict("") == m.predict("12 _") == ("und", 0.0)
+    assert m.predict("² ½ ① Ⅷ") == ("und", 0.0)  # numerals are no letters
+    assert langid.words_of("Ab²c x½ ①Ⅷ é1ñ") == ["ab", "c", "x", "é", "ñ"]
+
+
+def test_scores_do_not_depend_on_what_is_kept():
+    rng = np.random.default_rng(0)
+    letters = list("abcdefg")
+    grams = [sorted({"".join(rng.choice(letters, n)) for _ in range(40)}) for n in (3, 1, 2, 3, 4)]
+    tables = [{g: k for k, g in enumerate(own)} for own in grams]
+    scores = [np.log(rng.random((len(own), 3)) + 0.01) for own in grams]
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 5))) for _ in range(60)) for _ in range(20)]
+    m = langid.Model(["x", "y", "z"], tables, scores)
+    few = langid.Model(["x", "y", "z"], tables, scores)
+    few.KEEP = 7
+    for t in texts:
+        a, b = m.predict(t), few.predict(t)
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-9
+    assert len(few.kept) <= 7
+
+
+def plain_langid(train, max_words, max_grams, smoothing=0.1):
+    """fit and predict over all rows, written plainly."""
+    languages = sorted({lang for lang, _ in train})
+    counts = {n: {} for n in range(5)}
+    for lang, text in train:
+        for w in langid.words_of(text):
+            for n, grams in [(0, [w])] + [(n, langid.grams_of(w, n)) for n in range(1, 5)]:
+                for g in grams:
+                    counts[n].setdefault(g, {}).setdefault(lang, 0)
+                    counts[n][g][lang] += 1
+    model = {}
+    for n, table in counts.items():
+        most, keep = (max_grams if n else max_words) // len(languages), set()
+        for lang in languages:
+            own = sorted((c[lang] for c in table.values() if lang in c), reverse=True)
+            least = own[-1] if len(own) <= most else min((c for c in own if sum(x >= c for x in own) <= most), default=1 << 62)
+            keep |= {g for g, c in table.items() if c.get(lang, 0) >= least}
+        total = {lang: sum(table[g].get(lang, 0) for g in keep) for lang in languages}
+        model[n] = {g: [np.log((table[g].get(x, 0) + smoothing) / (total[x] + smoothing * max(1, len(keep)))) for x in languages] for g in keep}
+
+    def predict(text):
+        words = langid.words_of(text)
+        if not words:
+            return "und", 0.0
+        s = np.zeros(len(languages))
+        for w in words:
+            if w in model[0]:
+                s += model[0][w]
+                continue
+            for n in range(4, 0, -1):
+                found = [model[n][g] for g in langid.grams_of(w, n) if g in model[n]]
+                if found:
+                    s += np.mean(found, axis=0)
+                    break
+        return languages[int(s.argmax())], float(1 / np.exp(s - s.max()).sum())
+    return predict
+
+
+@pytest.mark.parametrize("options", [{}, {"max_words": 60, "max_grams": 30}])
+def test_fit_and_predict_equal_plain(spark, tmp, options):
+    docs = stored(documents(spark).where("text IS NULL OR length(text) < 20000"), tmp, "documents")
+    rows = docs.select("text", "lang", "doc_id").distinct().collect()
+    train = [(r.lang, r.text) for r in rows if r.lang and r.text is not None]
+    plain = plain_langid(train, options.get("max_words", 60_000), options.get("max_grams", 20_000))
+    model = langid.fit(docs, **options)
+    for r in rows:
+        (a, x), (b, y) = model.predict(r.text), plain(r.text)
+        assert abs(x - y) < 1e-6 and (a == b or x < 0.51)
+
+
+def test_a_language_with_few_rows_keeps_its_words(spark):
+    rows = [(i, "the cat sat on the mat " * 20 + " ".join(f"w{'abcdefgh'[i % 8]}{'abcdefgh'[j % 8]}{'xyz'[j % 3]}" for j in range(60)), "en")
+            for i in range(200)]
+    rows += [(1000 + i, "quu xoo zee", "rare") for i in range(3)]
+    rows += [(None, "same row", "en")] * 50
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    model = langid.fit(docs, docs_per_language=20, max_words=40, max_grams=60)
+    assert {"quu", "xoo", "zee"} <= set(model.tables[0])
+    assert model.predict("quu zee")[0] == "rare"
 
 
 def test_no_labelled_rows(spark, tmp):
@@ -229,6 +308,46 @@ def test_thresholds_keep_good_documents(spark, tmp):
     assert got[9999]
 
 
+def plain_kept(rows, good, max_false, error):
+    """kept by the fixed-sequence test, written plainly: (row number: verdict)."""
+    counts = [plain_counts(t) for _, t, _ in rows]
+    lines = [len([x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]) for _, t, _ in rows]
+    rates = [{"symbol_rate": c[2] / c[0] if c[0] else 0, "dup_line_share": c[3] / n if n else 0,
+              "repeat_share": c[4] / c[0] if c[0] else 0, "word_length": c[1] / c[0] if c[0] else 0} for c, n in zip(counts, lines)]
+    holdout = [k for k, (i, _, _) in enumerate(rows) if i in good and not counts[k][5]]
+    strata = {rows[k][2] for k in holdout}
+    cuts = {}
+    for s in strata:
+        own, at = [rates[k] for k in holdout if rows[k][2] == s], {}
+        cuts[s] = {}
+        for rule, cut in quality.PATH:
+            at[rule] = cut
+            k = sum(any(r[x] >= c for x, c in at.items()) for r in own)
+            if binomial_cdf(len(own), k, max_false) > error / len(strata):
+                break
+            cuts[s] = dict(at)
+    return [not counts[k][5] and not any(rates[k][x] >= c for x, c in cuts.get(s, {}).items()) for k, (_, _, s) in enumerate(rows)], cuts
+
+
+def test_kept_equals_plain_with_rules_on(spark, tmp):
+    rng = random.Random(4)
+    rows, good = [], set()
+    for i in range(900):
+        marks = rng.choice([0, 0, 0, 1, 5, 30])
+        w = [f"w{rng.randrange(10**5)}" for _ in range(60)] + ["#"] * marks + ["a b c"] * (rng.choice([0, 0, 4]) if marks >= 5 else 0)
+        rng.shuffle(w)
+        breaks = rng.choice(["", "\nsame\nsame"]) if marks >= 5 else ""
+        rows.append((i, " ".join(w) + breaks * rng.randint(1, 5), rng.choice(["en", "en", "fr", None])))
+        if i % 3 and marks < 5:
+            good.add(i)
+    rows += [(5, None, "en"), (None, "x " * 70, None), (7, rows[7][1], "xx")]
+    docs = stored(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING").repartition(3), tmp, "documents")
+    got = quality.judged(docs, labelled(spark, [(i, 1, 0) for i in good]), max_false=0.12, error=0.1)
+    want, cuts = plain_kept(rows, good, 0.12, 0.1)
+    assert sorted(((r.doc_id, r.kept) for r in got.collect()), key=str) == sorted(((i, k) for (i, _, _), k in zip(rows, want)), key=str)
+    assert all(cuts[s] for s in ("en", "fr", None)) and sum(want) < sum(not plain_counts(t)[5] for _, t, _ in rows) - 30
+
+
 def test_thresholds_with_a_few_hundred_labels(spark, tmp):
     """300 good documents switch the rules on at the default risk, 200 do not; a step that rejects good ones ends the path."""
     good = {"on": 300, "few": 200, "tight": 600}

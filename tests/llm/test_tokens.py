@@ -33,7 +33,7 @@ def test_encoder_equals_the_library(parts):
 
 def test_encoder_drops_old_chunks():
     e = Encoder(byte_bpe())
-    e.KEEP = 8
+    e.keep = 8
     for k in range(200):
         text = f"w{k} common w{k + 1}, word{k % 7}."
         assert np.frombuffer(e.encode(text), e.dtype).tolist() == TK.encode(text, add_special_tokens=False).ids

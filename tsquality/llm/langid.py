@@ -5,10 +5,13 @@ not know backs off to the character 4-grams of the word with its ends marked, to
 none that is known, then to 2-grams and single characters; the mean of the known grams' scores
 counts as the word's score. Scores of all words of the whole text are summed.
 
+A letter is what Unicode calls one (categories L*); runs of letters are words.
+
 The model is fitted on a bounded sample of labelled rows: about ``docs_per_language`` of each
-language, chosen by a hash of the id, and at most ``max_words`` words and ``max_grams`` grams of each
-length, the most frequent (of equally frequent ones all or none). So the model that tasks receive has
-a size bound, whatever the input.
+language, chosen by a hash of id and text (repeated rows count once), and of its words and grams of each
+length the most frequent, as many as its equal share of ``max_words`` and ``max_grams`` (of equally
+frequent ones all or none), so that a language with few rows keeps its own. So the model that tasks
+receive has a size bound, whatever the input.
 """
 
 from __future__ import annotations
@@ -20,18 +23,26 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from tsquality.llm.common import written
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters and of what else counts as alphanumeric but is no decimal digit (numerals such as ²).
+_RUNS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 MAX_GRAM = 4
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    words = _RUNS.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [w for x in words for w in ((x,) if x.isalpha() else _LETTERS.findall(x))]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -48,40 +59,53 @@ class Model:
     languages: list[str]
     tables: list[dict[str, int]]
     scores: list[np.ndarray]
-    kept: dict[str, np.ndarray] = field(default_factory=dict)
+    kept: dict[str, int] = field(default_factory=dict)
+    kept_scores: np.ndarray | None = None
 
-    KEEP = 200_000
+    #: Scores of so many words that the model does not know are kept, some 20 MB for a few languages.
+    KEEP = 100_000
 
     def back_off(self, word: str) -> np.ndarray:
-        got = self.kept.get(word)
-        if got is None:
-            got = np.zeros(len(self.languages))
-            for n in range(MAX_GRAM, 0, -1):
-                rows = [r for r in map(self.tables[n].get, grams_of(word, n)) if r is not None]
-                if rows:
-                    got = self.scores[n][rows].mean(axis=0)
-                    break
-            if len(self.kept) >= self.KEEP:
-                self.kept.clear()
-            self.kept[word] = got
-        return got
+        for n in range(MAX_GRAM, 0, -1):
+            rows = [r for r in map(self.tables[n].get, grams_of(word, n)) if r is not None]
+            if rows:
+                return self.scores[n][rows].mean(axis=0)
+        return np.zeros(len(self.languages))
+
+    def unknown(self, words: dict[str, int]) -> np.ndarray:
+        """The summed scores of words that the model does not know, by how often they occur."""
+        total = np.zeros(len(self.languages))
+        if self.kept_scores is None:
+            self.kept_scores = np.zeros((self.KEEP, len(self.languages)))
+        rows, times = [], []
+        for word, n in words.items():
+            row = self.kept.get(word)
+            if row is None:
+                if len(self.kept) >= self.KEEP:
+                    total += np.array(times, float) @ self.kept_scores[rows]
+                    self.kept, rows, times = {}, [], []
+                row = self.kept[word] = len(self.kept)
+                self.kept_scores[row] = self.back_off(word)
+            rows.append(row)
+            times.append(n)
+        return total + np.array(times, float) @ self.kept_scores[rows]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text))
         if not counts or not self.languages:
             return "und", 0.0
-        total = np.zeros(len(self.languages))
-        rows, times = [], []
+        rows, times, others = [], [], {}
         known = self.tables[0]
         for word, n in counts.items():
             row = known.get(word)
             if row is None:
-                total += n * self.back_off(word)
+                others[word] = n
             else:
                 rows.append(row)
                 times.append(n)
-        if rows:
-            total += np.array(times, float) @ self.scores[0][rows]
+        total = np.array(times, float) @ self.scores[0][rows] if rows else np.zeros(len(self.languages))
+        if others:
+            total += self.unknown(others)
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -111,22 +135,26 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         docs_per_language: int = 4000, max_words: int = 60_000, max_grams: int = 20_000,
         smoothing: float = 0.1) -> Model:
     """The model of the labelled rows of ``train``; rows without language or text are passed over."""
-    rows = train.select(F.xxhash64(id_col).alias("h"), F.col(lang_col).cast("string").alias("lang"),
+    rows = train.select(F.xxhash64(id_col, text_col).alias("h"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     n_docs = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
     if not n_docs:
         return Model([], [{} for _ in range(MAX_GRAM + 1)], [np.zeros((0, 0))] * (MAX_GRAM + 1))
     scale = 1 << 30
     share = F.create_map(*(F.lit(x) for k, n in n_docs.items() for x in (k, -(-scale * docs_per_language // n))))
-    sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).select("lang", "text")
+    sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")])
+    sample = sample.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")  # repeated rows once
     counts = written(_summed(sample), "grams")
-    # How many grams occur how often (a row a frequency) gives the least frequency that is kept.
-    frequencies: dict[int, list] = {}
-    for r in counts.groupBy("n", "total").count().collect():
-        frequencies.setdefault(r["n"], []).append((r["total"], r["count"]))
-    least = {n: _least(f, max_grams if n else max_words) for n, f in frequencies.items()}
-    cut = F.create_map(*(F.lit(x) for k, v in least.items() for x in (k, v))) if least else F.create_map().cast("map<int,bigint>")
-    got = counts.where(F.col("total") >= cut[F.col("n")]).select("n", "gram", "by_lang").orderBy("n", "gram").toArrow().to_pylist()
+    # How many grams occur how often in a language (a row a frequency) gives the least frequency that is kept.
+    frequencies: dict[tuple, list] = {}
+    for r in counts.groupBy("n", "lang", "c").count().collect():
+        frequencies.setdefault((r["n"], r["lang"]), []).append((r["c"], r["count"]))
+    least = [(n, lang, _least(f, (max_grams if n else max_words) // len(n_docs))) for (n, lang), f in frequencies.items()]
+    least = train.sparkSession.createDataFrame(least, "n INT, lang STRING, least BIGINT")  # a row a language and length
+    each = counts.join(F.broadcast(least), ["n", "lang"])
+    got = each.groupBy("n", "gram").agg(F.max(F.col("c") >= F.col("least")).alias("often"),
+                                        F.collect_list(F.struct("lang", "c")).alias("by_lang")) \
+        .where("often").select("n", "gram", "by_lang").orderBy("n", "gram").toArrow().to_pylist()
     languages = sorted(n_docs, key=lambda x: x.encode())
     at = {k: i for i, k in enumerate(languages)}
     tables, scores = [], []
@@ -153,11 +181,9 @@ def _least(frequencies: list[tuple[int, int]], most: int) -> int:
 
 
 def _summed(sample: DataFrame) -> DataFrame:
-    """n, gram, total, by_lang (at most an entry a language)."""
-    each = sample.mapInArrow(_counted, "lang STRING, n INT, gram STRING, c BIGINT") \
+    """n, gram, lang, c: how often each gram occurs in a language."""
+    return sample.mapInArrow(_counted, "lang STRING, n INT, gram STRING, c BIGINT") \
         .groupBy("n", "gram", "lang").agg(F.sum("c").alias("c"))
-    return each.groupBy("n", "gram").agg(F.sum("c").alias("total"),
-                                         F.collect_list(F.struct("lang", "c")).alias("by_lang"))
 
 
 def _predicted(model: Model, text_at: int):

@@ -6,7 +6,7 @@ parsing (6), seeded XXH64 and components (8).
 
 from __future__ import annotations
 
-from tsquality.llm.quality import GRIDS
+from tsquality.llm.quality import GRIDS, PATH
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
@@ -34,22 +34,27 @@ WHERE rank <= 5
 
 
 def op9(max_false: float = 0.02, error: float = 0.05) -> str:
-    n_tests = sum(map(len, GRIDS.values()))
-    alpha = max_false / len(GRIDS)
-    grid = ", ".join(f"('{rule}', {cut})" for rule, cuts in GRIDS.items() for cut in cuts)
-    rate = "CASE rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in GRIDS) + " END"
+    """The fixed-sequence test: at step k of the path each rule has the last cutoff that the path gave it. Windows are
+    joined by number, so that no row carries a text's words beside each of them."""
+    at: dict[str, float] = {}
+    steps = []
+    for rule, cutoff in PATH:
+        at[rule] = cutoff
+        steps.append("(" + ", ".join([str(len(steps) + 1), *(str(at.get(r, "NULL::DOUBLE")) for r in GRIDS)]) + ")")
+    any_rule = " OR ".join(f"coalesce({r} >= c_{r}, FALSE)" for r in GRIDS)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang AS stratum, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, {_WORDS} AS ws, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM d),
-i AS (SELECT r, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 3),
-again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS n FROM i) x WHERE n > 1),
+w AS MATERIALIZED (SELECT *, {_WORDS} AS ws, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM d),
+p AS (SELECT r, unnest(ws) AS a, unnest(range(1, len(ws) + 1)) AS i FROM w),
+i AS (SELECT r, i, a, lead(a) OVER s AS b, lead(a, 2) OVER s AS c FROM p WINDOW s AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM i WHERE c IS NOT NULL) x WHERE n > 1),
 cov AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) x GROUP BY r),
 m AS (
   SELECT r, doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines
   FROM w LEFT JOIN cov USING (r)),
-b AS (
+b AS MATERIALIZED (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbol_rate,
     CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
@@ -57,16 +62,17 @@ b AS (
     CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS word_length
   FROM m),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-h AS (SELECT b.* FROM b JOIN good USING (doc_id) WHERE NOT base_failed),
-g AS (SELECT * FROM (VALUES {grid}) v (rule, cut)),
-hits AS (SELECT stratum, rule, cut, count(*) AS n, CAST(count_if({rate} >= cut) AS BIGINT) AS k FROM h, g GROUP BY stratum, rule, cut),
+h AS MATERIALIZED (SELECT b.* FROM b JOIN good USING (doc_id) WHERE NOT base_failed),
+path AS (SELECT * FROM (VALUES {", ".join(steps)}) v (step, {", ".join(f"c_{r}" for r in GRIDS)})),
+hits AS (SELECT stratum, step, count(*) AS n, CAST(count_if({any_rule}) AS BIGINT) AS k FROM h, path GROUP BY stratum, step),
 tails AS (
-  SELECT stratum, rule, cut, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({alpha}) + (n - i) * ln(1 - {alpha}))) AS p
-  FROM (SELECT *, unnest(generate_series(0, k)) AS i FROM hits) x GROUP BY stratum, rule, cut),
-cuts AS (
-  SELECT stratum, rule, min(cut) AS cut FROM tails
-  WHERE p <= {error} / ({n_tests} * (SELECT count(DISTINCT coalesce('=' || stratum, '')) FROM h)) GROUP BY stratum, rule),
-bad AS (SELECT DISTINCT r FROM b JOIN cuts ON b.stratum IS NOT DISTINCT FROM cuts.stratum WHERE {rate} >= cut)
+  SELECT stratum, step, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({max_false}) + (n - i) * ln(1 - {max_false}))) AS p
+  FROM (SELECT *, unnest(generate_series(0, k)) AS i FROM hits) x GROUP BY stratum, step),
+strata AS (SELECT count(*) AS n FROM (SELECT DISTINCT stratum FROM h) x),
+walked AS (
+  SELECT stratum, coalesce(min(step) FILTER (p > {error} / strata.n), {len(steps) + 1}) - 1 AS step FROM tails, strata GROUP BY stratum),
+cuts AS (SELECT walked.stratum, path.* FROM walked JOIN path USING (step)),
+bad AS (SELECT DISTINCT r FROM b JOIN cuts ON b.stratum IS NOT DISTINCT FROM cuts.stratum WHERE {any_rule})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept
 FROM b

@@ -36,6 +36,8 @@ _CUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int
 _CUT_DDL = ("kind INT, doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, near BIGINT, "
             "near2 BIGINT, ids BINARY")
 FULL, TAIL, STATS = 0, 1, 2
+#: What a worker may keep of ids of chunks: it also holds a shard, and in a pipeline what earlier stages left.
+CACHE_MB = 80
 
 
 def _crc(ids: np.ndarray) -> int:
@@ -55,7 +57,7 @@ def _terms(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
     """mapInArrow function: (doc_id, text) to full windows, tails and the task's term statistics."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, CACHE_MB)
         end = np.array([end_id], enc.dtype).tobytes()
         order = np.random.default_rng(7).permutation(np.arange(2 * size, dtype=np.int64)).reshape(2, size)
         df = np.zeros(size, np.int64)
