@@ -115,3 +115,87 @@ def test_batch_run_is_compacted_and_reported(spark, tmp):
     assert got[10] == (7.0, "2024-01-01 10:40:00", "2024-01-01")
     series = reports.consumption_series(out, ts("2024-01-01 00:00:00"), ts("2024-01-02 00:00:00"))
     assert series.count() == 2
+
+
+def _append(spark, path, table, batch, rows, run="r"):
+    schema = READING if table == "validated_readings" else \
+        "time timestamp, metric_type string, meter_id string, value double, tags map<string,string>, seq bigint"
+    T.write_batch(spark.createDataFrame([(ts(t), *r, i) for i, (t, *r) in enumerate(rows)], schema), path, table, batch, run)
+
+
+def _values(df):
+    return sorted((r.meter_id, str(r.time)[:10], r.consumption_kwh) for r in df.collect())
+
+
+def test_a_batch_that_commits_after_a_compaction_is_not_lost(spark, tmp, monkeypatch):
+    """It began earlier and was stamped so, but its commit came later; keys still go by the time of the write."""
+    v, out = os.path.join(tmp, "log"), os.path.join(tmp, "compacted")
+    clock = iter([1000, 2000, 3000])
+    monkeypatch.setattr(T.time, "time_ns", lambda: next(clock) * 1000)
+    puts = []
+    monkeypatch.setattr(T, "put_text", lambda *a: puts.append(a))
+    _append(spark, v, "validated_readings", 0, [("2024-01-01 10:00:00", "a", 1.0, "OK"), ("2024-01-02 10:00:00", "k", 1.0, "OK")], "slow")
+    monkeypatch.undo()
+    clock2 = iter([2000, 3000])
+    monkeypatch.setattr(T.time, "time_ns", lambda: next(clock2) * 1000)
+    _append(spark, v, "validated_readings", 0, [("2024-01-01 10:00:00", "b", 2.0, "OK"), ("2024-01-02 10:00:00", "k", 2.0, "OK")], "fast")
+    assert _values(T.compact(spark, v, "validated_readings", out)) == [("b", "2024-01-01", 2.0), ("k", "2024-01-02", 2.0)]
+    T.put_text(*puts[0])  # the slow batch commits now
+    want = [("a", "2024-01-01", 1.0), ("b", "2024-01-01", 2.0), ("k", "2024-01-02", 2.0)]
+    assert _values(T.read_table(spark, v, "validated_readings", out)) == want
+    assert _values(T.read_table(spark, v, "validated_readings")) == want
+    assert _values(T.compact(spark, v, "validated_readings", out)) == want
+    assert T.uncovered(spark, v, out) == []
+    assert _values(T.compact(spark, v, "validated_readings", out)) == want
+
+
+def test_merge_on_read_does_not_scan_covered_batches(spark, tmp):
+    import re
+    v, out = os.path.join(tmp, "log"), os.path.join(tmp, "compacted")
+    for k in range(4):
+        _append(spark, v, "validated_readings", k, [(f"2024-01-0{k + 1} 10:00:00", "m", float(k), "OK"), ("2024-01-09 10:00:00", "m", float(k), "OK")])
+    T.compact(spark, v, "validated_readings", out)
+    _append(spark, v, "validated_readings", 4, [("2024-01-09 10:00:00", "m", 9.0, "OK"), ("2024-01-10 10:00:00", "m", 5.0, "OK")])
+    df = T.read_table(spark, v, "validated_readings", out)
+    assert not [f for f in df.inputFiles() if re.search(r"_batch_id=[0-3]/", f)] and [f for f in df.inputFiles() if "_batch_id=4/" in f]
+    want = [("m", f"2024-01-0{k + 1}", float(k)) for k in range(4)] + [("m", "2024-01-09", 9.0), ("m", "2024-01-10", 5.0)]
+    assert _values(df) == want == _values(T.read_table(spark, v, "validated_readings"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[.*event_date", plan)) >= 2
+    before = {f: os.stat(f).st_mtime_ns for d, _, names in os.walk(out) for f in (os.path.join(d, n) for n in names) if "2024-01-0" in d and "01-09" not in d}
+    assert _values(T.compact(spark, v, "validated_readings", out)) == want
+    assert before and all(os.stat(f).st_mtime_ns == t for f, t in before.items())
+
+
+def test_compaction_that_died_halfway_repeats_no_row(spark, tmp, monkeypatch):
+    """Days are replaced, but the cover is not written: the next one starts over from the same batches."""
+    import pytest
+    v, out = os.path.join(tmp, "metrics"), os.path.join(tmp, "compacted")
+    rows = [("2024-01-01 10:00:00", "x", "m", 1.0, {}), ("2024-01-01 10:00:00", "x", "m", 1.0, {})]
+    _append(spark, v, "metrics", 0, rows)
+    T.compact(spark, v, "metrics", out)
+    _append(spark, v, "metrics", 1, rows[:1])
+    real, calls = T._write_days, []
+
+    def dies(*a, **k):
+        real(*a, **k)
+        calls.append(1)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(T, "_write_days", dies)
+    with pytest.raises(RuntimeError):
+        T.compact(spark, v, "metrics", out)
+    monkeypatch.undo()
+    assert calls and T.compact(spark, v, "metrics", out).count() == 3 == T.read_table(spark, v, "metrics").count()
+    T.write_batch(spark.createDataFrame([(ts("2024-01-01 10:00:00"), "x", "m", 1.0, {}, 0)], "time timestamp, metric_type string, "
+                  "meter_id string, value double, tags map<string,string>, seq bigint"), v, "metrics", 1, "r")  # a retry
+    assert T.compact(spark, v, "metrics", out).count() == 3
+
+
+def test_rows_without_a_time_are_merged(spark, tmp):
+    v, out = os.path.join(tmp, "log"), os.path.join(tmp, "compacted")
+    for k in range(2):
+        T.write_batch(spark.createDataFrame([(None, "m", float(k), "OK", 0), (ts("2024-01-01 10:00:00"), "m", float(k), "OK", 1)], READING),
+                      v, "validated_readings", k)
+        got = T.read_table(spark, v, "validated_readings", out)
+        assert sorted((str(r.time), r.consumption_kwh) for r in got.collect()) == [("2024-01-01 10:00:00", float(k)), ("None", float(k))]
+        T.compact(spark, v, "validated_readings", out)

@@ -136,3 +136,20 @@ def materialize(df, how: str = "checkpoint"):
     if how == "cache":
         return df.cache()
     return df
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole, replacing what was there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it does not exist."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(hpath) if f.isDirectory()] if fs.exists(hpath) else []
