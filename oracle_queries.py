@@ -240,6 +240,9 @@ SQL = {
     "rollup_refreshed": _routed("""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
         round(avg(delay_seconds), 6) AS avg_delay_seconds, max(delay_seconds) AS max_delay_seconds
         FROM t_late_events WHERE arrival_ts < date_trunc('hour', time) + INTERVAL 3 HOUR GROUP BY 1, 2"""),
+    "rollup_streamed": _routed("""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
+        round(avg(delay_seconds), 6) AS avg_delay_seconds, max(delay_seconds) AS max_delay_seconds
+        FROM t_late_events WHERE arrival_ts < date_trunc('hour', time) + INTERVAL 3 HOUR GROUP BY 1, 2"""),
     "rollup_refresh": _routed(f"""SELECT date_trunc('hour', time) AS hour, meter_id, count(*) AS late_count,
           round(avg(delay_seconds), 6) AS avg_delay_seconds, max(delay_seconds) AS max_delay_seconds
         FROM t_late_events, (SELECT unnest([{', '.join(f"TIMESTAMP '{t}'" for t in C.REFRESH_AT)}]) AS now) n
@@ -258,6 +261,15 @@ SQL = {
         UNION ALL SELECT 'metrics', NULL, meter_id,
           concat_ws(':', metric_type, COALESCE(json_extract_string(tags, '$.error'), json_extract_string(tags, '$.status'))),
           NULL, value FROM metrics"""),
+    "consume_results": _routed("""
+        SELECT 'validated_readings' AS route, time, meter_id, status AS detail, CAST(NULL AS BIGINT) AS number,
+          consumption_kwh AS value FROM t_validated
+        UNION ALL SELECT 'late_events', time, meter_id, NULL, CAST(delay_seconds AS BIGINT), consumption_kwh FROM t_late_events
+        UNION ALL SELECT 'gap_alerts', time, meter_id, NULL, CAST(gap_minutes AS BIGINT),
+          CAST(epoch_us(missing_to) AS DOUBLE) FROM t_gap_alerts
+        UNION ALL SELECT 'metrics', NULL, meter_id,
+          concat_ws(':', metric_type, COALESCE(json_extract_string(tags, '$.error'), json_extract_string(tags, '$.status'))),
+          NULL, value FROM metrics"""),
     "stream_state": _routed(f"SELECT meter_id, last_seen, gap_count, late_count FROM ({METER_STATE}) s"),
     "result_payloads": _routed(_iso("""
         SELECT 'smartmeter_validated' AS topic, meter_id AS key, '{"meter_id":"' || meter_id || '","timestamp":"' ||
@@ -304,6 +316,8 @@ SQL = {
         round(avg(value), 6) AS avg_value FROM metrics WHERE {RANGE} GROUP BY metric_type"""),
     "active_meters": _routed(f"""SELECT meter_id, max(time) AS last_seen, count(*) AS reading_count
         FROM t_validated WHERE time >= {NOW} - INTERVAL 24 HOUR GROUP BY meter_id"""),
+    "active_meters_sql": _routed(f"""SELECT meter_id, max(time) AS last_seen, count(*) AS reading_count
+        FROM t_validated WHERE time >= {NOW} - INTERVAL 24 HOUR GROUP BY meter_id"""),
 }
 
 # Double columns rounded to 6 digits on the Spark side as in the SQL above.
@@ -312,6 +326,7 @@ ROUND6 = {
     "late_summary_hourly": ["avg_delay_seconds"],
     "rollup_refresh": ["avg_delay_seconds"],
     "rollup_refreshed": ["avg_delay_seconds"],
+    "rollup_streamed": ["avg_delay_seconds"],
     "metrics_summary_hourly": ["total_value", "avg_value"],
     "late_pct_hourly": ["late_pct"],
     "metric_types": ["total_value", "avg_value"],

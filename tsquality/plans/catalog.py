@@ -26,13 +26,14 @@ from tsquality.operators import rollups as R
 from tsquality.operators import tables as T
 from tsquality.operators.validate import quarantine_metrics, validate
 from tsquality.plans import reports as Q
+from tsquality.plans import sql as SQL
 from tsquality.plans.routing import route
 from tsquality.session import materialize, scratch_path
 from tsquality.sources.events import load_readings
 from tsquality.functions.hashing import uniform01, with_uniforms
 from tsquality.sources import csv as CSV
 from tsquality.sources.messages import parse_readings
-from tsquality.sources.replay import write_replay
+from tsquality.sources.replay import write_after, write_replay
 from tsquality.sources.synth import faulty_messages, inject_faults, sample_like
 from tsquality.streaming import job
 
@@ -343,6 +344,26 @@ def q_rollup_refresh(spark, sf_dir):
     return spark.read.schema(schema).parquet(path).drop("bucket_hour")
 
 
+def q_rollup_streamed(spark, sf_dir):
+    """A4 as a stream: the late events, replayed in the order of their arrival in some chunks, kept up to date hour by hour."""
+    base = scratch_path(spark, "rollup-stream")
+    late = T.resolve_routed(routes(spark, sf_dir).late_events, "late_events")
+    lo, hi = late.agg(F.min(F.unix_micros("arrival_ts")), F.max(F.unix_micros("arrival_ts"))).first()
+    part = F.floor((F.unix_micros("arrival_ts") - F.lit(lo or 0)) * ROLLUP_CHUNKS / F.lit((hi or 0) - (lo or 0) + 1)).cast("int")
+    late = materialize(late.select("time", "meter_id", "delay_seconds", "arrival_ts", part.alias("chunk")))
+    newest = 0
+    for k in range(ROLLUP_CHUNKS):
+        newest = write_after(late.where(F.col("chunk") == k).drop("chunk").coalesce(1), f"{base}/rows/chunk={k:03d}", newest)
+    rows = spark.readStream.schema("time TIMESTAMP, meter_id STRING, delay_seconds INT, arrival_ts TIMESTAMP, chunk INT") \
+        .option("maxFilesPerTrigger", 1).parquet(f"{base}/rows")
+    R.stream_rollup(rows, "late_events_summary_hourly", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return R.read_stream_rollup(spark, f"{base}/out", "late_events_summary_hourly")
+
+
+#: Chunks in which the late events arrive at the streamed rollup.
+ROLLUP_CHUNKS = 6
+
+
 def q_rollup_refreshed(spark, sf_dir):
     """A4 over the whole history in closed form: what hourly refreshes leave."""
     late = T.resolve_routed(routes(spark, sf_dir).late_events, "late_events")
@@ -386,15 +407,20 @@ def streamed(spark, sf_dir):
 def q_stream_pipeline(spark, sf_dir):
     """The rows that the stream leaves in the four tables."""
     t, _ = streamed(spark, sf_dir)
+    return _four_tables(t, detected_by=True)
+
 
+def _four_tables(t, detected_by: bool = False):
+    """The rows of the four tables as one; a consumer of the topics does not learn what detected a gap."""
     def rows(table, detail, number, value):
         return t[table].select(F.lit(table).alias("route"), "time" if table != "metrics" else
                                F.lit(None).cast("timestamp").alias("time"), "meter_id", detail.alias("detail"),
                                number.cast("bigint").alias("number"), value.cast("double").alias("value"))
     none = F.lit(None)
+    by = F.col("detected_by") if detected_by else none.cast("string")
     return (rows("validated_readings", F.col("status"), none, F.col("consumption_kwh"))
             .unionAll(rows("late_events", none.cast("string"), F.col("delay_seconds"), F.col("consumption_kwh")))
-            .unionAll(rows("gap_alerts", F.col("detected_by"), F.col("gap_minutes"), F.unix_micros("missing_to").cast("double")))
+            .unionAll(rows("gap_alerts", by, F.col("gap_minutes"), F.unix_micros("missing_to").cast("double")))
             .unionAll(rows("metrics", F.concat_ws(":", "metric_type", F.coalesce(F.element_at("tags", "error"),
                                                                               F.element_at("tags", "status"))),
                            none, F.col("value"))))
@@ -407,6 +433,23 @@ def q_stream_state(spark, sf_dir):
                         F.col("value.gap_count").alias("gap_count"), F.col("value.late_count").alias("late_count"))
 
 
+def q_consume_results(spark, sf_dir):
+    """S6 + S7: the routed run's result messages, all of them sent twice, consumed into the four tables."""
+    base = scratch_path(spark, "consume")
+    r = routes(spark, sf_dir)
+    sent = job.identified_messages({"validated_readings": r.validated, "gap_alerts": r.gap_alerts,
+                                    "late_events": r.late_events, "metrics": r.metrics})
+    sent = sent.repartitionByRange("position", "message_id").sortWithinPartitions("position", "message_id")
+    sent = materialize(sent.select("topic", "key", "value", F.monotonically_increasing_id().alias("offset"), "message_id",
+                                   F.lit(NOW).cast("timestamp").alias("sent_ts")))
+    newest = 0
+    for k in range(2):
+        newest = write_after(sent.coalesce(1), f"{base}/topics/chunk={k}", newest)
+    messages = spark.readStream.schema(job.RESULT_MESSAGE + ", chunk INT").option("maxFilesPerTrigger", 1).parquet(f"{base}/topics")
+    job.consume_results(messages.drop("chunk"), f"{base}/out", f"{base}/checkpoint", once_within="1 hour").awaitTermination()
+    return _four_tables(job.read_tables(spark, f"{base}/out"))
+
+
 def q_result_payloads(spark, sf_dir):
     """S6 + P6: the routed run's rows as messages of the four result topics."""
     r = routes(spark, sf_dir)
@@ -496,6 +539,14 @@ def q_active_meters(spark, sf_dir):
     return Q.active_meters(_t(spark, sf_dir, "validated"), NOW)
 
 
+def q_active_meters_sql(spark, sf_dir):
+    """U3 + A17: the table function, called from SQL."""
+    t = tables(spark, sf_dir)
+    SQL.register(spark, {"validated_readings": t["validated"], "gap_alerts": t["gap_alerts"],
+                         "late_events": t["late_events"], "metrics": t["metrics"]})
+    return spark.sql(f"SELECT * FROM get_active_meters(24, TIMESTAMP '{NOW}')")
+
+
 QUERIES = {
     "csv_alias_parse": q_csv_alias_parse,
     "format_convert": q_format_convert,
@@ -547,4 +598,7 @@ QUERIES = {
     "late_rate": q_late_rate,
     "metric_types": q_metric_types,
     "active_meters": q_active_meters,
+    "active_meters_sql": q_active_meters_sql,
+    "rollup_streamed": q_rollup_streamed,
+    "consume_results": q_consume_results,
 }

@@ -54,7 +54,7 @@ def to_messages(readings: DataFrame, topic: str = TOPICS["raw"], keep: tuple[str
                            F.lit(topic).alias("topic"))
 
 
-def result_messages(routed: DataFrame) -> DataFrame:
+def result_messages(routed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """S6 + P6: routed result rows -> (topic, key, value) for the four result topics.
 
     ``routed`` has ``route`` in {validated, gap_alerts, late_events, metrics} and the
@@ -75,7 +75,7 @@ def result_messages(routed: DataFrame) -> DataFrame:
                    F.coalesce(F.col("tags"), F.create_map().cast("map<string,string>")).alias("tags")))))
     topic = F.element_at(F.create_map(*[x for k, v in TOPICS.items() if k != "raw"
                                         for x in (F.lit(k), F.lit(v))]), F.col("route"))
-    return routed.select(topic.alias("topic"), F.col("meter_id").alias("key"), payload.alias("value"))
+    return routed.select(topic.alias("topic"), F.col("meter_id").alias("key"), payload.alias("value"), *keep)
 
 
 def parse_results(messages: DataFrame, route: str, keep: tuple[str, ...] = ()) -> DataFrame:
