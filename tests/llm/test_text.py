@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tsquality.llm import extract, langid, quality, simhash
@@ -69,6 +71,62 @@ def test_extracted_table(spark, tmp):
     assert extract.extracted(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p class=x title=don't>First paragraph here.</p><p>It's the second one.</p></article>",
+     "First paragraph here.\n\nIt's the second one."),
+    ("<article><p title='a > b' data-x=\"c > d\" y = 'z>'>One</p><p a=\">Two</p></article>", "One\n\nTwo"),
+    # A name with other words in it does not drop prose; thin containers with such names go.
+    (f"<article><p>{PROSE}</p><section id='search-engines'><h2>Search engines</h2><p>{PROSE}</p></section>"
+     f"<div class='social-widget-free'><p>{PROSE}</p></div><div class='free-social-kit'>Like us</div></article>",
+     f"{PROSE}\n\nSearch engines\n\n{PROSE}\n\n{PROSE}"),
+    (f"<article><p>{PROSE}</p><div class='a search-kit'><div>x</div><div><div>y</div></div></div><p>End.</p></article>", f"{PROSE}\n\nEnd."),
+    # Reader comments stay furniture, also where each is an article, or a marked container is left open.
+    (f"<article><p>{PROSE}</p><section class='comments'><article class='entry'><p>I read {PROSE}</p></article></section><p>End.</p></article>",
+     f"{PROSE}\n\nEnd."),
+    (f"<article><p>{PROSE}</p></article><div id=comments-list><article><p>{PROSE} {PROSE}</p></article><article><p>Me too {PROSE}</p></article></div>",
+     PROSE),
+    (f"<div class='post-comments'><main><p>{PROSE} {PROSE}</p></main></div><p>{PROSE}</p>", PROSE),
+    # Furniture left open before the article still opens it.
+    (f"<nav><ul><li>menu<article><p>{PROSE}</p></article>", PROSE),
+])
+def test_names_and_attributes(page, want):
+    assert extract.main_text(page) == want
+
+
+def plain_surged(length, surge, window=extract.WINDOW):
+    """Every line of a run from text to a whole window without, if some window in the run reaches ``surge``."""
+    keep, k = [False] * len(length), 0
+    while k < len(length):
+        if not length[k]:
+            k += 1
+            continue
+        end = k
+        while end < len(length) and any(length[end:end + window]):
+            end += 1
+        if any(sum(length[j:j + window]) >= surge for j in range(k, end)):
+            keep[k:end] = [True] * (end - k)
+        k = end + 1
+    return keep
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 5, 30, 79, 80, 200]), max_size=40), st.sampled_from([1, 80]))
+def test_line_blocks_equal_plain(length, surge):
+    assert extract._surged(np.array(length, int), surge).tolist() == plain_surged(length, surge)
+
+
+def test_pages_without_their_names(spark):
+    """Names taken away, the blocks that are kept are still those of the article."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    right = total = whole = 0
+    for page in pages:
+        want = extract.main_text(page).split("\n\n")
+        got = extract.main_text(re.sub(r"\s(class|id|role)=(\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)).split("\n\n")
+        right += len(set(got) & set(want))
+        total += len(set(got) | set(want))
+    assert right > 0.95 * total
+
+
 # -- 7 -----------------------------------------------------------------------
 
 def test_languages(spark, tmp):

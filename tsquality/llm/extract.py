@@ -4,7 +4,9 @@ Markup is stripped into lines, one a block; containers that the page itself name
 (navigation, footers, forms, adverts, comments and so on) leave only empty lines. The lengths of the
 text outside links are summed over a sliding window of lines. Text surges where the sum rises from
 nothing to a window whose density looks like prose, and dives where it falls to nothing again; the
-lines between are kept. Where the page marks main text, the marked container with the most text outside
+lines between are kept. A name whose words are all furniture's (or layout's) decides by itself; where only some
+are ("search-engines"), the container is furniture only if its own lines surge nowhere. What readers wrote is
+furniture whatever it is made of. Where the page marks main text, the marked container with the most text outside
 links is taken, with its like beside it, and any text outside links surges there; lines of links alone
 need such text within a window. Marks that hold no text count for nothing, and marks inside furniture
 only if they hold more text than what surges outside.
@@ -46,30 +48,39 @@ MAIN = frozenset("main article".split())
 # Names that make even an article or main element furniture (a reader's comment is often an article).
 NOT_MAIN = frozenset("""ad ads advert advertisement comment comments promo promoted recommended related replies reply
     sponsored""".split())
+# Words of layout, which say nothing about what a container holds.
+LAYOUT = frozenset("""area article bar block body bottom box card col column container content entry fixed footer global group
+    header holder inline inner item items large layout left link links list main mini module outer page panel post posts
+    primary right row secondary section site small sticky story tab tabs text thread top widget wrap wrapper""".split())
 # Names that an article's own title block may have.
 TITLE_BLOCK = frozenset("header masthead".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z) | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>? | <[!?][^>]*>? """,
-                  re.X | re.S)
+# A quote opens a string only where a value begins.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z) |
+    <(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>=]|=)*)>? | <[!?][^>]*>? """, re.X | re.S)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
-def _names(attributes: str) -> tuple[set[str], bool]:
-    """What of an element's names says furniture, and whether they say main text."""
+def _names(attributes: str) -> tuple[set[str], bool, bool]:
+    """What of an element's names says furniture, whether they say main text, and whether furniture is in doubt:
+    some words of a name say it, and others say something else."""
     furniture: set[str] = set()
-    main = False
+    main = sure = False
     for key, value in _NAMED.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             furniture.add("hidden")
+            sure = True
         elif key == "itemprop":
             main |= value.lower() == "articlebody"
         elif key in ("class", "id", "role"):
-            words = set(_PARTS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
-            furniture |= words & NAMES
+            for name in value.split():
+                words = set(_PARTS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())) - {""}
+                furniture |= words & NAMES
+                sure |= bool(words & NAMES) and all(w in NAMES or w in LAYOUT or any(map(str.isdigit, w)) for w in words)
             main |= key == "role" and value.lower() in MAIN
-    return furniture, main
+    return furniture, main, bool(furniture) and not sure
 
 
 def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
@@ -83,6 +94,10 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
     out_of_link = 0
     link = 0
     skip: list[str] = []  # open elements from the outermost furniture on
+    closed = False  # that furniture holds no main text whatever is in it
+    # Open containers of which it is in doubt whether they are furniture: name, open ones of that name inside, first line.
+    doubted: list[list] = []
+    doubts: list[tuple[int, int]] = []
     # Open elements that mark main text: name, container, open ones of that name inside, furniture around.
     opened: list[list] = []
     containers: list[tuple] = [(False, 0, 0)]
@@ -153,7 +168,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
                     skip.clear()
             elif name in RAW:
                 at = _after_raw(page, name, at)
-            elif name in MAIN and not _names(m[3])[0] & NOT_MAIN:
+            elif name in MAIN and not closed and not _names(m[3])[0] & NOT_MAIN:
                 open_main(name)  # perhaps the furniture was left open before the article
             elif name not in VOID and not m[3].endswith("/") and (
                     name == skip[0] or name in FURNITURE or skip[-1] == "li" and name in LISTS):
@@ -164,6 +179,11 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
                 link = max(0, link - 1)
             elif name in BLOCKS:
                 close_line()
+                if doubted and name == doubted[-1][0]:
+                    doubted[-1][1] -= 1
+                    if doubted[-1][1] < 0:
+                        doubts.append((doubted.pop()[2], len(lines)))
+                        continue
                 if opened and name == opened[-1][0]:
                     opened[-1][2] -= 1
                     if opened[-1][2] < 0:
@@ -175,9 +195,12 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
         if name in RAW:
             at = _after_raw(page, name, at)
             continue
-        furniture, main = _names(m[3]) if m[3] else (set(), False)
+        furniture, main, doubt = _names(m[3]) if m[3] else (set(), False, False)
         if (main or name in MAIN) and not furniture & NOT_MAIN:
             open_main(name)
+        elif doubt and name in BLOCKS and name not in FURNITURE and name not in VOID and name not in ("html", "body"):
+            close_line()
+            doubted.append([name, 0, len(lines)])
         elif (furniture or name in FURNITURE) and name not in ("html", "body"):
             if opened and (name == "header" or furniture and furniture <= TITLE_BLOCK):
                 close_line()  # an article's own header has its title
@@ -187,6 +210,7 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
                 else:
                     gap()
                 skip.append(name)
+                closed = bool(furniture & NOT_MAIN)
         elif name == "a":
             link += 1
         elif name == "br":
@@ -194,9 +218,14 @@ def lines_of(page: str) -> tuple[list[str], list[int], list[int], list[tuple]]:
         elif name in BLOCKS:
             link = 0
             close_line()
-            if opened and name == opened[-1][0]:
+            if doubted and name == doubted[-1][0]:
+                doubted[-1][1] += 1
+            elif opened and name == opened[-1][0]:
                 opened[-1][2] += 1
     close_line()
+    for begin, end in [*doubts, *((d[2], len(lines)) for d in doubted)]:
+        if not _surged(np.array(plain[begin:end], int), SURGE).any():
+            lines[begin:end], plain[begin:end] = [""] * (end - begin), [0] * (end - begin)
     return lines, plain, inside, containers
 
 
@@ -234,6 +263,8 @@ def main_text(page: str | None) -> str:
 
 def _surged(length: np.ndarray, surge: int) -> np.ndarray:
     """The lines from where text begins to where it dives, if a window between them surges."""
+    if not len(length):
+        return np.zeros(0, bool)
     # Windows start at each line; the sums of the WINDOW lines from there.
     sums = np.convolve(length, np.ones(WINDOW, int))[WINDOW - 1:]
     keep = np.zeros(len(length), bool)
