@@ -47,7 +47,7 @@ def test_round_trip(spark, tmp):
 
 def test_payloads_and_segments(spark, tmp):
     path = f"{tmp}/warc"
-    warc.write_archives(stored(pages(spark, ROWS), tmp, "pages"), path, chars=1000)
+    warc.write_archives(stored(pages(spark, ROWS), tmp, "pages"), path, chunk_bytes=1000)
     got = warc.read_archives(spark, path, with_body=True).collect()
     payload, ends = {}, {}
     for r in sorted(got, key=lambda r: (r.record_row, r.segment)):
@@ -78,3 +78,31 @@ def test_files_are_warc(spark, tmp):
 
 def test_no_pages(spark, tmp):
     assert warc.archived(stored(pages(spark, []), tmp, "pages")).collect() == []
+
+
+def test_cuts_are_at_characters():
+    import numpy as np
+    text = "aé日\U0001F600" * 50
+    raw = np.frombuffer(text.encode(), np.uint8)
+    for size in (1, 4, 5, 7, 64, 10_000):
+        parts = [raw[a:z].tobytes() for a, z in warc.cuts(raw, size)]
+        assert b"".join(parts) == text.encode() and all(p.decode() for p in parts) and max(map(len, parts)) <= max(4, size)
+    assert list(warc.cuts(raw[:0], 10)) == [(0, 0)]
+
+
+def test_a_very_long_payload_is_never_whole_in_a_row(spark, tmp):
+    """40 MB without a line break: chunk rows and the archive's lines are bounded, time grows with the length."""
+    text = "0123456789abcde\u00e9" * 2_500_000
+    rows = [(1, "u", text), (2, "u", text), (3, "u", "short")]
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    os.makedirs(f"{tmp}/pages.parquet")
+    for k, r in enumerate(rows):  # by another writer, as the payloads are large for this test's heap
+        pq.write_table(pa.table({"page_id": [r[0]], "url": [r[1]], "html": [r[2]]}), f"{tmp}/pages.parquet/part-{k}.parquet")
+    table = spark.read.parquet(f"{tmp}/pages.parquet")
+    path = f"{tmp}/warc"
+    warc.write_archives(table, path)
+    assert spark.read.option("lineSep", "\n").text(path).selectExpr("max(octet_length(value))").first()[0] <= warc.CHUNK_BYTES + 2
+    got = [tuple(r) for r in warc.archived(table).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)

@@ -1,9 +1,11 @@
 """WARC archives as chunked records.
 
-A payload is a stream of chunk rows (record, chunk number), each with the digest and length of the
-payload up to its end, so no task holds more than a chunk beside the digest's state. Records with
-equal payloads of ``revisit_bytes`` or more are one response, that with the largest id, and revisits
-that refer to it.
+A payload becomes chunk rows (record, chunk number, body), cut from its buffer one after the other, each with
+the digest and length of the payload up to its end. They are written once, as the chunk table, and nothing
+after that holds a whole payload: what follows moves chunks. Records with equal payloads of
+``revisit_bytes`` or more are one response, that with the largest id, and revisits that refer to it;
+which is decided over the last chunks' digests alone and meets the chunks as a row a revisit, sorted in
+front of them.
 
 On disk a chunk is a WARC record: the first of a payload is the ``response`` (with
 ``WARC-Segment-Number`` 1 if there are more), the others are ``continuation`` records, the last of
@@ -19,79 +21,107 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from tsquality.llm.common import written
 from tsquality.session import scratch_path
 
-CHUNK_CHARS = 65_536
-_END = "payload_bytes"
-
-_CHUNK = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("bytes", pa.int64()), ("sha1", pa.string()),
-                    ("last", pa.bool_())])
-_CHUNK_DDL = "row BIGINT, chunk INT, bytes BIGINT, sha1 STRING, last BOOLEAN"
-
-
-def pieces(text: str, chars: int) -> Iterator[str]:
-    """The text in chunks of ``chars`` characters; one empty chunk if it is empty."""
-    for k in range(0, max(1, len(text)), chars):
-        yield text[k:k + chars]
-
-
-def _digested(chars: int):
+CHUNK_BYTES = 65_536
+#: Chunks are sent on when they hold so many bytes together.
+TOGETHER = 4 << 20
+
+_CHUNK = pa.schema([("row", pa.int64()), ("record_id", pa.int64()), ("url", pa.string()), ("chunk", pa.int32()),
+                    ("bytes", pa.int64()), ("sha1", pa.string()), ("last", pa.bool_()), ("total_sha1", pa.string()),
+                    ("body", pa.string())])
+_CHUNK_DDL = ("row BIGINT, record_id BIGINT, url STRING, chunk INT, bytes BIGINT, sha1 STRING, last BOOLEAN, "
+              "total_sha1 STRING, body STRING")
+
+
+def cuts(raw: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Where chunks of about ``size`` bytes of a UTF-8 buffer begin and end, at borders of characters; one empty
+    chunk if it is empty."""
+    at = 0
+    while at < len(raw) or not at:
+        to = min(len(raw), at + max(4, size))
+        while to < len(raw) and raw[to] & 0xC0 == 0x80:  # inside a character
+            to -= 1
+        yield at, to
+        if to == len(raw):
+            return
+        at = to
+
+
+def _chunked(size: int):
+    """mapInArrow function: (row, record_id, url, payload) to chunk rows, a few megabytes at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for r, text in zip(b.column(0).to_pylist(), b.column(1)):
-                h, size, held = hashlib.sha1(), 0, None
-                for k, piece in enumerate(pieces(text.as_py(), chars)):
-                    if held:
-                        rows.append((*held, False))
-                    raw = piece.encode("utf-8", "surrogatepass")
-                    h.update(raw)
-                    size += len(raw)
-                    held = (r, k, size, h.hexdigest())
-                rows.append((*held, True))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _CHUNK)], schema=_CHUNK) \
-                if rows else pa.RecordBatch.from_pylist([], schema=_CHUNK)
+            keys = zip(*(b.column(c).to_pylist() for c in ("row", "record_id", "url")))
+            out, held = [], 0
+            for k, (row, record_id, url) in enumerate(keys):
+                raw = np.frombuffer(b.column("payload")[k].as_buffer(), np.uint8)  # a view, no copy
+                total, parts = hashlib.sha1(), list(cuts(raw, size))
+                for a, z in parts:
+                    total.update(raw[a:z])
+                whole, running = total.hexdigest(), hashlib.sha1()
+                for chunk, (a, z) in enumerate(parts):
+                    last = z == len(raw)
+                    running.update(raw[a:z])
+                    out.append((row, record_id, url, chunk, z, whole if last else running.hexdigest(), last, whole,
+                                raw[a:z].tobytes()))
+                    held += z - a
+                    if held >= TOGETHER:
+                        yield _chunk_batch(out)
+                        out, held = [], 0
+            if out:
+                yield _chunk_batch(out)
     return run
 
 
-def chunk_table(rows: DataFrame, chars: int = CHUNK_CHARS) -> DataFrame:
-    """row, chunk, and of the payload up to the chunk's end bytes and sha1; last. ``rows``: row, payload (not null)."""
-    return rows.select("row", "payload").mapInArrow(_digested(chars), _CHUNK_DDL)
+def _chunk_batch(rows: list[tuple]) -> pa.RecordBatch:
+    *columns, bodies = zip(*rows)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, _CHUNK)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(bodies, pa.binary()).cast(pa.string())], schema=_CHUNK)
+
+
+def chunk_table(rows: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
+    """row, record_id, url, chunk, of the payload up to the chunk's end bytes and sha1, last, the whole payload's sha1
+    and the chunk's body. ``rows``: row, record_id, url, payload (not null)."""
+    return rows.select("row", "record_id", "url", "payload").mapInArrow(_chunked(size), _CHUNK_DDL)
 
 
-def decided(ends: DataFrame, revisit_bytes: int) -> DataFrame:
-    """row, record_id, bytes, sha1 of payloads' last chunks to row, bytes, sha1, refers_to.
+def revisits(ends: DataFrame, revisit_bytes: int) -> DataFrame:
+    """row, refers_to of the records that repeat a payload. ``ends``: row, record_id, bytes, sha1 of last chunks.
 
     Equal payloads meet as one row a task before the shuffle; the join that follows is one that
     Spark splits where a payload has very many copies.
     """
     large = ends.where(F.col("bytes") >= revisit_bytes)
-    first = large.groupBy("sha1", "bytes").agg(F.max("record_id").alias("most"), F.count("*").alias("n")).where("n > 1")
-    d = ends.join(first.drop("n"), ["sha1", "bytes"], "left")
-    return d.select("row", "bytes", "sha1", F.when(
-        F.col("most").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("most")), F.col("most")).alias("refers_to"))
+    first = large.groupBy("sha1", "bytes").agg(F.max("record_id").alias("most"), F.count("*").alias("n")) \
+        .where("n > 1 AND most IS NOT NULL").drop("n")
+    return large.join(first, ["sha1", "bytes"]).where(~F.col("record_id").eqNullSafe(F.col("most"))) \
+        .select("row", F.col("most").alias("refers_to"))
 
 
 def _urn(record_id: Column) -> Column:
     return F.concat(F.lit("<urn:record:"), F.coalesce(record_id.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def records(rows: DataFrame, facts: DataFrame, chars: int = CHUNK_CHARS) -> DataFrame:
-    """``value``: the text of each WARC record less its last CRLF. ``rows``: row, record_id, url, payload."""
+def records(chunks: DataFrame, again: DataFrame) -> DataFrame:
+    """``value``: the text of each WARC record less its last CRLF, a record's segments one after the other."""
     crlf = "\r\n"
-    d = rows.join(facts, "row")
-    n = F.ceil(F.length("payload") / chars)
-    d = d.withColumn("n", F.when(F.col("refers_to").isNotNull(), 1).otherwise(F.greatest(n, F.lit(1))).cast("int"))
-    d = d.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("segment"))
-    body = F.when(F.col("refers_to").isNotNull(), "").otherwise(
-        F.substring(F.col("payload"), (F.col("segment") - 1) * chars + 1, F.lit(chars)))
-    d = d.select("row", "record_id", "url", "bytes", "sha1", "refers_to", "n", "segment", body.alias("body"))
-    revisit, more = F.col("refers_to").isNotNull(), F.col("n") > 1
+    # A revisit's row comes first, before the chunks of its record, and is carried along them.
+    noted = chunks.withColumn("refers_to", F.lit(None).cast("bigint")).unionByName(
+        again.withColumn("chunk", F.lit(-1)), allowMissingColumns=True)
+    along = W.Window.partitionBy("row").orderBy("chunk").rowsBetween(W.Window.unboundedPreceding, 0)
+    d = noted.withColumn("refers_to", F.max("refers_to").over(along))
+    d = d.where((F.col("chunk") >= 0) & (F.col("refers_to").isNull() | F.col("last")))
+    revisit = F.col("refers_to").isNotNull()
+    d = d.withColumns({"segment": F.when(revisit, 1).otherwise(F.col("chunk") + 1), "body": F.when(revisit, "").otherwise(F.col("body"))})
+    more = ~revisit & ~(F.col("last") & (F.col("segment") == 1))
     kind = F.when(revisit, "revisit").when(F.col("segment") > 1, "continuation").otherwise("response")
     own = F.concat(F.lit("<urn:row:"), F.col("row").cast("string"), F.lit(">"))
 
@@ -107,33 +137,32 @@ def records(rows: DataFrame, facts: DataFrame, chars: int = CHUNK_CHARS) -> Data
             .otherwise(own)),
         header("WARC-Concurrent-To", _urn(F.col("record_id"))),
         header("WARC-Target-URI", url),
-        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("total_sha1"))),
         header("WARC-Refers-To", _urn(F.col("refers_to")), revisit),
         header("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), revisit),
         header("WARC-Refers-To-Payload-Length", F.col("bytes").cast("string"), revisit),
         header("WARC-Segment-Number", F.col("segment").cast("string"), more),
         header("WARC-Segment-Origin-ID", own, F.col("segment") > 1),
-        header("WARC-Segment-Total-Length", F.col("bytes").cast("string"), more & (F.col("segment") == F.col("n"))),
+        header("WARC-Segment-Total-Length", F.col("bytes").cast("string"), more & F.col("last")),
         header("Content-Length", F.octet_length("body").cast("string")), F.lit(crlf))
     return d.select(F.concat(head, F.col("body"), F.lit(crlf)).alias("value"))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-                   revisit_bytes: int = 1000, chars: int = CHUNK_CHARS) -> None:
+                   revisit_bytes: int = 1000, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Gzipped WARC files of ``pages`` under ``path``.
 
     A null payload is empty. Rows with a repeated id are records each; those that have the largest
     id of their payload are all responses. A null id is never the largest; its record is a revisit
-    where the payload has a row with an id. Other columns are not read.
+    where the payload has a row with an id. A payload of any length is cut from the one buffer in which
+    Spark hands it over. Other columns are not read.
     """
     rows = pages.select(F.col(id_col).cast("bigint").alias("record_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")) \
         .withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows, "payloads", compression="zstd")  # row numbers stay what they are
-    ends = chunk_table(rows, chars).where("last").join(rows.select("row", "record_id"), "row") \
-        .select("row", "record_id", "bytes", "sha1")
-    facts = decided(written(ends, "digests"), revisit_bytes)
-    records(rows, facts, chars).write.option("compression", "gzip").option("lineSep", "\r\n").text(path)
+    chunks = written(chunk_table(rows, chunk_bytes), "chunks", compression="zstd")  # row numbers stay what they are
+    again = revisits(chunks.where("last").select("row", "record_id", "bytes", "sha1"), revisit_bytes)
+    records(chunks, again).write.option("compression", "gzip").option("lineSep", "\r\n").text(path)
 
 
 _READ = pa.schema([("record_row", pa.int64()), ("record_id", pa.int64()), ("kind", pa.string()), ("segment", pa.int32()),
