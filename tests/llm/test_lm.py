@@ -85,3 +85,19 @@ def test_key_packing():
         assert lm.from_planes(lm.planes(keys)).tolist() == keys.tolist()
         counts = rng.integers(0, 600, n)
         assert lm._wide(lm._narrow(counts), n).tolist() == counts.tolist()
+
+
+@pytest.mark.parametrize("from_files", [True, False])
+def test_repeated_rows_are_dealt_to_all_shards(spark, tmp, from_files):
+    from pyspark.sql import functions as F
+
+    from tsquality.llm.common import row_hash
+    df = spark.createDataFrame([(None, "the same text")] * 300 + [(1, None)], "doc_id BIGINT, text STRING").repartition(2)
+    if from_files:
+        df.write.parquet(f"{tmp}/rows")
+        df = spark.read.parquet(f"{tmp}/rows")
+    rows, place = row_hash(df)
+    shards = rows.select(F.pmod(place, F.lit(8)).alias("s")).groupBy("s").count().collect()
+    assert len(shards) == 8 and max(r["count"] for r in shards) < 80
+    got = lm.scored(df, F.lit(False), shard_chars=500).collect()
+    assert len(got) == 301 and len({r.score for r in got}) == 2

@@ -12,7 +12,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsquality.session import prepare, scratch_path
@@ -35,6 +36,20 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_hash(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """``docs`` and a hash that differs between its rows, also equal ones, and is the same in every scan: of a file's
+    name and the row's place in it, or, where ``docs`` is no scan of files, of a number written beside the rows."""
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    try:
+        docs.select(place).schema
+        return docs, place
+    except AnalysisException:
+        name = "row_number_"
+        while name in {c.lower() for c in docs.columns}:
+            name += "_"
+        return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), F.xxhash64(name)
+
+
 def parts_for(total: int | float | None, each: int) -> int:
     """How many partitions hold ``total`` at about ``each``."""
     return max(1, -(-int(total or 0) // each))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tsquality.llm.common import lower_words
+from tsquality.llm.common import lower_words, row_hash
 
 _KEYS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("words", pa.int64()),
                    ("train_tokens", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -262,12 +262,13 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     """
     if order < 2:
         raise ValueError("order is 2 or more")
+    docs, place = row_hash(docs)  # repeated rows, however many, are dealt to all shards
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
+                       F.coalesce(held_out, F.lit(False)).alias("held_out"), place.alias("place"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-chars // shard_chars))
     parts = 1 << (max(1, chars // 4_000_000) - 1).bit_length()
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")) \
+    dealt = rows.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")).drop("place") \
         .repartition(shards, "shard")
     listed = dealt.groupBy("shard").applyInArrow(_listed(order, parts), _KEYS_DDL)
     sums = listed.repartition(parts, "part").groupBy("part").applyInArrow(_added, _SUMS_DDL)

@@ -86,40 +86,70 @@ def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
 
 
 class Shard:
-    """The inverted index of a shard: postings of BM25 weights by term."""
+    """The inverted index of a shard: postings of BM25 weights by term, of the tails that are still unused.
+
+    Weights are whole numbers of 2^-20, so that sums are exact in whatever order they are added, and equal
+    tails have equal scores. Terms that at least a quarter of the tails have are rows of a matrix, the others
+    lists of postings. Both drop used tails as a quarter of them is used up.
+    """
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float, b: float):
         n = np.array([len(x) for x in tails])
         self.terms_of, tf, starts = _terms(tails)
         self.ends = np.append(starts, len(tf))
         doc = np.repeat(np.arange(len(tails)), np.diff(self.ends))
-        self.weight_of = idf[self.terms_of] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * n[doc] / mean_length))
-        order = np.argsort(self.terms_of, kind="stable")
+        weight = idf[self.terms_of] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * n[doc] / mean_length))
+        self.weight_of = np.maximum(1, np.rint(weight * (1 << 20)))  # none is lost, however common
+        counts = np.bincount(self.terms_of, minlength=len(idf))
+        common = counts >= max(2, len(tails) / 4)
+        self.row_of = np.where(common, np.cumsum(common) - 1, -1)
+        dense = common[self.terms_of]
+        self.matrix = np.zeros((int(common.sum()), len(tails)))
+        self.matrix[self.row_of[self.terms_of[dense]], doc[dense]] = self.weight_of[dense]
+        rest = np.flatnonzero(~dense)
+        order = rest[np.argsort(self.terms_of[rest], kind="stable")]
         self.docs, self.weights = doc[order], self.weight_of[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.terms_of, minlength=len(idf)))])
-        self.n = len(tails)
+        self.first = np.append(0, np.cumsum(np.where(common, 0, counts)))
+        self.live = np.arange(len(tails))  # the tails that the postings and the matrix's columns are of
+        self.many = counts > 1
+
+    def _drop_used(self, unused: np.ndarray) -> None:
+        keep = unused[self.live]
+        if 4 * np.count_nonzero(keep) > 3 * len(keep):
+            return
+        held = keep[self.docs]
+        self.first = np.append(0, np.cumsum(held))[self.first]
+        self.docs, self.weights = (np.cumsum(keep) - 1)[self.docs[held]], self.weights[held]
+        self.matrix, self.live = np.ascontiguousarray(self.matrix[:, keep]), self.live[keep]
 
     def scores(self, seed: int, unused: np.ndarray, query_terms: int | None) -> np.ndarray:
-        """Each tail's score for ``seed``'s query; 0 where it is used or shares no term of the query."""
+        """The score of each live tail for ``seed``'s query; 0 where it is used or shares no term of the query."""
+        self._drop_used(unused)
         own = slice(self.ends[seed], self.ends[seed + 1])
         terms, weights = self.terms_of[own], self.weight_of[own]
-        rare = np.flatnonzero(self.first[terms + 1] - self.first[terms] > 1)
-        best = rare[np.argsort(-weights[rare], kind="stable")[:query_terms]]
-        at, to = self.first[terms[best]], self.first[terms[best] + 1]
+        some = np.flatnonzero(self.many[terms])
+        if query_terms is not None:
+            some = some[np.argsort(-weights[some], kind="stable")[:query_terms]]
+        terms = terms[some]
+        at, to = self.first[terms], self.first[terms + 1]
         lengths = to - at
         where = np.repeat(at - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        return np.bincount(self.docs[where], self.weights[where], minlength=self.n) * unused
+        score = np.bincount(self.docs[where], self.weights[where], minlength=len(self.live)).astype(np.float64)
+        rows = self.row_of[terms]
+        for row in rows[rows >= 0].tolist():
+            score += self.matrix[row]
+        return score * unused[self.live]
 
     def ranked(self, seed: int, unused: np.ndarray, query_terms: int | None, first: int) -> Iterator[np.ndarray]:
         """All unused tails that share a query term with ``seed``, best first, ties in shard order: about
         ``first`` of them, then twice as many each time, as only what is asked for is sorted."""
         score = self.scores(seed, unused, query_terms)
-        found = np.flatnonzero(score)
+        tails, found = self.live, np.flatnonzero(score)
         while len(found):
             s = score[found]
             top = s >= np.partition(s, len(s) - first)[len(s) - first] if len(s) > first else s > 0
             some, found, first = found[top], found[~top], 2 * first
-            yield some[np.argsort(-score[some], kind="stable")]
+            yield tails[some[np.argsort(-score[some], kind="stable")]]
 
     def neighbours(self, seed: int, unused: np.ndarray, query_terms: int | None, most: int) -> list[int]:
         """The ``most`` best unused tails that share a query term with ``seed``, best first, ties in shard order."""
