@@ -241,6 +241,39 @@ def test_many_buckets_a_micro_batch_equal_one(spark, tmp):
     assert want["late"] and any(r[3] == "LATE" for r in want["validated"]) and {r[4] for r in want["gaps"]} == {"event", "timer"}
 
 
+def test_batch_hands_its_state_to_the_stream(spark, tmp):
+    """A batch run over the first buckets, a stream with another number of state stores over the rest: the tables and
+    the state of one batch run over all. Some meters are silent across the border, one beyond its TTL."""
+    from tsquality.sources.messages import to_messages
+    from tsquality.sources.replay import write_replay
+    base, rows = dt.datetime(2024, 1, 1), []
+    for meter, every, until in (("A", 12, 16), ("B", 30, 16), ("C", 5 * 24, 16), ("D", 9 * 24, 16), ("E", 12, 5), ("F", 24, 1)):
+        for h in range(0, until * 24, every):
+            t = base + dt.timedelta(hours=h)
+            rows.append((meter, t, 1.0 + h, t + dt.timedelta(hours=40 if h % 7 == 3 else 0)))
+    df = spark.createDataFrame([(m, t, v, i, a) for i, (m, t, v, a) in enumerate(rows)],
+                               "meter_id string, timestamp timestamp, consumption_kwh double, seq bigint, arrival_ts timestamp")
+    cfg, bucket = QualityConfig(interval_minutes=360, allowed_lateness_seconds=36 * 3600, materialize="cache"), 12 * 3600
+    cut = int(base.replace(tzinfo=dt.timezone.utc).timestamp()) // bucket + 16
+    first = route(df.where(F.unix_micros("arrival_ts") < cut * bucket * 1_000_000), cfg, bucket, closing=False)
+    out = os.path.join(tmp, "out")
+    for table, part in (("validated_readings", first.validated), ("late_events", first.late_events),
+                        ("gap_alerts", first.gap_alerts), ("metrics", first.metrics)):
+        T.write_batch(part, f"{out}/{table}", table, 0, "batch")
+    messages = to_messages(df, keep=("seq", "arrival_ts")).withColumnRenamed("seq", "offset")
+    write_replay(messages, f"{tmp}/replay", bucket, cfg, rows_per_trigger=12, since_bucket=cut)
+    initial = job.handed_over(first.meter_state, first.final_wm_us, cfg)
+    job.start(job.replay_readings(spark, f"{tmp}/replay", cfg), out, f"{tmp}/ckpt", cfg, state_partitions=3, initial=initial).awaitTermination()
+    twin = route(df, cfg, bucket)
+    assert _tables(job.read_tables(spark, out)) == _tables({
+        "validated_readings": T.resolve_routed(twin.validated, "validated_readings"),
+        "late_events": T.resolve_routed(twin.late_events, "late_events"),
+        "gap_alerts": T.resolve_routed(twin.gap_alerts, "gap_alerts"), "metrics": twin.metrics})
+    assert _state(spark, f"{tmp}/ckpt") == sorted(
+        (r.meter_id, int(r.last_seen.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6), r.gap_count, r.late_count)
+        for r in twin.meter_state.collect())
+
+
 def test_second_run_into_one_folder_keeps_the_first(spark, tmp):
     """A fresh checkpoint counts its batches from 0; the rows of the run before stay, also by URI."""
     rows = [("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-01 10:00:00", 1.0)]

@@ -410,6 +410,25 @@ def q_stream_pipeline(spark, sf_dir):
     return _four_tables(t, detected_by=True)
 
 
+def q_stream_handover(spark, sf_dir):
+    """T6 + T11: a batch run over the first half of the time, its state handed to a stream over the rest; the rows
+    that both leave in the four tables."""
+    base = scratch_path(spark, "handover")
+    rows = parsed(spark, sf_dir)
+    lo, hi = rows.agg(F.min(F.unix_micros("arrival_ts")), F.max(F.unix_micros("arrival_ts"))).first()
+    cut = ((lo or 0) + (hi or 0)) // 2 // (BUCKET_SECONDS * 1_000_000)
+    first = route(rows.where(F.unix_micros("arrival_ts") < cut * BUCKET_SECONDS * 1_000_000), CFG, BUCKET_SECONDS,
+                  out_path=f"{base}/routed", closing=False)
+    for table, part in (("validated_readings", first.validated), ("late_events", first.late_events),
+                        ("gap_alerts", first.gap_alerts), ("metrics", first.metrics)):
+        T.write_batch(part, f"{base}/out/{table}", table, 0, "batch")
+    messages = faulty_messages(faulted(spark, sf_dir), **PAYLOAD_FAULTS).withColumnRenamed("seq", "offset")
+    write_replay(messages, f"{base}/replay", BUCKET_SECONDS, CFG, rows_per_trigger=STREAM_ROWS, since_bucket=cut)
+    initial = job.handed_over(first.meter_state, first.final_wm_us, CFG)
+    job.start(job.replay_readings(spark, f"{base}/replay", CFG), f"{base}/out", f"{base}/checkpoint", CFG, initial=initial).awaitTermination()
+    return _four_tables(job.read_tables(spark, f"{base}/out"), detected_by=True)
+
+
 def _four_tables(t, detected_by: bool = False):
     """The rows of the four tables as one; a consumer of the topics does not learn what detected a gap."""
     def rows(table, detail, number, value):
@@ -579,6 +598,7 @@ QUERIES = {
     "tables_incremental": q_tables_incremental,
     "stream_pipeline": q_stream_pipeline,
     "stream_state": q_stream_state,
+    "stream_handover": q_stream_handover,
     "result_payloads": q_result_payloads,
     "active_meter_count": q_active_meter_count,
     "events_per_minute": q_events_per_minute,

@@ -61,8 +61,9 @@ SEQ_COLS = ["_bucket", "seq"]
 
 
 def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60,
-          out_path: str | None = None) -> Routes:
-    """Build the routed run. With ``out_path`` the routed outputs are written there
+          out_path: str | None = None, closing: bool = True) -> Routes:
+    """Build the routed run. Without ``closing`` there is no batch without rows at the end: timers fire up to the
+    watermark of the last bucket, and a stream can go on from ``meter_state`` (``streaming.job.handed_over``). With ``out_path`` the routed outputs are written there
     (staging parquet) and the returned frames read them back.
 
     Reuse without extra copies: the validated table is written with a few
@@ -80,7 +81,7 @@ def route(raw: DataFrame, cfg: QualityConfig = DEFAULT, bucket_seconds: int = 60
     # Per arrival bucket: watermark of the batch and of the batch before (a row a bucket).
     batches = materialize(L.arrival_batches(rows, cfg), cfg.materialize)
     summary = L.batch_summary(batches, cfg)
-    final_wm = summary["final_wm_us"]
+    final_wm = summary["final_wm_us"] if closing else batches.agg(F.max_by("wm_us", L.BUCKET)).first()[0]
     wm_small = batches.select(L.BUCKET, "wm_us", "pred_wm_us")
 
     valid = rows.where(F.col("error").isNull())
