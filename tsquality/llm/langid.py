@@ -40,7 +40,7 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     words = _RUNS.findall(text.lower())
-    if all(map(str.isalpha, words)):
+    if text.isascii() or "".join(words).isalpha():
         return words
     return [w for x in words for w in ((x,) if x.isalpha() else _LETTERS.findall(x))]
 
@@ -62,8 +62,8 @@ class Model:
     kept: dict[str, int] = field(default_factory=dict)
     kept_scores: np.ndarray | None = None
 
-    #: Scores of so many words that the model does not know are kept, some 20 MB for a few languages.
-    KEEP = 100_000
+    #: Scores of so many words that the model does not know are kept, some 45 MB for a few languages.
+    KEEP = 200_000
 
     def back_off(self, word: str) -> np.ndarray:
         for n in range(MAX_GRAM, 0, -1):
