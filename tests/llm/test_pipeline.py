@@ -83,5 +83,5 @@ def test_rows_are_numbered_once(spark, folder, stage):
 
 def test_every_operator_is_registered():
     import __spark_entry__ as E
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
