@@ -166,6 +166,14 @@ SQL = {
         CASE WHEN {_u('ts_format', 'seq')} < 1/3 THEN date_trunc('second', timestamp) ELSE timestamp END AS timestamp,
         consumption_kwh FROM ({READINGS_SQL}) r
         WHERE {_u('csv_bad', 'seq')} >= 0.01 AND {_u('csv_bad', 'seq')} < 0.99""",
+    "stream_batch_counts": f"""WITH c AS (SELECT {_u('csv_bad', 'seq')} AS u FROM ({READINGS_SQL}) r),
+          m AS (SELECT seq % {C.COUNTED_BATCHES} AS batch, kind = 'malformed' AS unparsed, kind = 'malformed' OR validation <> 'OK' AS invalid
+                FROM (SELECT *, {VALIDATION_PARSED} AS validation FROM {PARSED} p) v)
+        SELECT 'csv_rows' AS metric_type, -1 AS batch, count(*)::DOUBLE AS value FROM c
+        UNION ALL SELECT 'csv_dropped', -1, count(*) FILTER (u < 0.01 OR u >= 0.99) FROM c
+        UNION ALL SELECT 'validation_rows', batch, count(*) FROM m GROUP BY batch
+        UNION ALL SELECT 'validation_invalid', batch, count(*) FILTER (invalid) FROM m GROUP BY batch
+        UNION ALL SELECT 'validation_unparsed', batch, count(*) FILTER (unparsed) FROM m GROUP BY batch""",
     "format_convert": f"""SELECT seq, CASE WHEN {_u('no_id', 'seq')} < 0.1 THEN 'UNKNOWN' ELSE meter_id END AS meter_id,
         strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, consumption_kwh FROM ({READINGS_SQL}) r""",
     "json_parse": f"""SELECT seq, meter_id, timestamp, consumption_kwh, validation,
@@ -329,6 +337,8 @@ SQL = {
         FROM t_validated WHERE time >= {NOW} - INTERVAL 24 HOUR GROUP BY meter_id"""),
 }
 
+SQL["csv_alias_streamed"] = SQL["csv_alias_parse"]  # the same rows, as a stream
+
 # Double columns rounded to 6 digits on the Spark side as in the SQL above.
 ROUND6 = {
     "gap_summary_hourly": ["avg_gap_minutes"],

@@ -36,6 +36,7 @@ from tsquality.sources.messages import parse_readings
 from tsquality.sources.replay import write_after, write_replay
 from tsquality.sources.synth import faulty_messages, inject_faults, sample_like
 from tsquality.streaming import job
+from tsquality.streaming.counts import counted, observe_errors
 
 CFG = QualityConfig(interval_minutes=480)
 FAULTS = dict(seed=42, gap_probability=0.05, delay_probability=0.1, max_delay_seconds=10800,
@@ -200,6 +201,50 @@ def q_csv_alias_parse(spark, sf_dir):
     return parsed.select(F.col("seq").cast("bigint").alias("seq"), "meter_id", "timestamp", "consumption_kwh")
 
 
+def q_csv_alias_streamed(spark, sf_dir):
+    """S1 + S2 as a stream: files of three headers in one stream, some files a micro-batch."""
+    base = scratch_path(spark, "csv-stream")
+    csv_exports(spark, sf_dir, f"{base}/in")
+    rows = CSV.stream_csv(spark, f"{base}/in", (*CSV.STREAM_COLUMNS, "seq"), files_per_trigger=CSV_FILES)
+    parsed = CSV.parse_csv_rows(rows, keep=("seq",)).select(F.col("seq").cast("bigint").alias("seq"), "meter_id", "timestamp",
+                                                            "consumption_kwh")
+    parsed.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True) \
+        .start(f"{base}/out", format="parquet").awaitTermination()
+    return spark.read.schema(parsed.schema).parquet(f"{base}/out")
+
+
+#: CSV files of a micro-batch.
+CSV_FILES = 8
+
+
+def q_stream_batch_counts(spark, sf_dir):
+    """S2 + P4 in streams: what a listener wrote of each micro-batch into the metrics table. Messages come in three
+    micro-batches; CSV exports in as many as their files need, so theirs are summed (batch -1)."""
+    base = scratch_path(spark, "counts")
+    csv_exports(spark, sf_dir, f"{base}/csv")
+    rows = CSV.parse_csv_rows(CSV.stream_csv(spark, f"{base}/csv", files_per_trigger=CSV_FILES), observation="csv")
+    messages = faulty_messages(faulted(spark, sf_dir), **PAYLOAD_FAULTS).withColumnRenamed("seq", "offset")
+    messages = materialize(messages.select("key", "value", "offset", "arrival_ts"))
+    newest = 0
+    for k in range(COUNTED_BATCHES):
+        part = messages.where(F.col("offset") % COUNTED_BATCHES == k)
+        newest = write_after(part.coalesce(1), f"{base}/messages/chunk={k}", newest)
+    parsed_ = job.message_readings(spark, f"{base}/messages", "parquet", files_per_trigger=1, cfg=CFG)
+    for name, stream in (("csv", rows), ("messages", observe_errors(parsed_))):
+        counts = counted(spark, f"{base}/{name}-out")
+        stream.writeStream.queryName(counts.query_name).option("checkpointLocation", f"{base}/{name}-checkpoint") \
+            .trigger(availableNow=True).format("noop").start().awaitTermination()
+        counts.wait()
+    found = [T.read_table(spark, f"{base}/{name}-out/metrics", "metrics").select(
+        "metric_type", (F.lit(-1) if name == "csv" else F.element_at("tags", "batch")).cast("bigint").alias("batch"), "value")
+        for name in ("csv", "messages")]
+    return found[0].unionAll(found[1]).groupBy("metric_type", "batch").agg(F.sum("value").alias("value"))
+
+
+#: Micro-batches of the messages that are counted.
+COUNTED_BATCHES = 3
+
+
 def q_format_convert(spark, sf_dir):
     """S3: third-party rows (id, space-separated time, value; some without id) to standard rows."""
     r = readings(spark, sf_dir)
@@ -568,6 +613,8 @@ def q_active_meters_sql(spark, sf_dir):
 
 QUERIES = {
     "csv_alias_parse": q_csv_alias_parse,
+    "csv_alias_streamed": q_csv_alias_streamed,
+    "stream_batch_counts": q_stream_batch_counts,
     "format_convert": q_format_convert,
     "json_parse": q_json_parse,
     "synth_readings": q_synth_readings,
