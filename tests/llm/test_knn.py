@@ -46,9 +46,30 @@ def test_far_cells_are_not_sent(spark):
     assert sorted([tuple(r) for r in got], key=str) == brute(rows, 5)
     pivots = {4: np.array([256 * 50 * np.eye(4)[c] for c in range(4)])}
     summary = [{"dim": 4, "cell": c, "radius": 200.0, "dists": [1.0] * 6} for c in range(4)]
-    asked = [{"dim": 4, "cell": 1, "n": 5, "norm": 13_000.0, "radius": 200.0}]
+    asked = [{"dim": 4, "cell": 1, "n": 5, "norm": 13_000.0, "radius": 200.0, "reached": -math.inf}]
     groups, need = knn._plan(summary, asked, pivots, 5, 1000)
-    assert groups == [(4, 1, 0, 1)] and {c for _, c, _, _ in need} == {1}
+    assert groups == [(4, 1, 0, 1)] and {r[1] for r in need} == {1}
+
+
+def test_short_vectors_are_not_sent(spark):
+    """The queries' products with the pivots say which lengths no answer can have; a hot cell of queries is one plan."""
+    pivots = {4: np.array([256 * 50 * np.eye(4)[c] for c in range(4)])}
+    summary = [{"dim": 4, "cell": c, "radius": 1e8, "dists": [1e8] * 6} for c in range(4)]
+    asked = [{"dim": 4, "cell": 1, "n": 5000, "norm": 100.0, "radius": 10.0, "reached": 50_000.0}]
+    groups, need = knn._plan(summary, asked, pivots, 5, 1000)
+    assert groups == [(4, 1, 0, 5)] and len(need) == 4
+    assert {r[2:4] for r in need} == {(0, 5)} and all(499 < r[5] <= 500 for r in need)
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=6) * (1 if i % 3 else 40)).tolist()) for i in range(900)]
+    got = knn.top_k(frame(spark, rows), F.col("id") % 50 == 0, group_queries=4).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(rows, 5)
+
+
+def test_pivots_grow_and_cells_chain(spark):
+    assert knn._chain(np.array([[0.0], [10.0], [1.0], [11.0], [2.0]]), [0, 1, 2, 3, 4]) == [0, 2, 4, 1, 3]
+    x = np.array([3.0, -32768.0, 5.0])
+    assert len(knn._packed(x[[0, 2]])) == 4 and len(knn._packed(x)) == 24
+    assert (knn._unpacked(knn._packed(x), 3) == x).all()
 
 
 def test_large_numbers_and_few_rows(spark):
