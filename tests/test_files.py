@@ -5,6 +5,7 @@ import glob
 
 from tsquality.plans import catalog
 from tsquality.session import settings
+from tsquality.sources.synth import REPEAT_SEQ
 
 
 def _events(spark, path):
@@ -30,6 +31,15 @@ def _most(spark, files):
     return max(spark.read.parquet(f).count() for f in files)
 
 
+def test_counted_messages_have_files_of_some_rows_and_a_batch_a_part(spark, tmp, monkeypatch):
+    sf, seen = _events(spark, tmp), _bases(monkeypatch)
+    got = {(r.metric_type, r.batch): r.value for r in catalog.q_stream_batch_counts(spark, sf).collect()}
+    files = glob.glob(seen["counts"].removeprefix("file:") + "/messages/chunk=*/part-*")
+    assert len(files) > 3 and _most(spark, files) < 90
+    sent = catalog.faulted(spark, sf).selectExpr("seq % 3 AS k").groupBy("k").count().collect()
+    assert REPEAT_SEQ > 300 and {k: got[("validation_rows", k)] for k in range(3)} == {r["k"]: r["count"] for r in sent}
+
+
 def test_consumed_messages_have_files_of_some_rows_and_count_once(spark, tmp, monkeypatch):
     sf, seen = _events(spark, tmp), _bases(monkeypatch)
     with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "1",
