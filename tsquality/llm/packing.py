@@ -16,7 +16,7 @@ vocabulary.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -140,9 +140,11 @@ class Shard:
             score += self.matrix[row]
         return score * unused[self.live]
 
-    def ranked(self, seed: int, unused: np.ndarray, query_terms: int | None, first: int) -> Iterator[np.ndarray]:
+    def ranked(self, seed: int, unused: np.ndarray, query_terms: int | None, first: int,
+               wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[np.ndarray]:
         """All unused tails that share a query term with ``seed``, best first, ties in shard order: about
-        ``first`` of them, then twice as many each time, as only what is asked for is sorted."""
+        ``first`` of them, then twice as many each time, as only what is asked for is sorted. Tails that
+        ``wanted`` no longer tells are left out from then on."""
         score = self.scores(seed, unused, query_terms)
         tails, found = self.live, np.flatnonzero(score)
         while len(found):
@@ -150,6 +152,8 @@ class Shard:
             top = s >= np.partition(s, len(s) - first)[len(s) - first] if len(s) > first else s > 0
             some, found, first = found[top], found[~top], 2 * first
             yield tails[some[np.argsort(-score[some], kind="stable")]]
+            if wanted is not None:
+                found = found[wanted(tails[found])]
 
     def neighbours(self, seed: int, unused: np.ndarray, query_terms: int | None, most: int) -> list[int]:
         """The ``most`` best unused tails that share a query term with ``seed``, best first, ties in shard order."""
@@ -174,13 +178,17 @@ def fill(shard: Shard, lengths: list[int], window: int, query_terms: int | None
         left[k] -= n
         unused[k] = left[k] > 0
 
+    def wanted(tails: np.ndarray) -> np.ndarray:
+        """Those that may still be taken: as the best of the rest is known, those that fit whole."""
+        return left[tails] <= window - offset if rest is not None else left[tails] > 0
+
     while next_seed < len(lengths):
         if not left[next_seed]:
             next_seed += 1
             continue
         seed, sequence, offset, rest = next_seed, sequence + 1, 0, None
         take(seed, int(left[seed]))
-        for near in shard.ranked(seed, unused, query_terms, first) if offset < window else ():
+        for near in shard.ranked(seed, unused, query_terms, first, wanted) if offset < window else ():
             for k in near[left[near] <= window - offset].tolist():
                 if left[k] <= window - offset:
                     take(k, int(left[k]))
