@@ -63,8 +63,8 @@ def _cut(tokenizer: str, end_id: int, window: int, size: int, with_ids: bool):
         df = np.zeros(size, np.int64)
         for b in batches:
             full, tails, ids = [], [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.frombuffer(enc.encode(text) + end, enc.dtype)
+            for doc, raw in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1).to_pylist())):
+                x = np.frombuffer(raw + end, enc.dtype)
                 n = len(x)
                 cut = n - n % window
                 for at in range(0, cut, window):
@@ -135,9 +135,9 @@ class Shard:
         lengths = to - at
         where = np.repeat(at - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         score = np.bincount(self.docs[where], self.weights[where], minlength=len(self.live)).astype(np.float64)
-        rows = self.row_of[terms]
-        for row in rows[rows >= 0].tolist():
-            score += self.matrix[row]
+        rows, asked = self.row_of[terms], np.zeros(len(self.matrix))
+        asked[rows[rows >= 0]] = 1
+        score += asked @ self.matrix
         return score * unused[self.live]
 
     def ranked(self, seed: int, unused: np.ndarray, query_terms: int | None, first: int,

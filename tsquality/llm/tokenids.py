@@ -78,7 +78,7 @@ def tokenized(path: str, end_id: int, size: int):
         counts, end = np.zeros(size, np.int64), np.array([end_id], enc.dtype).tobytes()
         width = np.dtype(enc.dtype).itemsize
         for b in batches:
-            ids = [enc.encode(t) + end for t in b.column(1).to_pylist()]
+            ids = [x + end for x in enc.encode_all(b.column(1).to_pylist())]
             counts += np.bincount(np.frombuffer(b"".join(ids), enc.dtype), minlength=size)
             yield batch(_TOKENS, doc_id=b.column(0), n=[len(x) // width for x in ids],
                         ids=[squeeze.compress(x) for x in ids], counts=[None] * len(ids))
